@@ -23,5 +23,19 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(strip_repeats(_table(spark, sf_dir, "documents")))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_lm_scoring, op7_substring_dedup)}
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .tokcount import token_counts
+
+    return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .neardup import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_lm_scoring, op4_token_counts, op7_substring_dedup, op10_minhash)}
 ORACLES: dict[str, str] = {}
