@@ -31,11 +31,19 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .packing import pack
+
+    return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .neardup import near_duplicates
 
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_lm_scoring, op4_token_counts, op7_substring_dedup, op10_minhash)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_lm_scoring, op4_token_counts, op7_substring_dedup, op8_best_fit_packing, op10_minhash)}
 ORACLES: dict[str, str] = {}
