@@ -30,7 +30,7 @@ from .arrays import Words, mix, slices
 from .blocks import in_blocks
 
 ORDER, LEAST = 5, 2
-PPM_BLOCK_BYTES = 32 << 20
+PPM_BLOCK_BYTES = 16 << 20
 END = 10
 _TOP = np.uint64(1 << 63)
 END_KEY = -(1 << 63)  # the end token, among the word keys (all negative)
