@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import decontam, substring
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -17,10 +19,13 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(_table(spark, sf_dir, "documents"))
 
 
-def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .substring import digest, strip_repeats
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, bench = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return decontam.digest(decontam.scan(docs.select("doc_id", "text"), bench))
 
-    return digest(strip_repeats(_table(spark, sf_dir, "documents")))
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digest(substring.strip_repeats(_table(spark, sf_dir, "documents")))
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,5 +50,5 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_lm_scoring, op4_token_counts, op7_substring_dedup, op8_best_fit_packing, op10_minhash)}
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_lm_scoring, op4_token_counts, op6_decontamination, op7_substring_dedup, op8_best_fit_packing, op10_minhash)}
+ORACLES: dict[str, str] = {"op6_decontamination": decontam.ORACLE, "op7_substring_dedup": substring.ORACLE}

@@ -140,3 +140,22 @@ def strip_repeats(docs: DataFrame, window: int = WINDOW, block_bytes: int = BLOC
 
 def digest(result: DataFrame) -> DataFrame:
     return result.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLE = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), v AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS t FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)
+), r AS (
+  SELECT doc_id, i FROM v JOIN (SELECT t FROM v GROUP BY t HAVING count(*) > 1) USING (t)
+), g AS (
+  SELECT doc_id, list(DISTINCT p) AS gone FROM (SELECT doc_id, unnest(range(i, i + 35)) AS p FROM r) GROUP BY doc_id
+), k AS (
+  SELECT doc_id, w, coalesce(gone, []) AS gone FROM d LEFT JOIN g USING (doc_id)
+), kept AS (
+  SELECT doc_id, string_agg(w[i], ' ' ORDER BY i) AS s FROM (SELECT doc_id, w, gone, unnest(range(1, len(w) + 1)) AS i FROM k) WHERE NOT list_contains(gone, i) GROUP BY doc_id
+)
+SELECT k.doc_id, len(w)::BIGINT AS n_words, len(gone)::BIGINT AS n_removed, sha256(coalesce(s, '')) AS kept_sha256
+FROM k LEFT JOIN kept USING (doc_id)
+"""
