@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontam, substring
+from . import decontam, lines, substring
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +29,11 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digest(substring.strip_repeats(_table(spark, sf_dir, "documents")))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.col("lines.n").alias("n_lines"), F.size("lines.gone").cast("long").alias("n_removed"), F.col("lines.text").alias("text"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -50,5 +56,5 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_lm_scoring, op4_token_counts, op6_decontamination, op7_substring_dedup, op8_best_fit_packing, op10_minhash)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_lm_scoring, op2_line_dedup, op4_token_counts, op6_decontamination, op7_substring_dedup, op8_best_fit_packing, op10_minhash)}
 ORACLES: dict[str, str] = {"op6_decontamination": decontam.ORACLE, "op7_substring_dedup": substring.ORACLE}
