@@ -3,9 +3,9 @@
 Texts with equal shingle sets fall into one class first. Class representatives that agree in a band of their signature
 are candidates; signature batches of a candidate are compared one after another and the pair is dropped as soon as the
 posterior probability that its similarity reaches the threshold is below `miss` (uniform prior). Survivors are verified
-on their full shingle sets. Members of a bucket are first compared with one pivot; what is linked needs no more pairs,
-and what stays apart is compared with every member of another component, so no link between components is lost to the
-pivots. Components grow by smallest labels with pointer jumping, in Spark.
+on their full shingle sets. Members of a bucket are first compared with its middle one; what is linked needs no more
+pairs. What stays apart meets three more pivots and then every member of another component that it can reach the
+threshold with, so no link between components is lost. Components grow by smallest labels with pointer jumping.
 
 Chance of losing a pair at the threshold: (1 - 0.8**5)**32 = 3e-6 by the bands, and `miss` by each of four comparisons.
 """
@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .arrays import Words, mix, slices
@@ -24,6 +24,7 @@ from .store import settled
 
 BANDS, ROWS, BATCH = 32, 5, 40
 SHINGLE, PERCENT, MISS = 2, 80, 1e-6
+MAX_IDS = 1_000_000
 _RNG = np.random.Generator(np.random.PCG64(7))
 _A = _RNG.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _RNG.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)
@@ -149,36 +150,70 @@ class _Finder:
 
     def __init__(self, docs: DataFrame, reps: DataFrame, size: int, percent: int, miss: float):
         self.docs, self.size, self.percent, self.miss = docs, size, percent, miss
+        self.kind = docs.schema["doc_id"].dataType.simpleString()
         self.signs = reps.select("doc_id", "sign", "n")
-        members = reps.select("doc_id", F.explode("bands").alias("bucket"))
-        shared = members.groupBy("bucket").agg(F.count("*").alias("members"), F.min("doc_id").alias("pivot")).filter("members > 1")
-        self.members = settled(members.join(shared, "bucket").select("bucket", "doc_id", "pivot"))
+        members = reps.select("doc_id", "n", F.explode("bands").alias("bucket"))
+        shared = members.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
+        # a text that shares large buckets in many bands lies in the middle of its neighbours
+        score = F.sum("members").over(Window.partitionBy("doc_id"))
+        self.members = settled(members.join(shared, "bucket").withColumn("score", score).select("bucket", "doc_id", "n", "score"))
+
+    def sets(self, ids: DataFrame) -> DataFrame:
+        """doc_id, items: the full shingle sets of some texts. Up to MAX_IDS ids are broadcast, so texts aren't shuffled."""
+        ids = settled(ids.distinct())
+        small = ids.count() <= MAX_IDS
+        texts = self.docs.select("doc_id", "text").join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
+        return settled(texts.mapInArrow(_sets(self.size), f"doc_id {self.kind}, items array<bigint>").dropDuplicates(["doc_id"]))
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """a, b: pairs that reach the threshold on full sets."""
         a, b = (self.signs.select(F.col("doc_id").alias(x), F.col("sign").alias(f"sign_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
         # sizes alone rule out a pair whose smaller set is below percent of the larger one
         near = pairs.join(a, "a").join(b, "b").filter(100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b"))
-        kinds = dict(pairs.dtypes)
-        alive = settled(near.select("a", "b", "sign_a", "sign_b").mapInArrow(_survivors(self.percent, self.miss), f"a {kinds['a']}, b {kinds['b']}"))
-        ends = alive.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        texts = self.docs.select("doc_id", "text").join(ends, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-        sets = settled(texts.mapInArrow(_sets(self.size), f"doc_id {kinds['a']}, items array<bigint>"))
+        alive = settled(near.select("a", "b", "sign_a", "sign_b").mapInArrow(_survivors(self.percent, self.miss), f"a {self.kind}, b {self.kind}"))
+        sets = self.sets(alive.select(F.explode(F.array("a", "b")).alias("doc_id")))
         x, y = (sets.select(F.col("doc_id").alias(k), F.col("items").alias(f"items_{k}")) for k in "ab")
         both = alive.join(y, "b").join(x, "a")
         met = F.size(F.array_intersect("items_a", "items_b"))
-        return both.filter(100 * met >= self.percent * (F.size("items_a") + F.size("items_b") - met)).select("a", "b")
+        return settled(both.filter(100 * met >= self.percent * (F.size("items_a") + F.size("items_b") - met)).select("a", "b"))
+
+    def apart(self, links: DataFrame) -> DataFrame:
+        """Members, with their component, of the buckets that still hold several components."""
+        label = components(links).withColumnRenamed("v", "doc_id")
+        members = self.members.join(label, "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
+        return settled(_mixed(members))
 
     def links(self) -> DataFrame:
-        pairs = self.members.filter("doc_id <> pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
-        found = settled(self.verified(pairs))
-        label = components(found)
-        apart = self.members.join(label.withColumnRenamed("v", "doc_id"), "doc_id", "left").select("bucket", "doc_id", F.coalesce("label", "doc_id").alias("label"))
-        mixed = apart.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("bucket")
-        apart = settled(apart.join(mixed, "bucket"))
-        left, right = apart.select("bucket", F.col("doc_id").alias("a"), F.col("label").alias("la")), apart.select("bucket", F.col("doc_id").alias("b"), F.col("label").alias("lb"))
-        rest = left.join(right, "bucket").filter("a < b and la <> lb").select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
-        return found.union(self.verified(rest))
+        """Links that join the same components as all links do."""
+        middle = self.members.groupBy("bucket").agg(F.max(F.struct("score", "doc_id")).alias("m")).select("bucket", F.col("m.doc_id").alias("a"))
+        pairs = self.members.join(middle, "bucket").filter("doc_id <> a").select("a", F.col("doc_id").alias("b"))
+        found = self.verified(pairs.distinct())
+
+        # three more pivots for what the first one left apart
+        apart = self.apart(found)
+        third = [F.max(F.when(F.pmod(F.xxhash64("doc_id"), F.lit(3)) == k, F.struct("score", "doc_id", "label"))) for k in range(3)]
+        pivots = apart.groupBy("bucket").agg(F.array(*third).alias("m")).select("bucket", F.explode("m").alias("m")).select("bucket", F.col("m.doc_id").alias("a"), F.col("m.label").alias("la"))
+        pairs = apart.join(pivots, "bucket").filter("label <> la").select("a", F.col("doc_id").alias("b"))
+        found = settled(found.union(self.verified(pairs.distinct())))
+
+        # The rest meets every member of other components that it can be linked with: shingles that no other of these
+        # texts has are in no intersection, and 180 * intersection >= 80 * (n + m) must hold for sets of n and m.
+        apart = self.apart(found)
+        items = self.sets(apart.select("doc_id")).select("doc_id", F.explode("items").alias("item"))
+        alone = items.groupBy("item").agg(F.count("*").alias("c"), F.min("doc_id").alias("doc_id")).filter("c = 1").groupBy("doc_id").agg(F.count("*").alias("alone"))
+        apart = apart.join(alone, "doc_id", "left").withColumn("most", F.col("n") - F.coalesce("alone", F.lit(0)))
+        least = apart.groupBy("bucket").agg(F.min("n").alias("least"))
+        apart = apart.join(least, "bucket").filter((100 + self.percent) * F.col("most") >= self.percent * (F.col("n") + F.col("least")))
+        apart = settled(_mixed(apart))
+        x, y = (apart.select("bucket", *(F.col(c).alias(f"{c}_{k}") for c in ("doc_id", "label", "n", "most"))) for k in "ab")
+        near = (F.col("doc_id_a") < F.col("doc_id_b")) & (F.col("label_a") != F.col("label_b")) & ((100 + self.percent) * F.least("most_a", "most_b") >= self.percent * (F.col("n_a") + F.col("n_b")))
+        rest = x.join(y, (x.bucket == y.bucket) & near).select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b"))
+        return found.union(self.verified(rest.distinct()))
+
+
+def _mixed(members: DataFrame) -> DataFrame:
+    several = members.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("bucket")
+    return members.join(several, "bucket", "left_semi")
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, miss: float = MISS) -> DataFrame:
