@@ -4,15 +4,21 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """df written to spark.checkpoint.dir and read from there, so that a lost executor costs no recomputation."""
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The session's spark.checkpoint.dir; a temporary folder where it is unset and all runs on one machine."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        given = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        given = spark.conf.get("spark.checkpoint.dir", None)
         if given is None and not sc.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(given or tempfile.mkdtemp(prefix="spark-"))
+    return sc.getCheckpointDir()
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """df written to spark.checkpoint.dir and read from there, so that a lost executor costs no recomputation."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()

@@ -1,8 +1,56 @@
-"""Corpus preparation in stages over the documents table."""
+"""Corpus preparation: toxic texts go, repeated lines go, near copies go, contaminated texts go, the rest is packed."""
 
-STAGES: list = []
-ORACLE_SQL = None
+from __future__ import annotations
 
+import uuid
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from clickloom.llm import decontam, lines, neardup, packing, store, toxicity
+
+
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity score rejects (0.5 or more) go."""
+    scored = toxicity.with_scores(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return scored.filter("tox_score < 0.5").drop("tox_score")
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that repeat an earlier one, or nearly so, go; all documents stay."""
+    found = lines.dedup_lines(docs).withColumn("text", F.col("lines.text")).drop("lines")
+    if "n_chars" in docs.columns:
+        found = found.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return found
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays (five-word shingles, similarity 0.8), that with the smallest id."""
+    kept = neardup.near_duplicates(docs, size=5).filter("kept and doc_id is not null").select("doc_id").distinct()
+    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.filter("doc_id is null"))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of whose words 5 % or more lie in benchmark windows go."""
+    return decontam.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, in sequences of at most 1024 tokens."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [("toxicity", toxic), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("decontamination", decontaminate), ("packing", pack)]
+ORACLE_SQL = None  # learned scores and packing have no SQL
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents table; each one's result is written to the shared folder and read by the next."""
+    folder = f"{store.shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
