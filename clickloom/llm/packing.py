@@ -17,11 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .arrays import slices
 from .store import settled
 
 CAPACITY, SLACK, FAN, SENT, BUFFER = 1024, 4, 8, 4096, 100_000
 END_ID = 2
-MAX_UNITS = 600_000
+MAX_UNITS = 300_000  # of each of two generations of remembered stretches
+_WIDE_SPACES = "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 _TOKENIZERS: dict[str, Ids] = {}
 
@@ -39,37 +41,52 @@ class Ids:
             self.spaced[number] = word[0] == "Ġ"
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.units: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _learn(self, units: list[str]) -> None:
-        if len(self.units) > MAX_UNITS:
-            self.units.clear()
+    def _learn(self, units: list[str]) -> list[bytes]:
+        """Ids of stretches that each follow a space: encoded in one text and parted at the ids that begin with a space."""
+        out = []
         for at in range(0, len(units), 20_000):
             part = units[at : at + 20_000]
-            ids = np.array(self.library.encode(" " + " ".join(part), add_special_tokens=False).ids, dtype="<u4")
+            ids = np.array(self.library.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
             cuts = np.flatnonzero(self.spaced[ids])
             data, ends = ids.tobytes(), np.append(cuts[1:], len(ids)) * 4
-            self.units.update(zip(part, [data[a:b] for a, b in zip((cuts * 4).tolist(), ends.tolist(), strict=True)], strict=True))
+            out += [data[a:b] for a, b in zip((cuts * 4).tolist(), ends.tolist(), strict=True)]
+        return out
 
     def texts(self, texts: list[str | None]) -> list[bytes]:
         """A space followed by another sign than white space starts a pre-token; texts without any other space are split."""
         split = [None if self._odd(t) else (t or "").split(" ") for t in texts]
-        new = {u for s in split if s for u in s[1:]} - self.units.keys()
+        flat = [u for s in split if s for u in s[1:]]
+        found = list(map(self.units.get, flat))
+        missing = [i for i, v in enumerate(found) if v is None]
+        new = dict.fromkeys(flat[i] for i in missing)
+        fresh = [u for u in new if u not in self.old]
+        new.update((u, self.old[u]) for u in new if u in self.old)
+        new.update(zip(fresh, self._learn(fresh), strict=True))
+        for i in missing:
+            found[i] = new[flat[i]]
         if len(self.units) + len(new) > MAX_UNITS:
-            self.units.clear()
-            new = {u for s in split if s for u in s[1:]}
-        self._learn(list(new))
-        get = self.units.__getitem__
-        return [self.whole(t) if s is None else (self.whole(s[0]) if s[0] else b"") + b"".join(map(get, s[1:])) for t, s in zip(texts, split, strict=True)]
+            self.old, self.units = self.units, {}
+        self.units.update(new)
+        out, at = [], 0
+        for t, s in zip(texts, split, strict=True):
+            if s is None:
+                out.append(self.whole(t))
+            else:
+                out.append((self.whole(s[0]) if s[0] else b"") + b"".join(found[at : at + len(s) - 1]))
+                at += len(s) - 1
+        return out
 
     def _odd(self, text: str | None) -> bool:
         if not text:
             return False
-        if any(s in text for s in self.special) or text[-1] == " " or "  " in text:
+        if text[-1] == " " or "  " in text or any(s in text for s in self.special) or any(c in text and " " + c in text for c in "\t\n\v\f\r\x1c\x1d\x1e\x1f"):
             return True
-        return not text.isascii() and any(p[:1].isspace() for p in text.split(" ")[1:]) or any(f" {c}" in text for c in "\t\n\v\f\r\x1c\x1d\x1e\x1f")
+        return not text.isascii() and any(c in text for c in _WIDE_SPACES)
 
 
 def ids_of(path: str) -> Ids:
@@ -142,6 +159,11 @@ class _Bins:
         return pa.record_batch([c.cast(f.type) for c, f in zip(columns, self.schema, strict=True)], schema=self.schema)
 
 
+def _encoded(ids: Ids, batch: pa.RecordBatch) -> Iterator[tuple[object, bytes]]:
+    for part in slices(batch):
+        yield from zip(part.column("doc_id").to_pylist(), ids.texts(part.column("text").to_pylist()), strict=True)
+
+
 def _leaf(path: str, end_id: int, capacity: int):
     end = np.array([end_id], dtype="<u4").tobytes()
 
@@ -152,7 +174,7 @@ def _leaf(path: str, end_id: int, capacity: int):
         for batch in batches:
             bins = bins or _Bins(batch.schema.field("doc_id").type, capacity)
             full = []
-            for doc_id, data in zip(batch.column("doc_id").to_pylist(), ids.texts(batch.column("text").to_pylist()), strict=True):
+            for doc_id, data in _encoded(ids, batch):
                 data += end
                 for piece, (start, length) in enumerate(cut(len(data) // 4, capacity)):
                     row = (length, [(doc_id, piece, start, length, zlib.crc32(data[4 * start : 4 * (start + length)]))])
