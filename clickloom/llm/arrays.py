@@ -126,3 +126,9 @@ def ragged(lengths: np.ndarray) -> np.ndarray:
     """0..n-1 for each n of lengths, after each other."""
     ends = np.cumsum(lengths)
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - lengths, lengths)
+
+
+def by_group(group: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """The order by group and, inside, by the leading bits of a 64-bit key (52 of them for 4096 groups): equal keys stand together."""
+    bits = int(group.max()).bit_length() if len(group) else 0
+    return np.argsort(group.astype(np.uint64) << np.uint64(64 - bits) | key >> np.uint64(bits)) if bits else np.argsort(key)
