@@ -18,10 +18,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import LOWER, Words, mix, raw, slices
+from .arrays import LOWER, Words, by_group, mix, raw, slices
 from .store import settled
 
-PERCENT, CROWD = 80, 32
+PERCENT, CROWD, MAX_SENT = 80, 32, 1_000_000
 _COUNTS, _SEGMENTS = 1 << 20, 64
 _STEP = np.uint64(0x9FB21C651E98DF25)
 _ENTRY = np.dtype([("word", "<u4"), ("cls", "<i8"), ("n", "<u4"), ("at", "<u4")])
@@ -43,8 +43,7 @@ class Lines:
 
     def distinct(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Each line's distinct words, by line and `key`: their lines and hashes."""
-        order = np.argsort(key, kind="stable")
-        order = order[np.argsort(self.line[order], kind="stable")]
+        order = by_group(self.line, key)
         line, h = self.line[order], self.hash[order]
         new = np.ones(len(line), dtype=bool)
         new[1:] = (line[1:] != line[:-1]) | (h[1:] != h[:-1])
@@ -221,7 +220,9 @@ class _Join:
         both = pairs.join(x, F.col("a") == F.col("c1_a")).join(y, F.col("b") == F.col("c1_b"))
         both = settled(both.filter(100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b")).drop("a", "b"))
         ends = both.select(F.explode(F.array("top_a", "top_b")).alias("t")).select("t.*").groupBy("doc_id", "th").agg(F.collect_set("line").alias("wanted"))
-        ends = ends.withColumnsRenamed({"doc_id": "at_id", "th": "at_th"})
+        ends = settled(ends.withColumnsRenamed({"doc_id": "at_id", "th": "at_th"}))
+        wanted = ends.agg(F.sum(F.size("wanted"))).first()[0] or 0
+        ends = F.broadcast(ends) if wanted <= MAX_SENT else ends  # so that texts aren't shuffled
         texts = self.docs.join(ends, F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("th") == F.col("at_th"))).dropDuplicates(["doc_id", "th"])
         sets = settled(texts.select("text", "wanted").mapInArrow(_line_sets, "c1 long, c2 long, items array<bigint>")).dropDuplicates(["c1", "c2"])
         for k in "ab":

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .arrays import Words, mix, slices
+from .arrays import Words, by_group, mix, slices
 from .store import settled
 
 BANDS, ROWS, BATCH = 32, 5, 40
@@ -43,8 +43,7 @@ def shingle_hashes(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
         inside = length > k
         value[inside] = mix(value[inside] * _STEP + h[starts[inside] + k])
     rows = words.doc[starts]
-    order = np.argsort(value, kind="stable")
-    order = order[np.argsort(rows[order], kind="stable")]
+    order = by_group(rows, value)
     rows, value = rows[order], value[order]
     new = np.ones(len(rows), dtype=bool)
     new[1:] = (rows[1:] != rows[:-1]) | (value[1:] != value[:-1])
