@@ -5,7 +5,8 @@ are candidates; signature batches of a candidate are compared one after another
 posterior probability that its similarity reaches the threshold is below `miss` (uniform prior). Survivors are verified
 on their full shingle sets. Members of a bucket are first compared with its middle one; what is linked needs no more
 pairs. What stays apart meets three more pivots and then every member of another component that it can reach the
-threshold with, so no link between components is lost. Components grow by smallest labels with pointer jumping.
+threshold with, in crowded buckets by a set-similarity join of what texts have over the bucket's middle, so no link
+between components is lost. Components grow by smallest labels with pointer jumping.
 
 Chance of losing a pair at the threshold: (1 - 0.8**5)**32 = 3e-6 by the bands, and `miss` by each of four comparisons.
 """
@@ -25,6 +26,7 @@ from .store import settled
 BANDS, ROWS, BATCH = 32, 5, 40
 SHINGLE, PERCENT, MISS = 2, 80, 1e-6
 MAX_IDS = 1_000_000
+CROWD = 16
 _RNG = np.random.Generator(np.random.PCG64(7))
 _A = _RNG.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _RNG.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)
@@ -195,20 +197,42 @@ class _Finder:
         pairs = apart.join(pivots, "bucket").filter("label <> la").select("a", F.col("doc_id").alias("b"))
         found = settled(found.union(self.verified(pairs.distinct())))
 
-        # The rest meets every member of other components that it can be linked with: shingles that no other of these
-        # texts has are in no intersection, and 180 * intersection >= 80 * (n + m) must hold for sets of n and m.
+        # The rest meets every member of other components: directly in small buckets, by difference sets in crowded ones.
         apart = self.apart(found)
-        items = self.sets(apart.select("doc_id")).select("doc_id", F.explode("items").alias("item"))
-        alone = items.groupBy("item").agg(F.count("*").alias("c"), F.min("doc_id").alias("doc_id")).filter("c = 1").groupBy("doc_id").agg(F.count("*").alias("alone"))
-        apart = apart.join(alone, "doc_id", "left").withColumn("most", F.col("n") - F.coalesce("alone", F.lit(0)))
-        least = apart.groupBy("bucket").agg(F.min("n").alias("least"))
-        apart = apart.join(least, "bucket").filter((100 + self.percent) * F.col("most") >= self.percent * (F.col("n") + F.col("least")))
-        apart = settled(_mixed(apart))
-        x, y = (apart.select("bucket", *(F.col(c).alias(f"{c}_{k}") for c in ("doc_id", "label", "n", "most"))) for k in "ab")
-        near = (F.col("doc_id_a") < F.col("doc_id_b")) & (F.col("label_a") != F.col("label_b")) & ((100 + self.percent) * F.least("most_a", "most_b") >= self.percent * (F.col("n_a") + F.col("n_b")))
+        size = apart.groupBy("bucket").agg(F.count("*").alias("c"), F.max(F.struct("score", "doc_id")).alias("m")).select("bucket", "c", F.col("m.doc_id").alias("p"))
+        apart = apart.join(size, "bucket")
+        x, y = (apart.filter(F.col("c") <= CROWD).select("bucket", *(F.col(c).alias(f"{c}_{k}") for c in ("doc_id", "label", "n"))) for k in "ab")
+        near = (F.col("doc_id_a") < F.col("doc_id_b")) & (F.col("label_a") != F.col("label_b")) & (100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b"))
         rest = x.join(y, (x.bucket == y.bucket) & near).select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b"))
+        crowded = settled(apart.filter((F.col("c") > CROWD) & (F.col("doc_id") != F.col("p"))).select("p", "doc_id", "n", "label").distinct())
+        rest = rest.union(crowded.select(F.col("p").alias("a"), F.col("doc_id").alias("b"))).union(self.within(crowded))
         return found.union(self.verified(rest.distinct()))
 
+    def within(self, crowded: DataFrame) -> DataFrame:
+        """a, b: all pairs under one pivot p that can reach the threshold, without trying all pairs.
+
+        With D(x) the symmetric difference of x's set and p's, x and y differ in |D(x)| + |D(y)| - 2 |D(x) and D(y)|
+        shingles, and are linked if that is at most (n + m) * (100 - percent) / (100 + percent) for sets of n and m. Two
+        texts linked with p are in p's component already. One that is not must share so many elements of D with a partner
+        that the rarest elements of both, up to a prefix that hangs on the pair's sizes, hold a common one.
+        """
+        low, high = 100 - self.percent, 100 + self.percent
+        sets = self.sets(crowded.select("doc_id").union(crowded.select("p")))
+        both = crowded.join(sets, "doc_id").join(sets.select(F.col("doc_id").alias("p"), F.col("items").alias("middle")), "p")
+        gap = F.array_union(F.array_except("items", "middle"), F.array_except("middle", "items"))
+        rows = settled(both.select("p", "doc_id", "n", "label", F.size("middle").alias("np"), gap.alias("gap")).withColumn("m", F.size("gap")))
+        each = rows.select("p", "doc_id", "n", "label", "np", "m", F.explode("gap").alias("e"))
+        count = each.groupBy("p", "e").agg(F.count("*").alias("count"))
+        place = F.row_number().over(Window.partitionBy("p", "doc_id").orderBy("count", "e"))
+        each = settled(each.join(count, ["p", "e"]).withColumn("place", place).filter("count > 1"))
+        far = high * F.col("m") > low * (F.col("n") + F.col("np"))
+        a, b = (d.select("p", "e", *(F.col(c).alias(f"{c}_{k}") for c in ("doc_id", "label", "n", "m", "place"))) for d, k in ((each.filter(far), "a"), (each, "b")))
+        must = F.ceil((F.col("m_a") + F.col("m_b") - low * (F.col("n_a") + F.col("n_b")) / high) / 2)
+        fits = (F.col("label_a") != F.col("label_b")) & (100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b"))
+        fits = fits & (F.col("place_a") <= F.col("m_a") - must + 1) & (F.col("place_b") <= F.col("m_b") - must + 1)
+        met = a.join(b, (a.p == b.p) & (a.e == b.e) & fits)
+        return met.select(F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b")).distinct()
+
 
 def _mixed(members: DataFrame) -> DataFrame:
     several = members.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("bucket")
