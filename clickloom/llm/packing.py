@@ -22,7 +22,8 @@ from .store import settled
 
 CAPACITY, SLACK, FAN, SENT, BUFFER = 1024, 4, 8, 4096, 100_000
 END_ID = 2
-MAX_UNITS = 300_000  # of each of two generations of remembered stretches
+MAX_UNITS = 400_000  # of each of two generations of remembered stretches
+_SIGNS = ".,;:!?#$%&*|"
 _WIDE_SPACES = "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 _TOKENIZERS: dict[str, Ids] = {}
@@ -42,6 +43,7 @@ class Ids:
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.units: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.heads: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -57,6 +59,39 @@ class Ids:
             out += [data[a:b] for a, b in zip((cuts * 4).tolist(), ends.tolist(), strict=True)]
         return out
 
+    def _head(self, text: str) -> bytes:
+        ids = self.heads.get(text)
+        if ids is None:
+            if len(self.heads) > MAX_UNITS // 3:
+                self.heads.clear()
+            ids = self.heads[text] = self.whole(text)
+        return ids
+
+    def _composed(self, units: list[str]) -> dict[str, bytes]:
+        """Ids of new stretches. Signs after a letter, and a lone newline between other characters, are pre-tokens of their
+        own, so a stretch is put together from its word, the signs, the newline and what follows.
+        """
+        parts = []
+        for u in units:
+            left, line, right = u.partition("\n")
+            if line and (not left or not right or left[-1].isspace() or right[0].isspace()):
+                left, line, right = u, "", ""
+            base = left.rstrip(_SIGNS)
+            if not base or not base[-1].isalpha():
+                base = left
+            parts.append((base, left[len(base) :], line + right))
+        words = [b for b in dict.fromkeys(p[0] for p in parts) if b not in self.units and b not in self.old]
+        known = dict(zip(words, self._learn(words), strict=True))
+        out = {}
+        for u, (base, signs, right) in zip(units, parts, strict=True):
+            ids = known.get(base) or self.units.get(base) or self.old[base]
+            if signs:
+                ids += self._head(signs)
+            if right:
+                ids += self._head("\n") + self._head(right[1:])
+            out[u] = ids
+        return out | known
+
     def texts(self, texts: list[str | None]) -> list[bytes]:
         """A space followed by another sign than white space starts a pre-token; texts without any other space are split."""
         split = [None if self._odd(t) else (t or "").split(" ") for t in texts]
@@ -64,9 +99,9 @@ class Ids:
         found = list(map(self.units.get, flat))
         missing = [i for i, v in enumerate(found) if v is None]
         new = dict.fromkeys(flat[i] for i in missing)
-        fresh = [u for u in new if u not in self.old]
-        new.update((u, self.old[u]) for u in new if u in self.old)
-        new.update(zip(fresh, self._learn(fresh), strict=True))
+        for u in new:
+            new[u] = self.old.get(u)
+        new.update(self._composed([u for u, v in new.items() if v is None]))
         for i in missing:
             found[i] = new[flat[i]]
         if len(self.units) + len(new) > MAX_UNITS:
@@ -160,7 +195,7 @@ class _Bins:
 
 
 def _encoded(ids: Ids, batch: pa.RecordBatch) -> Iterator[tuple[object, bytes]]:
-    for part in slices(batch):
+    for part in slices(batch, 1 << 20):
         yield from zip(part.column("doc_id").to_pylist(), ids.texts(part.column("text").to_pylist()), strict=True)
 
 
