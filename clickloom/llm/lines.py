@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .arrays import LOWER, Words, by_group, mix, raw, slices
@@ -215,22 +215,39 @@ class _Join:
         return first.union(self.verified(rest)).distinct()
 
     def verified(self, pairs: DataFrame) -> DataFrame:
-        """c1, c2 of the later class of each pair (by c1) that is similar enough."""
-        x, y = (self.classes.select(*(F.col(c).alias(f"{c}_{k}") for c in ("c1", "c2", "top", "n"))) for k in "ab")
-        both = pairs.join(x, F.col("a") == F.col("c1_a")).join(y, F.col("b") == F.col("c1_b"))
-        both = settled(both.filter(100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b")).drop("a", "b"))
+        """c1, c2 of the later class of each pair (by c1) that is similar enough.
+
+        Each later class is first compared with its candidate of the closest size; only those that fail meet the others.
+        """
+        x, y = (self.classes.select(*(F.col(c).alias(f"{c}_{k}") for c in ("c1", "c2", "top", "n"))) for k in "xy")
+        both = pairs.join(x, F.col("a") == F.col("c1_x")).join(y, F.col("b") == F.col("c1_y"))
+        both = both.filter(100 * F.least("n_x", "n_y") >= self.percent * F.greatest("n_x", "n_y"))
+        swap = F.col("top_x") > F.col("top_y")
+        side = {k: {c: F.when(swap, F.col(f"{c}_{q}")).otherwise(F.col(f"{c}_{r}")) for c in ("c1", "c2", "top", "n")} for k, q, r in (("a", "y", "x"), ("b", "x", "y"))}
+        both = both.select(*(v.alias(f"{c}_{k}") for k, cs in side.items() for c, v in cs.items()))
+        place = F.row_number().over(Window.partitionBy("c1_b", "c2_b").orderBy(F.abs(F.col("n_a") - F.col("n_b")), "top_a"))
+        both = settled(both.withColumn("place", place))
         ends = both.select(F.explode(F.array("top_a", "top_b")).alias("t")).select("t.*").groupBy("doc_id", "th").agg(F.collect_set("line").alias("wanted"))
+        sets = settled(self._sets(ends))
+        first = settled(self._similar(both.filter("place = 1"), sets))
+        rest = settled(both.filter("place > 1").join(first, (F.col("c1") == F.col("c1_b")) & (F.col("c2") == F.col("c2_b")), "left_anti"))
+        some = settled(rest.select(F.explode(F.array(F.struct(F.col("c1_a").alias("c1"), F.col("c2_a").alias("c2")), F.struct(F.col("c1_b").alias("c1"), F.col("c2_b").alias("c2")))).alias("k")).select("k.*").distinct())
+        some = F.broadcast(some) if some.count() <= MAX_SENT else some
+        return first.union(self._similar(rest, sets.join(some, ["c1", "c2"], "left_semi")))
+
+    def _sets(self, ends: DataFrame) -> DataFrame:
+        """c1, c2, items of the wanted lines; ends: doc_id, th, wanted. Up to MAX_SENT line numbers are broadcast, so texts aren't shuffled."""
         ends = settled(ends.withColumnsRenamed({"doc_id": "at_id", "th": "at_th"}))
         wanted = ends.agg(F.sum(F.size("wanted"))).first()[0] or 0
-        ends = F.broadcast(ends) if wanted <= MAX_SENT else ends  # so that texts aren't shuffled
-        texts = self.docs.join(ends, F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("th") == F.col("at_th"))).dropDuplicates(["doc_id", "th"])
-        sets = settled(texts.select("text", "wanted").mapInArrow(_line_sets, "c1 long, c2 long, items array<bigint>")).dropDuplicates(["c1", "c2"])
+        ends = F.broadcast(ends) if wanted <= MAX_SENT else ends
+        texts = self.docs.join(ends, F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("th") == F.col("at_th")))
+        return texts.select("text", "wanted").mapInArrow(_line_sets, "c1 long, c2 long, items array<bigint>")
+
+    def _similar(self, both: DataFrame, sets: DataFrame) -> DataFrame:
         for k in "ab":
             both = both.join(sets.select(*(F.col(c).alias(f"{c}_{k}") for c in ("c1", "c2", "items"))), [f"c1_{k}", f"c2_{k}"])
         met = F.size(F.array_intersect("items_a", "items_b"))
-        both = both.filter(100 * met >= self.percent * (F.col("n_a") + F.col("n_b") - met))
-        later = F.col("top_a") > F.col("top_b")
-        return both.select(F.when(later, F.col("c1_a")).otherwise(F.col("c1_b")).alias("c1"), F.when(later, F.col("c2_a")).otherwise(F.col("c2_b")).alias("c2")).distinct()
+        return both.filter(100 * met >= self.percent * (F.col("n_a") + F.col("n_b") - met)).select(F.col("c1_b").alias("c1"), F.col("c2_b").alias("c2")).distinct()
 
 
 def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -246,7 +263,9 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     state = join.classes.join(gone, ["c1", "c2"], "left").select("c1", "c2", "top", F.coalesce("similar", F.lit(False)).alias("similar"))
     marked = join.lines.join(state, ["c1", "c2"]).filter(F.col("similar") | (F.struct("doc_id", "th", "line") != F.col("top")))
     lists = marked.groupBy("doc_id", "th").agg(F.sort_array(F.collect_set(F.col("line").cast("int"))).alias("gone"))
-    lists = lists.withColumnsRenamed({"doc_id": "at_id", "th": "at_th"})
+    lists = settled(lists.withColumnsRenamed({"doc_id": "at_id", "th": "at_th"}))
+    numbers = lists.agg(F.sum(F.size("gone"))).first()[0] or 0
+    lists = F.broadcast(lists) if numbers <= MAX_SENT else lists
     out = rows.join(lists, F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("th") == F.col("at_th")), "left")
     parts = F.split("text", "\n", -1)
     keep = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("gone"))
