@@ -4,7 +4,7 @@ A line is the set of its words (A-Z lowered). Lines with equal sets form a class
 (doc_id, text hash, line number). Words are ordered by rarity, read from a table of 2**20 hashed counts (1 MB, whatever
 the corpus); a class is indexed under the rarest words of its prefix, so that two classes of Jaccard similarity
 `percent` or more share an indexed word. Buckets of words pair their classes under length and position filters; words
-with more than CROWD classes pair every class with one pivot first, and only classes not yet removed meet the others.
+with more than CROWD classes pair every class with the first one, and only classes not removed by that meet the others.
 Candidates are verified on the word sets. A line goes if an earlier line has the same or a similar enough set.
 """
 
@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 from .arrays import LOWER, Words, by_group, mix, raw, slices
 from .store import settled
 
-PERCENT, CROWD, MAX_SENT = 80, 32, 1_000_000
+PERCENT, CROWD, MAX_SENT = 80, 4, 1_000_000
 _COUNTS, _SEGMENTS = 1 << 20, 64
 _STEP = np.uint64(0x9FB21C651E98DF25)
-_ENTRY = np.dtype([("word", "<u4"), ("cls", "<i8"), ("n", "<u4"), ("at", "<u4")])
+_ENTRY = np.dtype([("word", "<u4"), ("cls", "<i8"), ("n", "<u4"), ("at", "<u4"), ("order", "<i8")])
 
 
 class Lines:
@@ -98,6 +98,13 @@ def prefix(n: np.ndarray, percent: int) -> np.ndarray:
     return n - (percent * n + 99) // 100 + 1
 
 
+def _order(batch: pa.RecordBatch, lines: Lines) -> np.ndarray:
+    """Numbers that rise from line to line in most cases; they choose pivots only."""
+    ids = batch.column("doc_id")
+    first = ids.fill_null(0).cast(pa.int64()).to_numpy() if pa.types.is_integer(ids.type) else np.zeros(len(ids), np.int64)
+    return (first[lines.doc] << 20) + lines.number
+
+
 def _index(scale, percent: int, buckets: int):
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rarity = np.frombuffer(scale.value, dtype=np.uint8)
@@ -116,6 +123,7 @@ def _index(scale, percent: int, buckets: int):
                 h = mix(h[np.repeat(first, long) + at])
                 entry = np.empty(len(h), dtype=_ENTRY)
                 entry["word"], entry["cls"], entry["n"], entry["at"] = h >> np.uint64(32), np.repeat(c1, long), np.repeat(n, long), at
+                entry["order"] = np.repeat(_order(batch, lines)[used[once]], long)
                 found.append((h % np.uint64(buckets), entry))
             bucket, entry = (np.concatenate(x) for x in zip(*found, strict=True))
             order = np.argsort(bucket, kind="stable")
@@ -127,20 +135,23 @@ def _index(scale, percent: int, buckets: int):
 
 
 def _fits(x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
-    """Length and position filters of two entries under the same word."""
+    """Length and position filters of two entries under the same word: the first word that two similar sets share leaves,
+    with itself, enough words in both for the overlap that their sizes ask for.
+    """
     nx, ny, ix, iy = (v.astype(np.int64) for v in (x["n"], y["n"], x["at"], y["at"]))
-    most = np.minimum(ix, iy) + np.minimum(nx - ix, ny - iy)
-    return (100 * np.minimum(nx, ny) >= percent * np.maximum(nx, ny)) & ((100 + percent) * most >= percent * (nx + ny)) & (x["cls"] != y["cls"])
+    left = np.minimum(nx - ix, ny - iy)
+    return (100 * np.minimum(nx, ny) >= percent * np.maximum(nx, ny)) & ((100 + percent) * left >= percent * (nx + ny)) & (x["cls"] != y["cls"])
 
 
 def _candidates(percent: int):
     def candidates(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         """Rows (word, a, b): classes to compare; rows (word, a, n, at) without b: entries of a crowded word."""
         e = np.frombuffer(b"".join(x.as_py() for x in table.column("entries")), dtype=_ENTRY)
-        e = e[np.lexsort((e["cls"], e["word"]))]
+        e = e[np.lexsort((e["order"], e["cls"], e["word"]))]
         new = np.ones(len(e), dtype=bool)
         new[1:] = (e["word"][1:] != e["word"][:-1]) | (e["cls"][1:] != e["cls"][:-1])
         e = e[new]
+        e = e[np.lexsort((e["order"], e["word"]))]  # the first line is the pivot
         _, first, size = np.unique(e["word"], return_index=True, return_counts=True)
         start, size = np.repeat(first, size), np.repeat(size, size)
         near = np.arange(len(e)) - start
@@ -201,7 +212,7 @@ class _Join:
         """c1, c2 of the classes whose first line has an earlier similar line."""
         spark = self.docs.sparkSession
         buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-        index = self.docs.select("text").mapInArrow(_index(self.scale, self.percent, buckets), "bucket long, entries binary")
+        index = self.docs.select("doc_id", "text").mapInArrow(_index(self.scale, self.percent, buckets), "bucket long, entries binary")
         found = settled(index.groupBy("bucket").applyInArrow(_candidates(self.percent), "word long, a long, b long, n long, at long"))
         first = settled(self.verified(found.filter("b is not null").select("a", "b").distinct()))
         crowded = found.filter("b is null").select("word", F.col("a").alias("c1"), "n", "at")
@@ -209,8 +220,8 @@ class _Join:
         all_ = crowded.join(tops, "c1")
         left = all_.join(first, ["c1", "c2"], "left_anti")
         x, y = (d.select("word", F.col("c1").alias(k), F.col("top").alias(f"top_{k}"), F.col("n").alias(f"n_{k}"), F.col("at").alias(f"at_{k}")) for d, k in ((all_, "a"), (left, "b")))
-        most = F.least("at_a", "at_b") + F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
-        near = (100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b")) & ((100 + self.percent) * most >= self.percent * (F.col("n_a") + F.col("n_b")))
+        left_over = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
+        near = (100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b")) & ((100 + self.percent) * left_over >= self.percent * (F.col("n_a") + F.col("n_b")))
         rest = x.join(y, "word").filter((F.col("top_a") < F.col("top_b")) & near).select("a", "b").distinct()
         return first.union(self.verified(rest)).distinct()
 
