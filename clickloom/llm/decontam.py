@@ -56,13 +56,13 @@ def _hits(docs: DataFrame, bench: DataFrame, window: int) -> DataFrame:
     return hit.groupBy("row").agg(F.collect_set(F.struct((F.col("at") + 1).alias("at"), "size", "passage", "items")).alias("hits"))
 
 
-def scan(docs: DataFrame, bench: DataFrame, window: int = WINDOW, percent: int = PERCENT) -> DataFrame:
-    """docs with a struct column `decontam`: words, hit (word numbers, from 1), items (sorted), contaminated.
+def scan(docs: DataFrame, bench: DataFrame, window: int = WINDOW, percent: int = PERCENT, column: str = "decontam") -> DataFrame:
+    """docs with a struct column (`decontam`, or another name that docs lacks): words, hit (word numbers, from 1), items (sorted), contaminated.
 
     A text is contaminated if some words are hit and they are at least `percent` of its words. Null and empty texts and
     an empty benchmark give no hits; repeated rows are judged each.
     """
-    docs = docs.withColumn("row", F.xxhash64("doc_id", "text")) if "row" not in docs.columns else docs.select(F.struct("*").alias("given"), "doc_id", "text", F.xxhash64("doc_id", "text").alias("row"))
+    docs = docs.select(F.struct("*").alias("given"), "text", F.xxhash64("doc_id", "text").alias("row"))
     joined = docs.join(_hits(docs.select("row", "text"), bench, window), "row", "left")
     words = words_of("text")
     true = F.filter("hits", lambda h: F.slice("words", h["at"], h["size"]) == h["passage"])
@@ -71,14 +71,20 @@ def scan(docs: DataFrame, bench: DataFrame, window: int = WINDOW, percent: int =
     items = F.array_sort(F.array_distinct(F.flatten(F.transform("hits", lambda h: h["items"]))))
     bad = (F.size("hit") > 0) & (100 * F.size("hit") >= percent * F.size("words"))
     out = out.withColumn("hit", hit).withColumn("items", items)
-    out = out.withColumn("decontam", F.struct("words", "hit", "items", bad.alias("contaminated")))
-    kept = ["given.*"] if "given" in docs.columns else [c for c in docs.columns if c != "row"]
-    return out.select(*kept, "decontam")
+    return out.select("given.*", F.struct("words", "hit", "items", bad.alias("contaminated")).alias(column))
+
+
+def free_name(docs: DataFrame, name: str) -> str:
+    """name, or name with underscores until docs has no such column."""
+    while name in docs.columns:
+        name += "_"
+    return name
 
 
 def clean_documents(docs: DataFrame, bench: DataFrame, window: int = WINDOW, percent: int = PERCENT) -> DataFrame:
     """The rows of docs that are not contaminated."""
-    return scan(docs, bench, window, percent).filter("not decontam.contaminated").drop("decontam")
+    column = free_name(docs, "decontam")
+    return scan(docs, bench, window, percent, column).filter(~F.col(f"{column}.contaminated")).drop(column)
 
 
 def clean_spans(docs: DataFrame, bench: DataFrame, window: int = WINDOW) -> DataFrame:

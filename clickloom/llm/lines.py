@@ -3,8 +3,8 @@
 A line is the set of its words (A-Z lowered). Lines with equal sets form a class, whose first line is the smallest by
 (doc_id, text hash, line number). Words are ordered by rarity, read from a table of 2**20 hashed counts (1 MB, whatever
 the corpus); a class is indexed under the rarest words of its prefix, so that two classes of Jaccard similarity
-`percent` or more share an indexed word. Buckets of words pair their classes under length and position filters; words
-with more than CROWD classes pair every class with the first one, and only classes not removed by that meet the others.
+`percent` or more share an indexed word. Buckets of words pair their classes under length and position filters; a class with
+more than CROWD partners under a word meets the earliest ones first, and the others only if it isn't removed by that.
 Candidates are verified on the word sets. A line goes if an earlier line has the same or a similar enough set.
 """
 
@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 from .arrays import LOWER, Words, by_group, mix, raw, slices
 from .store import settled
 
-PERCENT, CROWD, MAX_SENT = 80, 4, 1_000_000
+PERCENT, CROWD, ALL, MAX_SENT = 80, 8, 1024, 1_000_000
 _COUNTS, _SEGMENTS = 1 << 20, 64
 _STEP = np.uint64(0x9FB21C651E98DF25)
-_ENTRY = np.dtype([("word", "<u4"), ("cls", "<i8"), ("n", "<u4"), ("at", "<u4"), ("order", "<i8")])
+_ENTRY = np.dtype([("word", "<u4"), ("cls", "<i8"), ("n", "<u4"), ("at", "<u4"), ("order", "<u4"), ("bits", "<u8")])
 
 
 class Lines:
@@ -102,7 +102,7 @@ def _order(batch: pa.RecordBatch, lines: Lines) -> np.ndarray:
     """Numbers that rise from line to line in most cases; they choose pivots only."""
     ids = batch.column("doc_id")
     first = ids.fill_null(0).cast(pa.int64()).to_numpy() if pa.types.is_integer(ids.type) else np.zeros(len(ids), np.int64)
-    return (first[lines.doc] << 20) + lines.number
+    return np.clip((first[lines.doc] << 4) + np.minimum(lines.number, 15), 0, 0xFFFFFFFF)
 
 
 def _index(scale, percent: int, buckets: int):
@@ -117,13 +117,14 @@ def _index(scale, percent: int, buckets: int):
                 used, first, c1, _ = _class_ids(line, h)
                 _, once = np.unique(c1, return_index=True)
                 n = np.diff(np.append(first, len(h)))
-                first, c1, n = first[once], c1[once], n[once]
+                bits = np.bitwise_or.reduceat(np.uint64(1) << (h >> np.uint64(58)), first) if len(first) else h
+                first, c1, n, bits = first[once], c1[once], n[once], bits[once]
                 long = prefix(n, percent)
                 at = np.arange(long.sum()) - np.repeat(np.cumsum(long) - long, long)
                 h = mix(h[np.repeat(first, long) + at])
                 entry = np.empty(len(h), dtype=_ENTRY)
                 entry["word"], entry["cls"], entry["n"], entry["at"] = h >> np.uint64(32), np.repeat(c1, long), np.repeat(n, long), at
-                entry["order"] = np.repeat(_order(batch, lines)[used[once]], long)
+                entry["order"], entry["bits"] = np.repeat(_order(batch, lines)[used[once]], long), np.repeat(bits, long)
                 found.append((h % np.uint64(buckets), entry))
             bucket, entry = (np.concatenate(x) for x in zip(*found, strict=True))
             order = np.argsort(bucket, kind="stable")
@@ -134,46 +135,57 @@ def _index(scale, percent: int, buckets: int):
     return index
 
 
-def _fits(x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
-    """Length and position filters of two entries under the same word: the first word that two similar sets share leaves,
-    with itself, enough words in both for the overlap that their sizes ask for.
+def _fits(n: np.ndarray, at: np.ndarray, bits: np.ndarray, x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+    """Length, position and difference filters of entries x and y under the same word: the first word that two similar sets
+    share leaves, with itself, enough words in both for the overlap that their sizes ask for; and each bit that only one
+    set's words light is a word that the other lacks.
     """
-    nx, ny, ix, iy = (v.astype(np.int64) for v in (x["n"], y["n"], x["at"], y["at"]))
-    left = np.minimum(nx - ix, ny - iy)
-    return (100 * np.minimum(nx, ny) >= percent * np.maximum(nx, ny)) & ((100 + percent) * left >= percent * (nx + ny)) & (x["cls"] != y["cls"])
+    nx, ny = n[x], n[y]
+    left = np.minimum(nx - at[x], ny - at[y])
+    apart = np.bitwise_count(bits[x] ^ bits[y]).astype(np.int64)
+    return (100 * np.minimum(nx, ny) >= percent * np.maximum(nx, ny)) & ((100 + percent) * left >= percent * (nx + ny)) & ((100 + percent) * apart <= (100 - percent) * (nx + ny))
 
 
 def _candidates(percent: int):
     def candidates(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        """Rows (word, a, b): classes to compare; rows (word, a, n, at) without b: entries of a crowded word."""
+        """Rows (a, b): classes to compare. Where a class has more than CROWD partners before it under a word, its first ones
+        only; it comes again as a row (word, a, n, at, late) without b, as do all other classes of that word, not late.
+        """
         e = np.frombuffer(b"".join(x.as_py() for x in table.column("entries")), dtype=_ENTRY)
         e = e[np.lexsort((e["order"], e["cls"], e["word"]))]
         new = np.ones(len(e), dtype=bool)
         new[1:] = (e["word"][1:] != e["word"][:-1]) | (e["cls"][1:] != e["cls"][:-1])
         e = e[new]
-        e = e[np.lexsort((e["order"], e["word"]))]  # the first line is the pivot
-        _, first, size = np.unique(e["word"], return_index=True, return_counts=True)
-        start, size = np.repeat(first, size), np.repeat(size, size)
+        e = e[np.lexsort((e["order"], e["word"]))]  # earlier lines first
+        n, at, cls, bits = e["n"].astype(np.int64), e["at"].astype(np.int64), e["cls"], e["bits"]
+        _, group, size = np.unique(e["word"], return_inverse=True, return_counts=True)
+        start, size = np.repeat(np.cumsum(size) - size, size), np.repeat(size, size)
         near = np.arange(len(e)) - start
-        pairs = []
-        for k in range(1, CROWD):
-            right = np.flatnonzero((near >= k) & (size <= CROWD))
-            if not len(right):
+        alive, lefts, rights = np.flatnonzero(size <= ALL), [], []
+        for k in range(1, ALL):
+            alive = alive[near[alive] >= k]
+            if not len(alive):
                 break
-            pairs.append((right - k, right))
-        crowd = np.flatnonzero(size > CROWD)
-        pairs.append((start[crowd], crowd))
-        left, right = (np.concatenate(x) for x in zip(*pairs, strict=True))
-        ok = _fits(e[left], e[right], percent)
-        a, b = e["cls"][left[ok]], e["cls"][right[ok]]
+            ok = alive[_fits(n, at, bits, alive - k, alive, percent)]
+            lefts.append(ok - k)
+            rights.append(ok)
+        large = np.flatnonzero((size > ALL) & (near > 0))
+        left, right = np.concatenate([*lefts, start[large]]), np.concatenate([*rights, large])
+        late = np.bincount(right, minlength=len(e)) > CROWD
+        late[large] = True
+        order = np.lexsort((left, right))
+        left, right = left[order], right[order]
+        first = np.ones(len(right), dtype=bool)
+        first[1:] = right[1:] != right[:-1]
+        begin = np.maximum.accumulate(np.where(first, np.arange(len(right)), 0))
+        keep = ~late[right] | (np.arange(len(right)) - begin < CROWD)
+        a, b = cls[left[keep]], cls[right[keep]]
         a, b = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1) if len(a) else (a, b)
+        crowd = np.flatnonzero(np.isin(group, group[late]))
         word = (key[0].as_py() << 32) + e["word"][crowd].astype(np.int64)
-        one, two = pa.nulls(len(a), pa.int64()), pa.nulls(len(crowd), pa.int64())
-        c = e[crowd]
-        return pa.table({
-            "word": pa.chunked_array([one, pa.array(word)]), "a": pa.chunked_array([pa.array(a), pa.array(c["cls"])]), "b": pa.chunked_array([pa.array(b), two]),
-            "n": pa.chunked_array([one, pa.array(c["n"].astype(np.int64))]), "at": pa.chunked_array([one, pa.array(c["at"].astype(np.int64))]),
-        })
+        one = pa.nulls(len(a), pa.int64())
+        cells = {"word": (one, word), "a": (a, cls[crowd]), "b": (b, pa.nulls(len(crowd), pa.int64())), "n": (one, n[crowd]), "at": (one, at[crowd]), "bits": (one, bits[crowd].view(np.int64)), "late": (np.zeros(len(a), bool), late[crowd])}
+        return pa.table({c: pa.chunked_array([x if isinstance(x, pa.Array) else pa.array(x) for x in v]) for c, v in cells.items()})
 
     return candidates
 
@@ -213,15 +225,16 @@ class _Join:
         spark = self.docs.sparkSession
         buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
         index = self.docs.select("doc_id", "text").mapInArrow(_index(self.scale, self.percent, buckets), "bucket long, entries binary")
-        found = settled(index.groupBy("bucket").applyInArrow(_candidates(self.percent), "word long, a long, b long, n long, at long"))
+        found = settled(index.groupBy("bucket").applyInArrow(_candidates(self.percent), "word long, a long, b long, n long, at long, bits long, late boolean"))
         first = settled(self.verified(found.filter("b is not null").select("a", "b").distinct()))
-        crowded = found.filter("b is null").select("word", F.col("a").alias("c1"), "n", "at")
+        crowded = found.filter("b is null").select("word", F.col("a").alias("c1"), "n", "at", "bits", "late")
         tops = self.classes.select("c1", "c2", "top")
         all_ = crowded.join(tops, "c1")
-        left = all_.join(first, ["c1", "c2"], "left_anti")
-        x, y = (d.select("word", F.col("c1").alias(k), F.col("top").alias(f"top_{k}"), F.col("n").alias(f"n_{k}"), F.col("at").alias(f"at_{k}")) for d, k in ((all_, "a"), (left, "b")))
+        left = all_.filter("late").join(first, ["c1", "c2"], "left_anti")
+        x, y = (d.select("word", F.col("c1").alias(k), F.col("top").alias(f"top_{k}"), *(F.col(c).alias(f"{c}_{k}") for c in ("n", "at", "bits"))) for d, k in ((all_, "a"), (left, "b")))
         left_over = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
         near = (100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b")) & ((100 + self.percent) * left_over >= self.percent * (F.col("n_a") + F.col("n_b")))
+        near = near & ((100 + self.percent) * F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits_b"))) <= (100 - self.percent) * (F.col("n_a") + F.col("n_b")))
         rest = x.join(y, "word").filter((F.col("top_a") < F.col("top_b")) & near).select("a", "b").distinct()
         return first.union(self.verified(rest)).distinct()
 
@@ -261,8 +274,8 @@ class _Join:
         return both.filter(100 * met >= self.percent * (F.col("n_a") + F.col("n_b") - met)).select(F.col("c1_b").alias("c1"), F.col("c2_b").alias("c2")).distinct()
 
 
-def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """docs with a struct column `lines`: n (lines), gone (numbers of removed lines, from 0), text (what is left).
+def dedup_lines(docs: DataFrame, percent: int = PERCENT, column: str = "lines") -> DataFrame:
+    """docs with a struct column (`lines`, or another name that docs lacks): n (lines), gone (numbers of removed lines, from 0), text (what is left).
 
     Lines are parts of the text between newlines; lines without words stay. A null text has no lines and stays null; a
     text that loses all lines is empty. Rows with equal doc_id and text count as one document.
@@ -283,4 +296,4 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(keep, lambda i: F.get(parts, i)), "\n"))
     none = F.array().cast("array<int>")
     n = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(parts))
-    return out.select(*(F.col("given")[c].alias(c) for c in names), F.struct(n.cast("long").alias("n"), F.coalesce("gone", none).alias("gone"), text.alias("text")).alias("lines"))
+    return out.select(*(F.col("given")[c].alias(c) for c in names), F.struct(n.cast("long").alias("n"), F.coalesce("gone", none).alias("gone"), text.alias("text")).alias(column))

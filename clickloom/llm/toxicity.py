@@ -154,22 +154,22 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int = 5
     return matcher, logistic(seen[["x1", "x2"]].to_numpy(), y)
 
 
-def _scores(matcher: Matcher, curve: np.ndarray):
+def _scores(matcher: Matcher, curve: np.ndarray, column: str):
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = np.array([(*matcher.features(t), 1.0) for t in batch.column("text").to_pylist()]).reshape(-1, 3)
             score = pa.array(1 / (1 + np.exp(-np.clip(x @ curve, -30, 30))))
-            yield pa.record_batch([*batch.columns, score], [*batch.schema.names, "tox_score"])
+            yield pa.record_batch([*batch.columns, score], [*batch.schema.names, column])
 
     return scores
 
 
-def with_scores(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:  # noqa: ANN003
-    """docs with tox_score (0 to 1) for each row; null and empty texts score as texts without hits. No shuffle of texts.
+def with_scores(docs: DataFrame, labels: DataFrame, column: str = "tox_score", **options) -> DataFrame:  # noqa: ANN003
+    """docs with a score (0 to 1) in `column`, a name that docs lacks, for each row; null and empty texts score as texts without hits. No shuffle of texts.
 
-    Without labels of both kinds no text is toxic. docs must not have a column tox_score.
+    Without labels of both kinds no text is toxic.
     """
     from pyspark.sql.types import DoubleType, StructType
 
-    schema = StructType([*docs.schema.fields]).add("tox_score", DoubleType())
-    return docs.mapInArrow(_scores(*fit(docs, labels, **options)), schema)
+    schema = StructType([*docs.schema.fields]).add(column, DoubleType())
+    return docs.mapInArrow(_scores(*fit(docs, labels, **options), column), schema)

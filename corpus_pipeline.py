@@ -13,13 +13,15 @@ from clickloom.llm import decontam, lines, neardup, packing, store, toxicity
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity score rejects (0.5 or more) go."""
-    scored = toxicity.with_scores(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return scored.filter("tox_score < 0.5").drop("tox_score")
+    score = decontam.free_name(docs, "tox_score")
+    scored = toxicity.with_scores(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), score)
+    return scored.filter(F.col(score) < 0.5).drop(score)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that repeat an earlier one, or nearly so, go; all documents stay."""
-    found = lines.dedup_lines(docs).withColumn("text", F.col("lines.text")).drop("lines")
+    column = decontam.free_name(docs, "lines")
+    found = lines.dedup_lines(docs, column=column).withColumn("text", F.col(f"{column}.text")).drop(column)
     if "n_chars" in docs.columns:
         found = found.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return found

@@ -339,6 +339,12 @@ def test_pipeline(spark, tmp_path, docs, bench, labels, texts):
     for name, df in (("documents", docs), ("benchmark", bench), ("labels", labels)):
         df.coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
     d = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    clash = docs.limit(5)
+    for name in ("row", "words", "hits", "lines", "tox_score", "decontam", "block", "key", "bucket", "th", "given"):
+        clash = clash.withColumn(name, F.lit(name))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        same = stage(spark, clash, str(tmp_path))
+        assert same.columns == clash.columns and same.filter("row <> 'row' or hits <> 'hits' or th <> 'th' or lines <> 'lines'").count() == 0
     for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
         stage(spark, d, str(tmp_path)).write.parquet(f"{tmp_path}/stage{k}")
         d = spark.read.parquet(f"{tmp_path}/stage{k}")
