@@ -484,10 +484,10 @@ def wire_events(spark: SparkSession, d: str) -> DataFrame:
     return wire.select("key", *(F.get_json_object("value", f"$.{c}").alias(c) for c in ("event_time", "event_type", "product_id")))
 
 
-@query(PRICE + " SELECT day, site, product_id, product_name, brand, round(price, 4) AS price, round(list_price, 4) AS list_price, currency, in_stock FROM marked WHERE rejection_reason IS NULL")
+@query(PRICE + " SELECT day, site, product_id, product_name, brand, round(price, 8) AS price, round(list_price, 8) AS list_price, currency, in_stock FROM marked WHERE rejection_reason IS NULL")
 def price_snapshots(spark: SparkSession, d: str) -> DataFrame:
     good, _ = prices.split_prices(prices.normalize_prices(raw_prices(spark, d)))
-    return rounded(good.select(F.date_format("snapshot_time", "yyyy-MM-dd").alias("day"), "site", "product_id", "product_name", "brand", "price", "list_price", "currency", "in_stock"), 4)
+    return rounded(good.select(F.date_format("snapshot_time", "yyyy-MM-dd").alias("day"), "site", "product_id", "product_name", "brand", "price", "list_price", "currency", "in_stock"), 8)
 
 
 @query(PRICE + " SELECT site, count(*) AS snapshots, count(*) FILTER (rejection_reason IS NOT NULL) AS rejected, count(*) FILTER (price > list_price) AS above_list FROM marked GROUP BY 1")
