@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 SPACE = 32
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 # Bytes 0x09-0x0D and 0x20 separate words; A-Z become a-z in the lowering table.
 KEEP = np.arange(256, dtype=np.uint8)

@@ -194,7 +194,7 @@ def spans(model: Model, text: str, switch: float = SWITCH) -> list[tuple[int, in
 def _predict(model: Model | None, switch: float):
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, 8 << 20):
+            for batch in slices(whole, 4 << 20):
                 rows, text = batch.num_rows, batch.column("text")
                 lang, share, parts = ["und"] * rows, np.zeros(rows), np.zeros(rows, np.int64)
                 if model is not None:

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .arrays import slices
+
 SAMPLE, TERMS, LEAST_TEXTS, LEAST_RATIO = 10_000, 400, 3, 20.0
 PREFIXES = range(3, 10)
 EXCEPTIONS = ("clown fish", "trash can", "trash bin", "stupid simple", "loser bracket", "pond scum")
@@ -156,10 +158,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int = 5
 
 def _scores(matcher: Matcher, curve: np.ndarray, column: str):
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = np.array([(*matcher.features(t), 1.0) for t in batch.column("text").to_pylist()]).reshape(-1, 3)
-            score = pa.array(1 / (1 + np.exp(-np.clip(x @ curve, -30, 30))))
-            yield pa.record_batch([*batch.columns, score], [*batch.schema.names, column])
+        for whole in batches:
+            at = 0
+            for part in slices(whole.select(["text"])):
+                batch = whole.slice(at, part.num_rows)
+                at += part.num_rows
+                x = np.array([(*matcher.features(t), 1.0) for t in part.column("text").to_pylist()]).reshape(-1, 3)
+                score = pa.array(1 / (1 + np.exp(-np.clip(x @ curve, -30, 30))))
+                yield pa.record_batch([*batch.columns, score], [*batch.schema.names, column])
 
     return scores
 
