@@ -149,7 +149,7 @@ def _fits(n: np.ndarray, at: np.ndarray, bits: np.ndarray, x: np.ndarray, y: np.
 def _candidates(percent: int):
     def candidates(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         """Rows (a, b): classes to compare. Where a class has more than CROWD partners before it under a word, its first ones
-        only; it comes again as a row (word, a, n, at, late) without b, as do all other classes of that word, not late.
+        only; it comes again as a row (word, a, n, at, bits, late) without b, as do, not late, those it may be paired with.
         """
         e = np.frombuffer(b"".join(x.as_py() for x in table.column("entries")), dtype=_ENTRY)
         e = e[np.lexsort((e["order"], e["cls"], e["word"]))]
@@ -181,7 +181,9 @@ def _candidates(percent: int):
         keep = ~late[right] | (np.arange(len(right)) - begin < CROWD)
         a, b = cls[left[keep]], cls[right[keep]]
         a, b = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1) if len(a) else (a, b)
-        crowd = np.flatnonzero(np.isin(group, group[late]))
+        partner = late.copy()
+        partner[left[late[right]]] = True
+        crowd = np.flatnonzero(partner | ((size > ALL) & np.isin(group, group[late])))
         word = (key[0].as_py() << 32) + e["word"][crowd].astype(np.int64)
         one = pa.nulls(len(a), pa.int64())
         cells = {"word": (one, word), "a": (a, cls[crowd]), "b": (b, pa.nulls(len(crowd), pa.int64())), "n": (one, n[crowd]), "at": (one, at[crowd]), "bits": (one, bits[crowd].view(np.int64)), "late": (np.zeros(len(a), bool), late[crowd])}
@@ -229,7 +231,7 @@ class _Join:
         first = settled(self.verified(found.filter("b is not null").select("a", "b").distinct()))
         crowded = found.filter("b is null").select("word", F.col("a").alias("c1"), "n", "at", "bits", "late")
         tops = self.classes.select("c1", "c2", "top")
-        all_ = crowded.join(tops, "c1")
+        all_ = settled(crowded.join(tops, "c1"))
         left = all_.filter("late").join(first, ["c1", "c2"], "left_anti")
         x, y = (d.select("word", F.col("c1").alias(k), F.col("top").alias(f"top_{k}"), *(F.col(c).alias(f"{c}_{k}") for c in ("n", "at", "bits"))) for d, k in ((all_, "a"), (left, "b")))
         left_over = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
