@@ -4,7 +4,8 @@ A line is the set of its words (A-Z lowered). Lines with equal sets form a class
 (doc_id, text hash, line number). Words are ordered by rarity, read from a table of 2**20 hashed counts (1 MB, whatever
 the corpus); a class is indexed under the rarest words of its prefix, so that two classes of Jaccard similarity
 `percent` or more share an indexed word. Buckets of words pair their classes under length and position filters; a class with
-more than CROWD partners under a word meets the earliest ones first, and the others only if it isn't removed by that.
+more than CROWD partners under a word meets the earliest ones first. Each pair put off by that is compared afterwards,
+unless the later class of the two, by their first lines, is removed already.
 Candidates are verified on the word sets. A line goes if an earlier line has the same or a similar enough set.
 """
 
@@ -99,7 +100,7 @@ def prefix(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _order(batch: pa.RecordBatch, lines: Lines) -> np.ndarray:
-    """Numbers that rise from line to line in most cases; they choose pivots only."""
+    """Numbers that rise from line to line in most cases; they choose pivots, and so which pairs are put off."""
     ids = batch.column("doc_id")
     first = ids.fill_null(0).cast(pa.int64()).to_numpy() if pa.types.is_integer(ids.type) else np.zeros(len(ids), np.int64)
     return np.clip((first[lines.doc] << 4) + np.minimum(lines.number, 15), 0, 0xFFFFFFFF)
@@ -149,7 +150,8 @@ def _fits(n: np.ndarray, at: np.ndarray, bits: np.ndarray, x: np.ndarray, y: np.
 def _candidates(percent: int):
     def candidates(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         """Rows (a, b): classes to compare. Where a class has more than CROWD partners before it under a word, its first ones
-        only; it comes again as a row (word, a, n, at, bits, late) without b, as do, not late, those it may be paired with.
+        only; it comes again as a row (word, a, n, at, bits, place) without b, as do those it may be paired with. place: the
+        class's place under the word, from 1, negative for a class that met all before it.
         """
         e = np.frombuffer(b"".join(x.as_py() for x in table.column("entries")), dtype=_ENTRY)
         e = e[np.lexsort((e["order"], e["cls"], e["word"]))]
@@ -186,7 +188,7 @@ def _candidates(percent: int):
         crowd = np.flatnonzero(partner | ((size > ALL) & np.isin(group, group[late])))
         word = (key[0].as_py() << 32) + e["word"][crowd].astype(np.int64)
         one = pa.nulls(len(a), pa.int64())
-        cells = {"word": (one, word), "a": (a, cls[crowd]), "b": (b, pa.nulls(len(crowd), pa.int64())), "n": (one, n[crowd]), "at": (one, at[crowd]), "bits": (one, bits[crowd].view(np.int64)), "late": (np.zeros(len(a), bool), late[crowd])}
+        cells = {"word": (one, word), "a": (a, cls[crowd]), "b": (b, pa.nulls(len(crowd), pa.int64())), "n": (one, n[crowd]), "at": (one, at[crowd]), "bits": (one, bits[crowd].view(np.int64)), "place": (one, np.where(late, near + 1, -near - 1)[crowd])}
         return pa.table({c: pa.chunked_array([x if isinstance(x, pa.Array) else pa.array(x) for x in v]) for c, v in cells.items()})
 
     return candidates
@@ -227,16 +229,17 @@ class _Join:
         spark = self.docs.sparkSession
         buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
         index = self.docs.select("doc_id", "text").mapInArrow(_index(self.scale, self.percent, buckets), "bucket long, entries binary")
-        found = settled(index.groupBy("bucket").applyInArrow(_candidates(self.percent), "word long, a long, b long, n long, at long, bits long, late boolean"))
+        found = settled(index.groupBy("bucket").applyInArrow(_candidates(self.percent), "word long, a long, b long, n long, at long, bits long, place long"))
         first = settled(self.verified(found.filter("b is not null").select("a", "b").distinct()))
-        crowded = found.filter("b is null").select("word", F.col("a").alias("c1"), "n", "at", "bits", "late")
+        crowded = found.filter("b is null").select("word", F.col("a").alias("c1"), "n", "at", "bits", "place")
         tops = self.classes.select("c1", "c2", "top")
         all_ = settled(crowded.join(tops, "c1"))
-        left = all_.filter("late").join(first, ["c1", "c2"], "left_anti")
-        x, y = (d.select("word", F.col("c1").alias(k), F.col("top").alias(f"top_{k}"), *(F.col(c).alias(f"{c}_{k}") for c in ("n", "at", "bits"))) for d, k in ((all_, "a"), (left, "b")))
+        left = all_.join(first, ["c1", "c2"], "left_anti")
+        x, y = (d.select("word", F.col("c1").alias(k), F.col("top").alias(f"top_{k}"), *(F.col(c).alias(f"{c}_{k}") for c in ("n", "at", "bits", "place"))) for d, k in ((all_, "a"), (left, "b")))
         left_over = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
         near = (100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b")) & ((100 + self.percent) * left_over >= self.percent * (F.col("n_a") + F.col("n_b")))
         near = near & ((100 + self.percent) * F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits_b"))) <= (100 - self.percent) * (F.col("n_a") + F.col("n_b")))
+        near = near & (F.when(F.abs("place_a") < F.abs("place_b"), F.col("place_b")).otherwise(F.col("place_a")) > 0)  # put off
         rest = x.join(y, "word").filter((F.col("top_a") < F.col("top_b")) & near).select("a", "b").distinct()
         return first.union(self.verified(rest)).distinct()
 

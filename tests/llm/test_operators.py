@@ -122,6 +122,23 @@ def test_crowded_lines(spark):
         assert found[i] == ([0] if any(100 * len(s & x) >= 80 * len(s | x) for x in sets[:i]) else [])
 
 
+@pytest.mark.parametrize("kind", ["one document", "large ids"])
+def test_crowded_lines_in_any_order(spark, kind):
+    """Pivot order (ties by class hash) against the order of first lines, under words with more partners than CROWD."""
+    r = random.Random(2)
+    core = [f"c{i}" for i in range(12)]
+    rows = [" ".join([*(f"v{r.randrange(30)}" if r.random() < 0.12 else w for w in core), *(f"w{r.randrange(30)}" for _ in range(r.randint(0, 2)))]) for _ in range(100)]
+    sets = [frozenset(t.split()) for t in rows]
+    gone = [i for i, s in enumerate(sets) if any(100 * len(s & x) >= 80 * len(s | x) for x in sets[:i])]
+    if kind == "one document":
+        d = [(1, "\n".join(rows))]
+    else:
+        d = [((1 << 28) + 5 * i, t) for i, t in enumerate(rows)]
+        r.shuffle(d)
+    found = lines.dedup_lines(spark.createDataFrame(d, "doc_id long, text string")).collect()
+    assert gone == (found[0].lines.gone if kind == "one document" else sorted((x.doc_id - (1 << 28)) // 5 for x in found if x.lines.gone))
+
+
 def test_quality(docs, texts, labels, empty):
     import regex
 
