@@ -1,26 +1,25 @@
-"""Operator 8: documents packed into sequences of at most 1024 tokens by hierarchical residual best fit.
+"""Operator 8: documents packed into sequences of at most 1024 tokens by best fit over all pieces.
 
-Each input partition tokenises its documents, cuts those that are too long, and packs the pieces by best fit, longest
-first. Bins that are nearly full are final. Underfull bins travel up a tree: eight partitions meet in one, their bins are
-packed as items by best fit again, and so on to the root. Of a node's underfull bins at most SENT, the emptiest, go on
-and the others are final as they are, so no node ever holds more than 8 * SENT items, whatever the input.
+Each input partition tokenises its documents, cuts those that are too long, and numbers its pieces of each length. Best
+fit, longest first, depends on lengths alone, so the driver plans it from the counts of the at most 1024 lengths, exactly
+as if all pieces were in one place: runs of bins filled alike, with the numbers of the pieces that go into them. Each
+piece then finds its sequence and offset by its length and number. No piece is held back and no bin closed early.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .arrays import slices
+from .arrays import ragged, slices
 from .store import settled
 
-CAPACITY, SLACK, FAN, SENT, BUFFER = 1024, 4, 8, 4096, 100_000
+CAPACITY = 1024
 END_ID = 2
 MAX_UNITS = 600_000  # of each of two generations of remembered stretches
 _SIGNS = ".,;:!?#$%&*|"
@@ -137,7 +136,7 @@ def cut(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
 
 
 def best_fit(sizes: np.ndarray, capacity: int = CAPACITY) -> list[list[int]]:
-    """Bins of item numbers: longest items first, each into the fullest bin that still takes it."""
+    """Bins of item numbers: longest items first, each into the fullest bin that still takes it. What `plan` is held against."""
     bins: list[list[int]] = []
     by_room: list[list[int]] = [[] for _ in range(capacity + 1)]
     open_rooms = 0  # bit r: a bin with room r is open
@@ -160,78 +159,76 @@ def best_fit(sizes: np.ndarray, capacity: int = CAPACITY) -> list[list[int]]:
     return bins
 
 
-_MEMBER = ("doc_id", "piece", "start", "length", "crc", "offset")
+def plan(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[int, np.ndarray]:
+    """The bins of best fit, longest first, for `counts` items of each size: their number, and rows (size, first, each, bin, at).
 
-
-class _Bins:
-    """Items (lists of pieces with a size) packed together; emitted as rows (node, final, size, members)."""
-
-    def __init__(self, id_type: pa.DataType, capacity: int):
-        self.member = pa.struct([pa.field("doc_id", id_type), *(pa.field(n, pa.int64()) for n in _MEMBER[1:])])
-        self.schema = pa.schema([("node", pa.int64()), ("final", pa.bool_()), ("size", pa.int64()), ("members", pa.list_(self.member))])
-        self.capacity = capacity
-
-    def pack(self, items: list[tuple[int, list[tuple]]], last: bool) -> tuple[list, list]:
-        """Final bins, and the underfull ones that go on."""
-        packed = []
-        for group in best_fit(np.array([s for s, _ in items], dtype=np.int64), self.capacity):
-            packed.append((sum(items[i][0] for i in group), [m for i in group for m in items[i][1]]))
-        if last:
-            return packed, []
-        done = [p for p in packed if p[0] >= self.capacity - SLACK]
-        rest = sorted((p for p in packed if p[0] < self.capacity - SLACK), key=lambda p: p[0])
-        return done + rest[SENT:], rest[:SENT]
-
-    def batch(self, node: int, final: list, rest: list) -> pa.RecordBatch:
-        rows = [*final, *rest]
-        flat = list(zip(*(m[:5] for _, ms in rows for m in ms), strict=True)) or [[]] * 5
-        flat.append([at - m[3] for _, ms in rows for m, at in zip(ms, accumulate(m[3] for m in ms), strict=True)])
-        parts = [pa.array(list(v), f.type) for v, f in zip(flat, self.member, strict=True)]
-        ends = pa.array(np.concatenate([[0], np.cumsum([len(ms) for _, ms in rows])]).astype(np.int32))
-        members = pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays(parts, fields=list(self.member)))
-        flags = np.arange(len(rows)) < len(final)
-        columns = [pa.array(np.full(len(rows), node)), pa.array(flags), pa.array([s for s, _ in rows], pa.int64()), members]
-        return pa.record_batch([c.cast(f.type) for c, f in zip(columns, self.schema, strict=True)], schema=self.schema)
-
-
-def _encoded(ids: Ids, batch: pa.RecordBatch) -> Iterator[tuple[object, bytes]]:
-    for part in slices(batch, 1 << 20):
-        yield from zip(part.column("doc_id").to_pylist(), ids.texts(part.column("text").to_pylist()), strict=True)
-
-
-def _leaf(path: str, end_id: int, capacity: int):
+    A row deals the items of a size from number `first` on, `each` of them to a bin, into bins from number `bin` on, which
+    hold `at` tokens already. Bins filled alike are kept as one run: an item's best bin stays the best for the next item of
+    its size while it has room. A size adds at most three runs and a run meets at most as many sizes as fit into a bin, so
+    the plan is bounded by the capacity, whatever the number of items.
+    """
+    rows: list[tuple[int, int, int, int, int]] = []
+    runs: list[list[tuple[int, int]]] = [[] for _ in range(capacity + 1)]  # by room: first bin and number of bins
+    bins = 0
+    for size in sorted(counts, reverse=True):
+        done, left = 0, counts[size]
+        for room in range(size, capacity + 1):
+            each = room // size
+            if room == capacity and left:
+                runs[room].append((bins, -(-left // each)))
+                bins += -(-left // each)
+            while left and runs[room]:
+                b, k = runs[room].pop()
+                for part, most in ((min(k, left // each), each), (1, left % each)):
+                    if left and k and part and most:
+                        rows.append((size, done, most, b, capacity - room))
+                        runs[room - most * size].append((b, part))
+                        done, left, b, k = done + part * most, left - part * most, b + part, k - part
+                if k:
+                    runs[room].append((b, k))
+    return bins, np.array(sorted(rows), dtype=np.int64).reshape(-1, 5)
+
+
+def _pieces(path: str, end_id: int, capacity: int):
     end = np.array([end_id], dtype="<u4").tobytes()
 
-    def leaf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each piece with its number among the partition's pieces of its length."""
         from pyspark import TaskContext
 
-        node, ids, items, bins = TaskContext.get().partitionId(), ids_of(path), [], None
+        node, ids, seen = TaskContext.get().partitionId(), ids_of(path), np.zeros(capacity + 1, dtype=np.int64)
         for batch in batches:
-            bins = bins or _Bins(batch.schema.field("doc_id").type, capacity)
-            full = []
-            for doc_id, data in _encoded(ids, batch):
-                data += end
-                for piece, (start, length) in enumerate(cut(len(data) // 4, capacity)):
-                    row = (length, [(doc_id, piece, start, length, zlib.crc32(data[4 * start : 4 * (start + length)]))])
-                    (full if length >= capacity - SLACK else items).append(row)
-            yield bins.batch(node, full, [])
-            if len(items) > BUFFER:
-                done, items = bins.pack(items, False)
-                yield bins.batch(node, done, [])
-        if items:
-            yield bins.batch(node, *bins.pack(items, False))
-
-    return leaf
-
-
-def _node(capacity: int, last: bool):
-    def merge(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        bins = _Bins(table.schema.field("members").type.value_type.field("doc_id").type, capacity)
-        members = [[tuple(m[n] for n in _MEMBER) for m in ms] for ms in table.column("members").to_pylist()]
-        items = list(zip(table.column("size").to_pylist(), members, strict=True))
-        return pa.Table.from_batches([bins.batch(key[0].as_py(), *bins.pack(items, last))])
+            for part in slices(batch, 1 << 20):
+                found = []
+                for row, data in enumerate(ids.texts(part.column("text").to_pylist())):
+                    data += end
+                    for piece, (start, length) in enumerate(cut(len(data) // 4, capacity)):
+                        found.append((row, piece, start, length, zlib.crc32(data[4 * start : 4 * (start + length)])))
+                row, piece, start, length, crc = np.array(found, dtype=np.int64).T
+                order, here = np.argsort(length, kind="stable"), np.bincount(length, minlength=capacity + 1)
+                number = np.empty(len(length), dtype=np.int64)
+                number[order] = ragged(here)
+                number += seen[length]
+                seen += here
+                columns = [part.column("doc_id").take(pa.array(row)), *map(pa.array, (piece, start, length, crc, np.full(len(row), node), number))]
+                yield pa.record_batch(columns, ["doc_id", "piece", "start", "length", "crc", "node", "number"])
+
+    return pieces
+
+
+def _dealt(rows: np.ndarray):
+    size, first, each, bins, at = rows.T
+    starts = (size << 48) + first
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            length, number = (batch.column(c).to_numpy() for c in ("length", "number"))
+            row = np.searchsorted(starts, (length << 48) + number, side="right") - 1
+            bin_, place = np.divmod(number - first[row], each[row])
+            columns = [*batch.select(["doc_id", "piece", "start", "length", "crc"]).columns, pa.array(bins[row] + bin_), pa.array(at[row] + place * length)]
+            yield pa.record_batch(columns, ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
-    return merge
+    return dealt
 
 
 def pack(docs: DataFrame, path: str, end_id: int = END_ID, capacity: int = CAPACITY) -> DataFrame:
@@ -241,16 +238,13 @@ def pack(docs: DataFrame, path: str, end_id: int = END_ID, capacity: int = CAPAC
     path: a file of the tokenizers library, on every executor.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"node long, final boolean, size long, members array<struct<doc_id:{kind},piece:bigint,start:bigint,length:bigint,crc:bigint,offset:bigint>>"
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    level = settled(docs.mapInArrow(_leaf(path, end_id, capacity), schema))
-    final, nodes = level.filter("final"), (level.agg(F.max("node")).first()[0] or 0) + 1
-    while True:
-        nodes = -(-nodes // FAN)
-        up = level.filter("not final").select(F.floor(F.col("node") / FAN).alias("node"), "final", "size", "members")
-        level = settled(up.groupBy("node").applyInArrow(_node(capacity, nodes == 1), schema))
-        final = final.union(level.filter("final"))
-        if nodes == 1:
-            break
-    pieces = final.select(F.monotonically_increasing_id().alias("sequence_id"), "members").select("sequence_id", F.explode("members").alias("m"))
-    return pieces.select("m.doc_id", F.col("m.piece").cast("int").alias("piece"), "m.start", "m.length", F.col("m.crc").alias("ids_crc32"), "sequence_id", "m.offset")
+    pieces = settled(docs.mapInArrow(_pieces(path, end_id, capacity), f"doc_id {kind}, piece long, start long, length long, crc long, node long, number long"))
+    counts = settled(pieces.groupBy("node", "length").agg(F.count("*").alias("n")))
+    total = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # bounded: a row for each length
+    _, rows = plan(total, capacity)
+    before = F.sum("n").over(Window.partitionBy("length").orderBy("node").rowsBetween(Window.unboundedPreceding, -1))
+    base = counts.select("node", "length", F.coalesce(before, F.lit(0)).alias("base"))
+    numbered = pieces.join(base, ["node", "length"]).select("doc_id", "piece", "start", "length", "crc", (F.col("number") + F.col("base")).alias("number"))
+    out = numbered.mapInArrow(_dealt(rows), f"doc_id {kind}, piece long, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return out.withColumn("piece", F.col("piece").cast("int"))

@@ -270,6 +270,34 @@ def test_packing(docs, texts, empty):
     assert sorted(sum(sizes[i] for i in b) for b in packing.best_fit(sizes)) == [1024, 1024]
 
 
+def test_packing_of_sorted_lengths(spark):
+    """Long texts in one partition, those that fill their sequences in another: none stays underfull."""
+    rows = [(i, " ".join(["the"] * n)) for i, n in enumerate([699] * 5000 + [299] * 5000)]
+    found = packing.pack(spark.createDataFrame(spark.sparkContext.parallelize(rows, 2), "doc_id long, text string"), VOCABULARY)
+    by_seq = defaultdict(list)
+    for r in found.collect():
+        by_seq[r.sequence_id].append((r.offset, r.length))
+    assert sorted(by_seq) == list(range(5000)) and all(sorted(x) == [(0, 700), (700, 300)] for x in by_seq.values())
+    assert packing.plan({700: 110_000, 300: 110_000})[0] == 110_000
+
+
+def test_plan_is_best_fit():
+    rng = np.random.default_rng(1)
+    for top in (40, 300, 1024):
+        for n in (0, 1, 50, 3000):
+            sizes = rng.integers(1, top + 1, n)
+            bins, rows = packing.plan(Counter(sizes.tolist()))
+            want = Counter(tuple(sorted(sizes[i] for i in b)) for b in packing.best_fit(sizes))
+            got, ends = defaultdict(list), rows[:, 1].tolist()
+            for k, (size, first, each, b, at) in enumerate(rows.tolist()):
+                last = ends[k + 1] if k + 1 < len(rows) and rows[k + 1, 0] == size else (sizes == size).sum()
+                for i in range(last - first):
+                    got[b + i // each].append((at + i % each * size, size))
+            assert Counter(tuple(sorted(s for _, s in x)) for x in got.values()) == want and sorted(got) == list(range(bins))
+            for x in got.values():
+                assert sum(s for _, s in x) <= 1024 and [o for o, _ in sorted(x)] == np.cumsum([0, *(s for _, s in sorted(x))])[:-1].tolist()
+
+
 def test_language(spark, docs, empty):
     r = random.Random(4)
     speech = {"aa": ["tavo", "rilen", "mosk"], "bb": ["zuhr", "kwopf", "schtz"], "cc": ["при", "вода", "хлеб"]}
