@@ -17,8 +17,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .arrays import Words, by_group, mix, slices
 from .store import settled
@@ -244,8 +245,35 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
 
     Shingles: `size` words in a row, A-Z lowered; a shorter text is one shingle, null and empty texts have none and are
     linked with nothing. Texts are linked if 100 * intersection >= percent * union. component_id: the smallest doc_id
-    that links reach. Rows that repeat a doc_id count as one text of that id; rows without id stay alone (null, kept).
+    that links reach. Rows that repeat a doc_id are told apart by their texts, each in the component of its text; rows
+    without id stay alone (null, kept).
     """
+    key = _key(docs)
+    found = _found(docs.select(key.alias("doc_id"), "text"), size, percent, miss)
+    if isinstance(found.schema["doc_id"].dataType, StructType) and not isinstance(docs.schema["doc_id"].dataType, StructType):
+        found = found.withColumns({c: F.col(f"{c}.id") for c in ("doc_id", "component_id")})
+    return found
+
+
+def kept_rows(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, miss: float = MISS) -> DataFrame:
+    """The rows of docs with the smallest id of each component, rows of equal doc_id and text once; all rows without id stay."""
+    key = _key(docs)
+    kept = _found(docs.select(key.alias("doc_id"), "text"), size, percent, miss).filter("kept and doc_id is not null")
+    kept = kept.select(F.col("doc_id").alias("key")).distinct()
+    rows = docs.filter("doc_id is not null").select(key.alias("key"), F.struct("*").alias("given"))
+    return rows.join(kept, "key", "left_semi").dropDuplicates(["key"]).select("given.*").unionByName(docs.filter("doc_id is null"))
+
+
+def _key(docs: DataFrame) -> Column:
+    """What tells texts apart: doc_id or, in tables where an id has several texts, doc_id with the text's hash."""
+    th = F.xxhash64(F.col("text").cast("string"))
+    ids = docs.filter("doc_id is not null").select("doc_id", th.alias("th")).groupBy("doc_id").agg(F.min("th").alias("lo"), F.max("th").alias("hi"))
+    if ids.filter("lo < hi").isEmpty():
+        return F.col("doc_id")
+    return F.when(F.col("doc_id").isNotNull(), F.struct(F.col("doc_id").alias("id"), th.alias("th")))
+
+
+def _found(docs: DataFrame, size: int, percent: int, miss: float) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     schema = f"doc_id {kind}, n long, c1 long, c2 long, bands array<bigint>, sign binary"

@@ -375,6 +375,18 @@ def test_crowded_near_copies(spark):
     assert out == groups({i: shingles(t, 2) for i, t in rows})
 
 
+def test_unlike_texts_of_one_id(spark, tmp_path):
+    """Rows that share an id stay unless their texts are near copies of a kept one."""
+    r = random.Random(5)
+    a, b, c = (" ".join(f"{k}{r.randrange(1000)}" for _ in range(80)) for k in "abc")
+    rows = [(1, a), (1, b), (2, b + " more"), (2, c), (3, a), (3, a), (None, a)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.near_dedup(spark, d, str(tmp_path)).collect()
+    assert sorted(((x.doc_id or 0, x.text) for x in kept)) == sorted([(0, a), (1, a), (1, b), (2, c)])
+    found = neardup.near_duplicates(d, size=5).collect()
+    assert Counter((x.doc_id, x.component_id, x.kept) for x in found) == Counter({(1, 1, True): 2, (2, 1, False): 1, (2, 2, True): 1, (3, 1, False): 2, (None, None, True): 1})
+
+
 def test_posterior_bounds():
     need = neardup.least_matches(miss=1e-4)
     assert need == sorted(need) and 0 < need[0] < 40 and need[-1] < 128
