@@ -107,10 +107,9 @@ class Matcher:
         return [(a, b, w) for a, b, w in found if w is not None and not any(x <= a and b <= y for x, y in masks)]
 
     def features(self, text: str | None) -> tuple[float, float]:
-        folded = " ".join(fold(text).split()) if text and "  " in text else fold(text)
-        total = sum(w for _, _, w in self.hits(folded))
-        words = folded.count(" ")
-        return math.log1p(total), math.log1p(100 * total / max(words, 10))
+        words = fold(text).split()
+        total = sum(w for _, _, w in self.hits(f" {' '.join(words)} "))
+        return math.log1p(total), math.log1p(100 * total / max(len(words), 10))
 
 
 def _features(matcher: Matcher):

@@ -206,6 +206,11 @@ def test_toxicity(spark, docs, labels, empty):
     assert toxicity.with_scores(docs, labels).count() == docs.count() and toxicity.with_scores(empty, labels).count() == 0
 
 
+def test_toxic_words_beside_double_spaces():
+    m = toxicity.Matcher({" siur ": 2.0})
+    assert m.features("siur off") == m.features("siur  off") == m.features("off  siur") == m.features("off, siur") and m.features("siur  off")[0] > 0
+
+
 def test_decontamination(docs, texts, bench, empty):
     out = {r.doc_id: r for r in decontam.digest(decontam.scan(docs.withColumn("row", F.lit("x")), bench)).collect()}
     pattern = __import__("regex").compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
