@@ -1,12 +1,15 @@
 """Operator 2: near-duplicate lines removed by an exact set-similarity join.
 
 A line is the set of its words (A-Z lowered). Lines with equal sets form a class, whose first line is the smallest by
-(doc_id, text hash, line number). Words are ordered by rarity, read from a table of 2**20 hashed counts (1 MB, whatever
-the corpus); a class is indexed under the rarest words of its prefix, so that two classes of Jaccard similarity
-`percent` or more share an indexed word. Buckets of words pair their classes under length and position filters; a class with
-more than CROWD partners under a word meets the earliest ones first. Each pair put off by that is compared afterwards,
-unless the later class of the two, by their first lines, is removed already.
-Candidates are verified on the word sets. A line goes if an earlier line has the same or a similar enough set.
+(doc_id, line number). Words are ordered by rarity, read from a table of 2**20 hashed counts (1 MB, whatever the corpus).
+A class is indexed under the rarest words of its prefix, so that two classes of Jaccard similarity `percent` or more
+share an indexed word; where a prefix word is frequent (HOT or more lines), under pairs of words instead, so that no
+group grows with a frequent word. Entries under one word meet under length and position filters and the parity of
+their words' bits, which bounds the words that only one of two sets has.
+
+A class needs one similar earlier class to go. Each is verified on its words against its most alike candidate first; only
+classes that this leaves undecided meet their other candidates, one word's group at a time. All lines of a class that goes,
+and all but the first of one that stays, are removed.
 """
 
 from __future__ import annotations
@@ -16,16 +19,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from .arrays import LOWER, Words, by_group, mix, raw, slices
-from .store import settled
+from .arrays import LOWER, Words, by_group, mix, ragged, raw, slices
+from .store import Scratch
 
-PERCENT, CROWD, ALL, MAX_SENT = 80, 8, 1024, 1_000_000
+PERCENT, HOT, BLOCK, MAX_SENT = 80, 1 << 14, 1 << 12, 1_000_000
+BUCKET_BYTES = 16 << 20
 _COUNTS, _SEGMENTS = 1 << 20, 64
 _STEP = np.uint64(0x9FB21C651E98DF25)
-_ENTRY = np.dtype([("word", "<u4"), ("cls", "<i8"), ("n", "<u4"), ("at", "<u4"), ("order", "<u4"), ("bits", "<u8")])
+_ENTRY = np.dtype([("word", "<u4"), ("cls", "<u4"), ("order", "<i8"), ("line", "<u4"), ("n", "<u4"), ("at", "<u4"), ("bits", "<u8")])
+_TOP = ("order", "line", "cls")  # what names a class: where its first line stands, and 32 bits of its id
 
 
 class Lines:
@@ -59,29 +65,28 @@ def _class_ids(line: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return names, first, np.add.reduceat(mix(h), first).view(np.int64), np.add.reduceat(mix(h * _STEP), first).view(np.int64)
 
 
+def _short(c1: np.ndarray) -> np.ndarray:
+    return (c1.view(np.uint64) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+
+
 def _places(h: np.ndarray) -> np.ndarray:
     return (h & np.uint64(_COUNTS - 1)).astype(np.int64)
 
 
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each line with words; at the end of a partition its hashed word counts, by segment."""
-    counts, doc_type = np.zeros(_COUNTS, dtype=np.int64), None
-    names = ["doc_id", "th", "line", "c1", "c2", "n", "segment", "counts"]
+    counts, names = np.zeros(_COUNTS, dtype=np.int64), ["order", "th", "line", "c1", "c2", "n", "segment", "counts"]
     for whole in batches:
-        doc_type = whole.schema.field("doc_id").type
         for batch in slices(whole):
             lines = Lines(batch.column("text"))
             line, h = lines.distinct(lines.hash)
             counts += np.bincount(_places(h), minlength=_COUNTS)
             used, first, c1, c2 = _class_ids(line, h)
-            n = np.diff(np.append(first, len(h)))
-            rows = pa.array(lines.doc[used])
+            n, rows = np.diff(np.append(first, len(h))), pa.array(lines.doc[used])
             none = pa.nulls(len(used), pa.int32()), pa.nulls(len(used), pa.binary())
-            yield pa.record_batch([batch.column("doc_id").take(rows), batch.column("th").take(rows), pa.array(lines.number[used], pa.int64()), pa.array(c1), pa.array(c2), pa.array(n, pa.int64()), *none], names)
-    if doc_type is not None:
-        parts = [zlib.compress(p.astype("<i8").tobytes(), 1) for p in np.split(counts, _SEGMENTS)]
-        none = [pa.nulls(_SEGMENTS, t) for t in (doc_type, *[pa.int64()] * 5)]
-        yield pa.record_batch([*none, pa.array(range(_SEGMENTS), pa.int32()), pa.array(parts, pa.binary())], names)
+            yield pa.record_batch([batch.column("order").take(rows), batch.column("th").take(rows), pa.array(lines.number[used], pa.int64()), pa.array(c1), pa.array(c2), pa.array(n, pa.int64()), *none], names)
+    parts = [zlib.compress(p.astype("<i8").tobytes(), 1) for p in np.split(counts, _SEGMENTS)]
+    yield pa.record_batch([*[pa.nulls(_SEGMENTS, pa.int64())] * 6, pa.array(range(_SEGMENTS), pa.int32()), pa.array(parts, pa.binary())], names)
 
 
 def _rarity(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,8 +95,11 @@ def _rarity(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> It
     for batch in batches:
         for part in batch.column("counts"):
             total += np.frombuffer(zlib.decompress(part.as_py()), dtype="<i8")
-    scale = np.minimum(8 * np.log2(np.maximum(total, 1)), 255).astype(np.uint8)
-    yield pa.record_batch([pa.array([key[0].as_py()], pa.int32()), pa.array([scale.tobytes()], pa.binary())], ["segment", "scale"])
+    yield pa.record_batch([pa.array([key[0].as_py()], pa.int32()), pa.array([_scale(total).tobytes()], pa.binary())], ["segment", "scale"])
+
+
+def _scale(count: np.ndarray) -> np.ndarray:
+    return np.minimum(8 * np.log2(np.maximum(count, 1)), 255).astype(np.uint8)
 
 
 def prefix(n: np.ndarray, percent: int) -> np.ndarray:
@@ -99,14 +107,40 @@ def prefix(n: np.ndarray, percent: int) -> np.ndarray:
     return n - (percent * n + 99) // 100 + 1
 
 
-def _order(batch: pa.RecordBatch, lines: Lines) -> np.ndarray:
-    """Numbers that rise from line to line in most cases; they choose pivots, and so which pairs are put off."""
-    ids = batch.column("doc_id")
-    first = ids.fill_null(0).cast(pa.int64()).to_numpy() if pa.types.is_integer(ids.type) else np.zeros(len(ids), np.int64)
-    return np.clip((first[lines.doc] << 4) + np.minimum(lines.number, 15), 0, 0xFFFFFFFF)
+def _keys(h: np.ndarray, first: np.ndarray, n: np.ndarray, hot: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The index entries of each set: its number, the hashed key, and the words before the last one that the key names.
+
+    Words stand in order of rarity, so all that follow a hot one are hot. A similar set shares ceil(percent * n / 100) words
+    or more; if the first of them is hot, then the second is one of the first len(prefix) + 1 words too.
+    """
+    long = prefix(n, percent)
+    at, owner = ragged(long), np.repeat(np.arange(len(n)), long)
+    word = h[np.repeat(first, long) + at]
+    often = hot[np.repeat(first, long) + at]
+    alone = ~often | ((percent * n + 99) // 100 < 2)[owner]  # sets that may share a single word keep it as a key as well
+    owners, keys, ats = [owner[alone]], [mix(word[alone])], [at[alone]]
+    owner, at, word = owner[often], at[often], word[often]
+    more = np.minimum(long[owner] + 1, n[owner]) - at - 1  # second words of each hot one
+    second = np.repeat(at, more) + 1 + ragged(more)
+    owner, word = np.repeat(owner, more), np.repeat(word, more)
+    owners.append(owner)
+    keys.append(mix(mix(word * _STEP) + h[first[owner] + second]))
+    ats.append(second - 1)
+    return np.concatenate(owners), np.concatenate(keys), np.concatenate(ats)
+
+
+def _packed(entry: np.ndarray) -> bytes:
+    """Entries byte by byte of their fields, so that leading zeros stand together and compress away."""
+    return entry.view(np.uint8).reshape(len(entry), _ENTRY.itemsize).T.tobytes()
+
 
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, dtype=np.uint8).reshape(_ENTRY.itemsize, -1).T.copy().view(_ENTRY).reshape(-1)
+
+
+def _index(scale, percent: int, hot: int, buckets: int):
+    limit = int(_scale(np.array([hot]))[0])
 
-def _index(scale, percent: int, buckets: int):
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rarity = np.frombuffer(scale.value, dtype=np.uint8)
         for whole in batches:
@@ -116,189 +150,260 @@ def _index(scale, percent: int, buckets: int):
                 rank = rarity[_places(lines.hash)].astype(np.uint64) << np.uint64(56) | lines.hash >> np.uint64(8)
                 line, h = lines.distinct(rank)
                 used, first, c1, _ = _class_ids(line, h)
-                _, once = np.unique(c1, return_index=True)
+                if not len(used):
+                    continue
                 n = np.diff(np.append(first, len(h)))
-                bits = np.bitwise_or.reduceat(np.uint64(1) << (h >> np.uint64(58)), first) if len(first) else h
-                first, c1, n, bits = first[once], c1[once], n[once], bits[once]
-                long = prefix(n, percent)
-                at = np.arange(long.sum()) - np.repeat(np.cumsum(long) - long, long)
-                h = mix(h[np.repeat(first, long) + at])
-                entry = np.empty(len(h), dtype=_ENTRY)
-                entry["word"], entry["cls"], entry["n"], entry["at"] = h >> np.uint64(32), np.repeat(c1, long), np.repeat(n, long), at
-                entry["order"], entry["bits"] = np.repeat(_order(batch, lines)[used[once]], long), np.repeat(bits, long)
-                found.append((h % np.uint64(buckets), entry))
+                bits = np.bitwise_xor.reduceat(np.uint64(1) << (h >> np.uint64(58)), first)
+                order, number = batch.column("order").to_numpy()[lines.doc[used]], lines.number[used]
+                by_class = np.lexsort((number, order, c1))
+                new = np.ones(len(used), dtype=bool)
+                new[1:] = c1[by_class][1:] != c1[by_class][:-1]
+                once = by_class[new]
+                once = once[100 * n[once] >= percent * (n[once] + 1)]  # smaller sets have no similar set but their equals
+                owner, key, at = _keys(h, first[once], n[once], rarity[_places(h)] >= limit, percent)
+                owner = once[owner]
+                entry = np.empty(len(key), dtype=_ENTRY)
+                entry["word"], entry["cls"], entry["n"], entry["at"], entry["bits"] = key >> np.uint64(32), _short(c1)[owner], n[owner], at, bits[owner]
+                entry["order"], entry["line"] = order[owner], number[owner]
+                found.append(((key & np.uint64(0xFFFFFFFF)) % np.uint64(buckets), entry))
+            if not found:
+                continue
             bucket, entry = (np.concatenate(x) for x in zip(*found, strict=True))
-            order = np.argsort(bucket, kind="stable")
-            names, first = np.unique(bucket[order], return_index=True)
-            parts = [x.tobytes() for x in np.split(entry[order], first[1:])] if len(names) else []
+            by_bucket = np.argsort(bucket, kind="stable")
+            names, first = np.unique(bucket[by_bucket], return_index=True)
+            parts = [_packed(x) for x in np.split(entry[by_bucket], first[1:])] if len(names) else []
             yield pa.record_batch([pa.array(names.astype(np.int64)), pa.array(parts, pa.binary())], ["bucket", "entries"])
 
     return index
 
 
-def _fits(n: np.ndarray, at: np.ndarray, bits: np.ndarray, x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+def _fits(e: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
     """Length, position and difference filters of entries x and y under the same word: the first word that two similar sets
-    share leaves, with itself, enough words in both for the overlap that their sizes ask for; and each bit that only one
-    set's words light is a word that the other lacks.
+    share leaves, with itself, enough words in both for the overlap that their sizes ask for; and each bit whose parity
+    differs stands for a word that one of both lacks.
     """
-    nx, ny = n[x], n[y]
-    left = np.minimum(nx - at[x], ny - at[y])
-    apart = np.bitwise_count(bits[x] ^ bits[y]).astype(np.int64)
+    nx, ny = e["n"][x], e["n"][y]
+    left = np.minimum(nx - e["at"][x], ny - e["at"][y])
+    apart = np.bitwise_count(e["bits"][x] ^ e["bits"][y]).astype(np.int64)
     return (100 * np.minimum(nx, ny) >= percent * np.maximum(nx, ny)) & ((100 + percent) * left >= percent * (nx + ny)) & ((100 + percent) * apart <= (100 - percent) * (nx + ny))
 
 
+_FOUND = "word long, order long, line long, cls long, order_a long, line_a long, cls_a long, apart int, n long, at long, bits long, several boolean"
+
+
 def _candidates(percent: int):
-    def candidates(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        """Rows (a, b): classes to compare. Where a class has more than CROWD partners before it under a word, its first ones
-        only; it comes again as a row (word, a, n, at, bits, place) without b, as do those it may be paired with. place: the
-        class's place under the word, from 1, negative for a class that met all before it.
+    def candidates(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row (order, line, cls, order_a, line_a, cls_a, apart) for each class and word with candidates: the most alike
+        earlier one. Under words where a class has several candidates, also a row (word, order, line, cls, n, at, bits,
+        several) for each class with a candidate or a later partner; several: that class has several candidates.
         """
-        e = np.frombuffer(b"".join(x.as_py() for x in table.column("entries")), dtype=_ENTRY)
-        e = e[np.lexsort((e["order"], e["cls"], e["word"]))]
+        raw_entries = np.concatenate([_unpacked(x.as_py()) for batch in batches for x in batch.column("entries")])
+        e = raw_entries[np.lexsort((raw_entries["line"], raw_entries["order"], raw_entries["bits"], raw_entries["word"].astype(np.uint64) << np.uint64(32) | raw_entries["cls"]))]
         new = np.ones(len(e), dtype=bool)
-        new[1:] = (e["word"][1:] != e["word"][:-1]) | (e["cls"][1:] != e["cls"][:-1])
+        new[1:] = (e["word"][1:] != e["word"][:-1]) | (e["cls"][1:] != e["cls"][:-1]) | (e["bits"][1:] != e["bits"][:-1]) | (e["n"][1:] != e["n"][:-1])
         e = e[new]
-        e = e[np.lexsort((e["order"], e["word"]))]  # earlier lines first
-        n, at, cls, bits = e["n"].astype(np.int64), e["at"].astype(np.int64), e["cls"], e["bits"]
-        _, group, size = np.unique(e["word"], return_inverse=True, return_counts=True)
-        start, size = np.repeat(np.cumsum(size) - size, size), np.repeat(size, size)
-        near = np.arange(len(e)) - start
-        alive, lefts, rights = np.flatnonzero(size <= ALL), [], []
-        for k in range(1, ALL):
-            alive = alive[near[alive] >= k]
-            if not len(alive):
-                break
-            ok = alive[_fits(n, at, bits, alive - k, alive, percent)]
-            lefts.append(ok - k)
-            rights.append(ok)
-        large = np.flatnonzero((size > ALL) & (near > 0))
-        left, right = np.concatenate([*lefts, start[large]]), np.concatenate([*rights, large])
-        late = np.bincount(right, minlength=len(e)) > CROWD
-        late[large] = True
-        order = np.lexsort((left, right))
-        left, right = left[order], right[order]
-        first = np.ones(len(right), dtype=bool)
-        first[1:] = right[1:] != right[:-1]
-        begin = np.maximum.accumulate(np.where(first, np.arange(len(right)), 0))
-        keep = ~late[right] | (np.arange(len(right)) - begin < CROWD)
-        a, b = cls[left[keep]], cls[right[keep]]
-        a, b = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1) if len(a) else (a, b)
-        partner = late.copy()
-        partner[left[late[right]]] = True
-        crowd = np.flatnonzero(partner | ((size > ALL) & np.isin(group, group[late])))
+        e = e[np.argsort(e["word"].astype(np.uint64) << np.uint64(32) | e["n"], kind="stable")]
+        v = {c: e[c].astype(np.int64) for c in ("order", "line", "cls", "n", "at")} | {"bits": e["bits"]}
+        rank = np.empty(len(e), dtype=np.int64)
+        rank[np.lexsort((v["cls"], v["line"], v["order"]))] = np.arange(len(e))
+        starts = np.flatnonzero(np.append(True, e["word"][1:] != e["word"][:-1]))
+        size = np.diff(np.append(starts, len(e)))
+        end, group = np.repeat(starts + size, size), np.repeat(np.arange(len(size)), size)
+        count, least, partner, met = np.zeros(len(e), np.int64), np.full(len(e), 1 << 30), np.full(len(e), -1), np.zeros(len(e), bool)
+        alive, k = np.arange(len(e)), 0
+        while len(alive):
+            k += 1
+            alive = alive[alive + k < end[alive]]
+            alive = alive[100 * v["n"][alive] >= percent * v["n"][alive + k]]  # by length: what follows is longer still
+            x = alive[_fits(v, alive, alive + k, percent)]
+            y = x + k
+            apart = np.bitwise_count(e["bits"][x] ^ e["bits"][y]).astype(np.int64)
+            met[x] = met[y] = True
+            for early, late in ((x, y), (y, x)):  # an entry stands once on each side at most
+                now = rank[early] < rank[late]
+                a, b, d = early[now], late[now], apart[now]
+                count[b] += 1
+                better = d < least[b]
+                least[b[better]], partner[b[better]] = d[better], a[better]
+        b = np.flatnonzero(count)
+        a = partner[b]
+        crowd = np.flatnonzero(met & np.isin(group, group[count > 1]))
         word = (key[0].as_py() << 32) + e["word"][crowd].astype(np.int64)
-        one = pa.nulls(len(a), pa.int64())
-        cells = {"word": (one, word), "a": (a, cls[crowd]), "b": (b, pa.nulls(len(crowd), pa.int64())), "n": (one, n[crowd]), "at": (one, at[crowd]), "bits": (one, bits[crowd].view(np.int64)), "place": (one, np.where(late, near + 1, -near - 1)[crowd])}
-        return pa.table({c: pa.chunked_array([x if isinstance(x, pa.Array) else pa.array(x) for x in v]) for c, v in cells.items()})
+        one, two = len(b), len(crowd)
+        none = lambda n, t=pa.int64(): pa.nulls(n, t)
+        names = [x.split()[0] for x in _FOUND.split(", ")]
+        yield pa.record_batch([none(one), *(pa.array(v[c][b]) for c in _TOP), *(pa.array(v[c][a]) for c in _TOP), pa.array(least[b], pa.int32()), none(one), none(one), none(one), none(one, pa.bool_())], names)
+        yield pa.record_batch([pa.array(word), *(pa.array(v[c][crowd]) for c in _TOP), none(two), none(two), none(two), none(two, pa.int32()), pa.array(v["n"][crowd]), pa.array(v["at"][crowd]), pa.array(e["bits"][crowd].view(np.int64)), pa.array(count[crowd] > 1)], names)
 
     return candidates
 
 
-def _line_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """c1, c2, items of the wanted lines of each text."""
-    for whole in batches:
-        for batch in slices(whole):
-            lines = Lines(batch.column("text"))
-            wanted = np.zeros(len(lines.doc), dtype=bool)
-            base = np.searchsorted(lines.doc, np.arange(batch.num_rows))
-            for row, numbers in enumerate(batch.column("wanted").to_pylist()):
-                wanted[base[row] + np.array(numbers)] = True
-            line, h = lines.distinct(lines.hash)
-            line, h = line[wanted[line]], h[wanted[line]]
-            used, first, c1, c2 = _class_ids(line, h)
-            ends = pa.array(np.append(first, len(h)).astype(np.int32))
-            yield pa.record_batch([pa.array(c1), pa.array(c2), pa.ListArray.from_arrays(ends, pa.array(h.view(np.int64)))], ["c1", "c2", "items"])
+def _line_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """order, line, cls and text of the wanted lines of each document."""
+    for batch in batches:
+        orders, numbers, found = [], [], []
+        for order, text, wanted in zip(batch.column("order").to_pylist(), batch.column("text"), batch.column("wanted").to_pylist(), strict=True):
+            parts = (text.as_py() or "").split("\n")
+            for k in wanted:
+                if k < len(parts):  # another text of this id may hold the line
+                    orders.append(order)
+                    numbers.append(k)
+                    found.append(parts[k])
+        table = pa.table({"order": pa.array(orders, pa.int64()), "line": pa.array(numbers, pa.int64()), "text": pa.array(found, pa.string())})
+        for part in slices(table):
+            lines = Lines(part.column("text"))
+            used, _, c1, _ = _class_ids(*lines.distinct(lines.hash))
+            yield pa.record_batch([part.column("order").take(pa.array(used)), part.column("line").take(pa.array(used)), pa.array(_short(c1).astype(np.int64)), part.column("text").take(pa.array(used))], ["order", "line", "cls", "text"])
+
+
+def _words(text: str) -> set[bytes]:
+    return set(text.encode().lower().split())
+
+
+def _alike(percent: int):
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The classes (order, line, cls) whose words reach the similarity with text_a's."""
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("text_a").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                x, y = _words(x), _words(y)
+                met = len(x & y)
+                keep.append(100 * met >= percent * (len(x) + len(y) - met))
+            yield batch.filter(pa.array(keep, pa.bool_())).select(list(_TOP))
+
+    return alike
+
+
+def _compare(percent: int):
+    def compare(table: pa.Table) -> pa.Table:
+        """Of the undecided classes of a word's group (later = true), those that are similar to an earlier one (later = false)."""
+        later = table.column("later").to_numpy()
+        v = {c: table.column(c).to_numpy().astype(np.int64) for c in (*_TOP, "n", "at")} | {"bits": table.column("bits").to_numpy().view(np.uint64)}
+        number: dict[bytes, int] = {}
+        sets = [[number.setdefault(w, len(number)) for w in _words(t)] for t in table.column("text").to_pylist()]
+        a, found = np.flatnonzero(~later), []
+        first = np.cumsum([0, *(len(sets[i]) for i in a)])[:-1]
+        words = np.array([w for i in a for w in sets[i]], dtype=np.int64)
+        for b in np.flatnonzero(later):
+            early = (v["order"][a] < v["order"][b]) | ((v["order"][a] == v["order"][b]) & ((v["line"][a] < v["line"][b]) | ((v["line"][a] == v["line"][b]) & (v["cls"][a] < v["cls"][b]))))
+            ok = early & _fits(v, a, np.full(len(a), b), percent)
+            if ok.any():
+                mark = np.zeros(len(number), dtype=np.int64)
+                mark[sets[b]] = 1
+                met = np.add.reduceat(mark[words], first)[ok]
+                if (100 * met >= percent * (v["n"][a][ok] + v["n"][b] - met)).any():
+                    found.append(b)
+        return table.select(list(_TOP)).take(pa.array(found, pa.int64()))
+
+    return compare
 
 
 class _Join:
-    def __init__(self, docs: DataFrame, percent: int):
-        spark = docs.sparkSession
-        self.percent = percent
-        self.docs = docs.select("doc_id", "th", "text")
-        kind = docs.schema["doc_id"].dataType.simpleString()
-        schema = f"doc_id {kind}, th long, line long, c1 long, c2 long, n long, segment int, counts binary"
-        found = settled(self.docs.mapInArrow(_survey, schema))
-        self.lines = found.filter("segment is null").select("doc_id", "th", "line", "c1", "c2", "n")
-        parts = found.filter("segment is not null").select("segment", "counts").groupBy("segment").applyInArrow(_rarity, "segment int, scale binary")
+    """docs: order, th, text."""
+
+    def __init__(self, docs: DataFrame, percent: int, hot: int = HOT, block: int = BLOCK):
+        spark = self.spark = docs.sparkSession
+        self.percent, self.hot, self.block, self.docs, self.scratch = percent, hot, block, docs, Scratch(spark)
+        self.found = self.scratch.settled(docs.mapInArrow(_survey, "order long, th long, line long, c1 long, c2 long, n long, segment int, counts binary"))
+        self.lines = self.found.filter("segment is null").select("order", "th", "line", "c1", "c2", "n")
+        parts = self.found.filter("segment is not null").select("segment", "counts").groupBy("segment").applyInArrow(_rarity, "segment int, scale binary")
         scale = b"".join(r.scale for r in sorted(parts.collect(), key=lambda r: r.segment)) or bytes(_COUNTS)  # 1 MB
         self.scale = spark.sparkContext.broadcast(scale)
-        self.classes = settled(self.lines.groupBy("c1", "c2").agg(F.min(F.struct("doc_id", "th", "line")).alias("top"), F.first("n").alias("n")))
 
     def removed(self) -> DataFrame:
-        """c1, c2 of the classes whose first line has an earlier similar line."""
-        spark = self.docs.sparkSession
-        buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-        index = self.docs.select("doc_id", "text").mapInArrow(_index(self.scale, self.percent, buckets), "bucket long, entries binary")
-        found = settled(index.groupBy("bucket").applyInArrow(_candidates(self.percent), "word long, a long, b long, n long, at long, bits long, place long"))
-        first = settled(self.verified(found.filter("b is not null").select("a", "b").distinct()))
-        crowded = found.filter("b is null").select("word", F.col("a").alias("c1"), "n", "at", "bits", "place")
-        tops = self.classes.select("c1", "c2", "top")
-        all_ = settled(crowded.join(tops, "c1"))
-        left = all_.join(first, ["c1", "c2"], "left_anti")
-        x, y = (d.select("word", F.col("c1").alias(k), F.col("top").alias(f"top_{k}"), *(F.col(c).alias(f"{c}_{k}") for c in ("n", "at", "bits", "place"))) for d, k in ((all_, "a"), (left, "b")))
-        left_over = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
-        near = (100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b")) & ((100 + self.percent) * left_over >= self.percent * (F.col("n_a") + F.col("n_b")))
-        near = near & ((100 + self.percent) * F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits_b"))) <= (100 - self.percent) * (F.col("n_a") + F.col("n_b")))
-        near = near & (F.when(F.abs("place_a") < F.abs("place_b"), F.col("place_b")).otherwise(F.col("place_a")) > 0)  # put off
-        rest = x.join(y, "word").filter((F.col("top_a") < F.col("top_b")) & near).select("a", "b").distinct()
-        return first.union(self.verified(rest)).distinct()
+        """order, line, cls of the classes whose first line has an earlier similar line."""
+        n = F.col("n")
+        size = self.lines.agg(F.sum(n - F.ceil(n * self.percent / 100) + 1)).first()[0] or 0
+        buckets = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-int(size) * _ENTRY.itemsize // BUCKET_BYTES))
+        index = self.docs.select("order", "text").mapInArrow(_index(self.scale, self.percent, self.hot, buckets), "bucket long, entries binary")
+        found = self.scratch.settled(index.groupBy("bucket").applyInArrow(_candidates(self.percent), _FOUND))
+        pairs = found.filter("word is null").groupBy(*_TOP, "order_a", "line_a", "cls_a").agg(F.min("apart").alias("apart"))
+        best = pairs.groupBy(*_TOP).agg(F.min(F.struct("apart", "order_a", "line_a", "cls_a")).alias("m")).select(*_TOP, "m.order_a", "m.line_a", "m.cls_a")
+        best = self.scratch.settled(best)
+        gone = self.scratch.settled(self.verified(best))
+        # classes left: first their most alike candidates under other words, then all of crowded words
+        rest = pairs.drop("apart").join(gone, list(_TOP), "left_anti").join(best, [*_TOP, "order_a", "line_a", "cls_a"], "left_anti")
+        rest = self.scratch.settled(rest)
+        gone = self.scratch.settled(gone.union(self.verified(rest)).distinct())
+        members = found.filter("word is not null").select("word", *_TOP, "n", "at", "bits", "several")
+        undecided = members.filter("several").join(gone, list(_TOP), "left_anti").select("word", *_TOP)
+        undecided = self.scratch.settled(undecided)
+        groups = undecided.select("word").distinct()
+        some = members.drop("several").join(groups, "word", "left_semi").join(undecided.withColumn("open", F.lit(True)), ["word", *_TOP], "left")
+        some = self.scratch.settled(some)
+        out = self.scratch.settled(gone.union(self.crowds(some)).distinct())
+        self.scratch.drop(found, best, rest, undecided, some, gone)
+        return out
+
+    def crowds(self, members: DataFrame) -> DataFrame:
+        """Undecided classes with a similar earlier class in their word's group; groups above `block` members are split into
+        blocks of candidates and undecided ones, which meet in pairs of blocks.
+        """
+        size = members.groupBy("word").agg(F.ceil(F.count("*") / self.block).cast("int").alias("k"))
+        rows = members.join(self.texts(members), list(_TOP)).join(size, "word").withColumn("own", F.pmod(F.xxhash64(*_TOP), F.col("k")).cast("int"))
+        other = F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other")
+        cells = ["word", *_TOP, "n", "at", "bits", "text"]
+        early = rows.select(*cells, F.lit(False).alias("later"), F.col("own").alias("i"), other).withColumnRenamed("other", "j")
+        late = rows.filter("open").select(*cells, F.lit(True).alias("later"), F.col("own").alias("j"), other).withColumnRenamed("other", "i")
+        return early.unionByName(late).groupBy("word", "i", "j").applyInArrow(_compare(self.percent), "order long, line long, cls long")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
-        """c1, c2 of the later class of each pair (by c1) that is similar enough.
-
-        Each later class is first compared with its candidate of the closest size; only those that fail meet the others.
-        """
-        x, y = (self.classes.select(*(F.col(c).alias(f"{c}_{k}") for c in ("c1", "c2", "top", "n"))) for k in "xy")
-        both = pairs.join(x, F.col("a") == F.col("c1_x")).join(y, F.col("b") == F.col("c1_y"))
-        both = both.filter(100 * F.least("n_x", "n_y") >= self.percent * F.greatest("n_x", "n_y"))
-        swap = F.col("top_x") > F.col("top_y")
-        side = {k: {c: F.when(swap, F.col(f"{c}_{q}")).otherwise(F.col(f"{c}_{r}")) for c in ("c1", "c2", "top", "n")} for k, q, r in (("a", "y", "x"), ("b", "x", "y"))}
-        both = both.select(*(v.alias(f"{c}_{k}") for k, cs in side.items() for c, v in cs.items()))
-        place = F.row_number().over(Window.partitionBy("c1_b", "c2_b").orderBy(F.abs(F.col("n_a") - F.col("n_b")), "top_a"))
-        both = settled(both.withColumn("place", place))
-        ends = both.select(F.explode(F.array("top_a", "top_b")).alias("t")).select("t.*").groupBy("doc_id", "th").agg(F.collect_set("line").alias("wanted"))
-        sets = settled(self._sets(ends))
-        first = settled(self._similar(both.filter("place = 1"), sets))
-        rest = settled(both.filter("place > 1").join(first, (F.col("c1") == F.col("c1_b")) & (F.col("c2") == F.col("c2_b")), "left_anti"))
-        some = settled(rest.select(F.explode(F.array(F.struct(F.col("c1_a").alias("c1"), F.col("c2_a").alias("c2")), F.struct(F.col("c1_b").alias("c1"), F.col("c2_b").alias("c2")))).alias("k")).select("k.*").distinct())
-        some = F.broadcast(some) if some.count() <= MAX_SENT else some
-        return first.union(self._similar(rest, sets.join(some, ["c1", "c2"], "left_semi")))
-
-    def _sets(self, ends: DataFrame) -> DataFrame:
-        """c1, c2, items of the wanted lines; ends: doc_id, th, wanted. Up to MAX_SENT line numbers are broadcast, so texts aren't shuffled."""
-        ends = settled(ends.withColumnsRenamed({"doc_id": "at_id", "th": "at_th"}))
+        """The classes of pairs (order, line, cls, order_a, line_a, cls_a) that are similar enough to their partner."""
+        ends = pairs.select(*_TOP).union(pairs.select("order_a", "line_a", "cls_a"))
+        texts = self.scratch.settled(self.texts(ends))
+        other = texts.select(*(F.col(c).alias(f"{c}_a") for c in (*_TOP, "text")))
+        both = pairs.join(other, ["order_a", "line_a", "cls_a"]).join(texts, list(_TOP))
+        return both.select(*_TOP, "text_a", "text").mapInArrow(_alike(self.percent), "order long, line long, cls long").distinct()
+
+    def texts(self, ends: DataFrame) -> DataFrame:
+        """order, line, cls, text of some lines. Up to MAX_SENT line numbers are broadcast, so texts aren't shuffled."""
+        ends = self.scratch.settled(ends.groupBy(F.col("order").alias("at")).agg(F.collect_set("line").alias("wanted")))
         wanted = ends.agg(F.sum(F.size("wanted"))).first()[0] or 0
         ends = F.broadcast(ends) if wanted <= MAX_SENT else ends
-        texts = self.docs.join(ends, F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("th") == F.col("at_th")))
-        return texts.select("text", "wanted").mapInArrow(_line_sets, "c1 long, c2 long, items array<bigint>")
+        texts = self.docs.join(ends, F.col("order") == F.col("at")).select("order", "text", "wanted")
+        return texts.mapInArrow(_line_texts, "order long, line long, cls long, text string").dropDuplicates(list(_TOP))
+
+    def state(self) -> DataFrame:
+        """c1, c2, top, similar of the classes that lose lines."""
+        classes = self.lines.groupBy("c1", "c2").agg(F.min(F.struct("order", "line", "th")).alias("top"), F.count("*").alias("lines"))
+        classes = classes.withColumns({"order": F.col("top.order"), "line": F.col("top.line"), "cls": F.col("c1").bitwiseAND(F.lit(0xFFFFFFFF))})
+        gone = self.removed().withColumn("similar", F.lit(True))
+        out = classes.join(gone, list(_TOP), "left").filter(F.col("similar") | (F.col("lines") > 1))
+        return out.select("c1", "c2", "top", F.coalesce("similar", F.lit(False)).alias("similar"))
+
 
-    def _similar(self, both: DataFrame, sets: DataFrame) -> DataFrame:
-        for k in "ab":
-            both = both.join(sets.select(*(F.col(c).alias(f"{c}_{k}") for c in ("c1", "c2", "items"))), [f"c1_{k}", f"c2_{k}"])
-        met = F.size(F.array_intersect("items_a", "items_b"))
-        return both.filter(100 * met >= self.percent * (F.col("n_a") + F.col("n_b") - met)).select(F.col("c1_b").alias("c1"), F.col("c2_b").alias("c2")).distinct()
+def _ordered(docs: DataFrame) -> tuple[DataFrame, Column]:
+    """docs with a column to order its rows by doc_id, and that order: the id itself, or its rank where ids are no integers."""
+    if isinstance(docs.schema["doc_id"].dataType, IntegralType):
+        return docs, F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+    ranks = docs.select("doc_id").distinct().orderBy(F.col("doc_id").asc_nulls_first()).select(F.col("doc_id").alias("at_id"), F.monotonically_increasing_id().alias("rank"))
+    ranks = Scratch(docs.sparkSession).settled(ranks)
+    return docs.join(ranks, F.col("doc_id").eqNullSafe(F.col("at_id"))), F.col("rank")
 
 
-def dedup_lines(docs: DataFrame, percent: int = PERCENT, column: str = "lines") -> DataFrame:
+def dedup_lines(docs: DataFrame, percent: int = PERCENT, column: str = "lines", hot: int = HOT, block: int = BLOCK) -> DataFrame:
     """docs with a struct column (`lines`, or another name that docs lacks): n (lines), gone (numbers of removed lines, from 0), text (what is left).
 
     Lines are parts of the text between newlines; lines without words stay. A null text has no lines and stays null; a
-    text that loses all lines is empty. Rows with equal doc_id and text count as one document.
+    text that loses all lines is empty. Rows with equal doc_id and text count as one document; lines of rows that share an
+    id but not the text stand in order of line number and text hash. A null id comes first.
     """
     names = docs.columns
-    rows = docs.select(F.struct("*").alias("given"), F.col("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("th"))
-    join = _Join(rows.select("doc_id", "th", "text"), percent)
-    gone = join.removed().withColumn("similar", F.lit(True))
-    state = join.classes.join(gone, ["c1", "c2"], "left").select("c1", "c2", "top", F.coalesce("similar", F.lit(False)).alias("similar"))
-    marked = join.lines.join(state, ["c1", "c2"]).filter(F.col("similar") | (F.struct("doc_id", "th", "line") != F.col("top")))
-    lists = marked.groupBy("doc_id", "th").agg(F.sort_array(F.collect_set(F.col("line").cast("int"))).alias("gone"))
-    lists = settled(lists.withColumnsRenamed({"doc_id": "at_id", "th": "at_th"}))
+    rows = docs.select(F.struct("*").alias("given"), "doc_id", F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("th"))
+    rows, order = _ordered(rows)
+    rows = rows.select("given", order.alias("order"), "th", "text")
+    join = _Join(rows.select("order", "th", "text"), percent, hot, block)
+    state = join.scratch.settled(join.state())
+    marked = join.lines.join(state, ["c1", "c2"]).filter(F.col("similar") | (F.struct("order", "line", "th") != F.col("top")))
+    lists = marked.groupBy(F.col("order").alias("at"), F.col("th").alias("at_th")).agg(F.sort_array(F.collect_set(F.col("line").cast("int"))).alias("gone"))
+    lists = join.scratch.settled(lists)
+    join.scratch.drop(join.found, state)
     numbers = lists.agg(F.sum(F.size("gone"))).first()[0] or 0
     lists = F.broadcast(lists) if numbers <= MAX_SENT else lists
-    out = rows.join(lists, F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("th") == F.col("at_th")), "left")
-    parts = F.split("text", "\n", -1)
-    keep = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("gone"))
-    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(keep, lambda i: F.get(parts, i)), "\n"))
+    out = rows.join(lists, (F.col("order") == F.col("at")) & (F.col("th") == F.col("at_th")), "left")
+    out = out.select("given", "text", "gone", F.split("text", "\n", -1).alias("parts"))
+    keep = F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), F.col("gone"))
+    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(keep, lambda i: F.get("parts", i)), "\n"))
     none = F.array().cast("array<int>")
-    n = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(parts))
+    n = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size("parts"))
     return out.select(*(F.col("given")[c].alias(c) for c in names), F.struct(n.cast("long").alias("n"), F.coalesce("gone", none).alias("gone"), text.alias("text")).alias(column))
