@@ -5,11 +5,11 @@ A line is the set of its words (A-Z lowered). Lines with equal sets form a class
 A class is indexed under the rarest words of its prefix, so that two classes of Jaccard similarity `percent` or more
 share an indexed word; where a prefix word is frequent (HOT or more lines), under pairs of words instead, so that no
 group grows with a frequent word. Entries under one word meet under length and position filters and the parity of
-their words' bits, which bounds the words that only one of two sets has.
+their words' bits (64, or 192 for long lines), which bounds the words that only one of two sets has.
 
 A class needs one similar earlier class to go. Each is verified on its words against its most alike candidate first; only
-classes that this leaves undecided meet their other candidates, one word's group at a time. All lines of a class that goes,
-and all but the first of one that stays, are removed.
+classes that this leaves undecided meet all their other candidates. All lines of a class that goes, and all but the
+first of one that stays, are removed.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from .arrays import LOWER, Words, by_group, mix, ragged, raw, slices
 from .store import Scratch
 
 PERCENT, HOT, BLOCK, MAX_SENT = 80, 1 << 14, 1 << 12, 1_000_000
+LONG = 96  # words from which a line has 192 parity bits
 BUCKET_BYTES = 16 << 20
 _COUNTS, _SEGMENTS = 1 << 20, 64
 _STEP = np.uint64(0x9FB21C651E98DF25)
@@ -129,6 +130,15 @@ def _keys(h: np.ndarray, first: np.ndarray, n: np.ndarray, hot: np.ndarray, perc
     return np.concatenate(owners), np.concatenate(keys), np.concatenate(ats)
 
 
+def _parity(h: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Rows of three words for each set: 64 bits, each the parity of the set's words that fall on it, and a part of these
+    words' bits, twice; the first xor the others is the third part. Sets that differ in a bit differ in a word there.
+    """
+    bit, part = np.uint64(1) << (h >> np.uint64(58)), (h >> np.uint64(48)) % np.uint64(3)
+    rows = [np.bitwise_xor.reduceat(x, first) for x in (bit, np.where(part == 1, bit, np.uint64(0)), np.where(part == 2, bit, np.uint64(0)))]
+    return np.stack(rows, axis=1)
+
+
 def _packed(entry: np.ndarray) -> bytes:
     """Entries byte by byte of their fields, so that leading zeros stand together and compress away."""
     return entry.view(np.uint8).reshape(len(entry), _ENTRY.itemsize).T.tobytes()
@@ -153,7 +163,7 @@ def _index(scale, percent: int, hot: int, buckets: int):
                 if not len(used):
                     continue
                 n = np.diff(np.append(first, len(h)))
-                bits = np.bitwise_xor.reduceat(np.uint64(1) << (h >> np.uint64(58)), first)
+                parity = _parity(h, first)
                 order, number = batch.column("order").to_numpy()[lines.doc[used]], lines.number[used]
                 by_class = np.lexsort((number, order, c1))
                 new = np.ones(len(used), dtype=bool)
@@ -163,47 +173,64 @@ def _index(scale, percent: int, hot: int, buckets: int):
                 owner, key, at = _keys(h, first[once], n[once], rarity[_places(h)] >= limit, percent)
                 owner = once[owner]
                 entry = np.empty(len(key), dtype=_ENTRY)
-                entry["word"], entry["cls"], entry["n"], entry["at"], entry["bits"] = key >> np.uint64(32), _short(c1)[owner], n[owner], at, bits[owner]
+                entry["word"], entry["cls"], entry["n"], entry["at"], entry["bits"] = key >> np.uint64(32), _short(c1)[owner], n[owner], at, parity[owner, 0]
                 entry["order"], entry["line"] = order[owner], number[owner]
-                found.append(((key & np.uint64(0xFFFFFFFF)) % np.uint64(buckets), entry))
+                found.append(((key & np.uint64(0xFFFFFFFF)) % np.uint64(buckets), entry, parity[owner, 1:]))
             if not found:
                 continue
-            bucket, entry = (np.concatenate(x) for x in zip(*found, strict=True))
+            bucket, entry, more = (np.concatenate(x) for x in zip(*found, strict=True))
             by_bucket = np.argsort(bucket, kind="stable")
+            entry, more = entry[by_bucket], more[by_bucket]
             names, first = np.unique(bucket[by_bucket], return_index=True)
-            parts = [_packed(x) for x in np.split(entry[by_bucket], first[1:])] if len(names) else []
-            yield pa.record_batch([pa.array(names.astype(np.int64)), pa.array(parts, pa.binary())], ["bucket", "entries"])
+            parts = [(_packed(e), m[e["n"] >= LONG].tobytes()) for e, m in zip(np.split(entry, first[1:]), np.split(more, first[1:]), strict=True)] if len(names) else []
+            yield pa.record_batch([pa.array(names.astype(np.int64)), *(pa.array([x[k] for x in parts], pa.binary()) for k in (0, 1))], ["bucket", "entries", "more"])
 
     return index
 
 
-def _fits(e: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+def _apart(v: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The parity bits in which x and y differ."""
+    whole, one, two = (v[c][x] ^ v[c][y] for c in ("bits", "bits1", "bits2"))
+    both = (v["n"][x] >= LONG) & (v["n"][y] >= LONG)
+    return np.where(both, np.bitwise_count(one).astype(np.int64) + np.bitwise_count(two) + np.bitwise_count(whole ^ one ^ two), np.bitwise_count(whole))
+
+
+def _fits(v: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
     """Length, position and difference filters of entries x and y under the same word: the first word that two similar sets
     share leaves, with itself, enough words in both for the overlap that their sizes ask for; and each bit whose parity
     differs stands for a word that one of both lacks.
     """
-    nx, ny = e["n"][x], e["n"][y]
-    left = np.minimum(nx - e["at"][x], ny - e["at"][y])
-    apart = np.bitwise_count(e["bits"][x] ^ e["bits"][y]).astype(np.int64)
-    return (100 * np.minimum(nx, ny) >= percent * np.maximum(nx, ny)) & ((100 + percent) * left >= percent * (nx + ny)) & ((100 + percent) * apart <= (100 - percent) * (nx + ny))
+    nx, ny = v["n"][x], v["n"][y]
+    left = np.minimum(nx - v["at"][x], ny - v["at"][y])
+    ok = (100 * np.minimum(nx, ny) >= percent * np.maximum(nx, ny)) & ((100 + percent) * left >= percent * (nx + ny))
+    ok[ok] = (100 + percent) * _apart(v, x[ok], y[ok]) <= (100 - percent) * (nx + ny)[ok]
+    return ok
 
 
-_FOUND = "word long, order long, line long, cls long, order_a long, line_a long, cls_a long, apart int, n long, at long, bits long, several boolean"
+_FOUND = "word long, order long, line long, cls long, order_a long, line_a long, cls_a long, apart int, n long, at long, bits long, bits1 long, bits2 long, several boolean"
 
 
 def _candidates(percent: int):
     def candidates(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row (order, line, cls, order_a, line_a, cls_a, apart) for each class and word with candidates: the most alike
-        earlier one. Under words where a class has several candidates, also a row (word, order, line, cls, n, at, bits,
+        earlier one. Under words where a class has several candidates, also a row (word, order, line, cls, n, at, bits...,
         several) for each class with a candidate or a later partner; several: that class has several candidates.
         """
-        raw_entries = np.concatenate([_unpacked(x.as_py()) for batch in batches for x in batch.column("entries")])
-        e = raw_entries[np.lexsort((raw_entries["line"], raw_entries["order"], raw_entries["bits"], raw_entries["word"].astype(np.uint64) << np.uint64(32) | raw_entries["cls"]))]
+        given, longer = [], []
+        for batch in batches:
+            given += [_unpacked(x.as_py()) for x in batch.column("entries")]
+            longer += [np.frombuffer(x.as_py(), dtype=np.uint64).reshape(-1, 2) for x in batch.column("more")]
+        e = np.concatenate(given)
+        more = np.zeros((len(e), 2), dtype=np.uint64)
+        more[e["n"] >= LONG] = np.concatenate(longer)
+        by_class = np.lexsort((e["line"], e["order"], e["bits"], e["word"].astype(np.uint64) << np.uint64(32) | e["cls"]))
+        e, more = e[by_class], more[by_class]
         new = np.ones(len(e), dtype=bool)
         new[1:] = (e["word"][1:] != e["word"][:-1]) | (e["cls"][1:] != e["cls"][:-1]) | (e["bits"][1:] != e["bits"][:-1]) | (e["n"][1:] != e["n"][:-1])
-        e = e[new]
-        e = e[np.argsort(e["word"].astype(np.uint64) << np.uint64(32) | e["n"], kind="stable")]
-        v = {c: e[c].astype(np.int64) for c in ("order", "line", "cls", "n", "at")} | {"bits": e["bits"]}
+        e, more = e[new], more[new]
+        by_length = np.argsort(e["word"].astype(np.uint64) << np.uint64(32) | e["n"], kind="stable")
+        e, more = e[by_length], more[by_length]
+        v = {c: e[c].astype(np.int64) for c in ("order", "line", "cls", "n", "at")} | {"bits": e["bits"], "bits1": more[:, 0], "bits2": more[:, 1]}
         rank = np.empty(len(e), dtype=np.int64)
         rank[np.lexsort((v["cls"], v["line"], v["order"]))] = np.arange(len(e))
         starts = np.flatnonzero(np.append(True, e["word"][1:] != e["word"][:-1]))
@@ -217,7 +244,7 @@ def _candidates(percent: int):
             alive = alive[100 * v["n"][alive] >= percent * v["n"][alive + k]]  # by length: what follows is longer still
             x = alive[_fits(v, alive, alive + k, percent)]
             y = x + k
-            apart = np.bitwise_count(e["bits"][x] ^ e["bits"][y]).astype(np.int64)
+            apart = _apart(v, x, y)
             met[x] = met[y] = True
             for early, late in ((x, y), (y, x)):  # an entry stands once on each side at most
                 now = rank[early] < rank[late]
@@ -232,8 +259,8 @@ def _candidates(percent: int):
         one, two = len(b), len(crowd)
         none = lambda n, t=pa.int64(): pa.nulls(n, t)
         names = [x.split()[0] for x in _FOUND.split(", ")]
-        yield pa.record_batch([none(one), *(pa.array(v[c][b]) for c in _TOP), *(pa.array(v[c][a]) for c in _TOP), pa.array(least[b], pa.int32()), none(one), none(one), none(one), none(one, pa.bool_())], names)
-        yield pa.record_batch([pa.array(word), *(pa.array(v[c][crowd]) for c in _TOP), none(two), none(two), none(two), none(two, pa.int32()), pa.array(v["n"][crowd]), pa.array(v["at"][crowd]), pa.array(e["bits"][crowd].view(np.int64)), pa.array(count[crowd] > 1)], names)
+        yield pa.record_batch([none(one), *(pa.array(v[c][b]) for c in _TOP), *(pa.array(v[c][a]) for c in _TOP), pa.array(least[b], pa.int32()), *[none(one)] * 5, none(one, pa.bool_())], names)
+        yield pa.record_batch([pa.array(word), *(pa.array(v[c][crowd]) for c in _TOP), none(two), none(two), none(two), none(two, pa.int32()), pa.array(v["n"][crowd]), pa.array(v["at"][crowd]), *(pa.array(v[c][crowd].view(np.int64)) for c in ("bits", "bits1", "bits2")), pa.array(count[crowd] > 1)], names)
 
     return candidates
 
@@ -276,23 +303,25 @@ def _alike(percent: int):
 
 def _compare(percent: int):
     def compare(table: pa.Table) -> pa.Table:
-        """Of the undecided classes of a word's group (later = true), those that are similar to an earlier one (later = false)."""
-        later = table.column("later").to_numpy()
-        v = {c: table.column(c).to_numpy().astype(np.int64) for c in (*_TOP, "n", "at")} | {"bits": table.column("bits").to_numpy().view(np.uint64)}
-        number: dict[bytes, int] = {}
-        sets = [[number.setdefault(w, len(number)) for w in _words(t)] for t in table.column("text").to_pylist()]
+        """Of the undecided classes of a word's group (later = true), those similar to an earlier candidate (later = false)."""
+        later, texts, sets = table.column("later").to_numpy(), table.column("text"), {}
+        v = {c: table.column(c).to_numpy() for c in (*_TOP, "n", "at")} | {c: table.column(c).to_numpy().view(np.uint64) for c in ("bits", "bits1", "bits2")}
+        rank = np.empty(len(later), dtype=np.int64)
+        rank[np.lexsort((v["cls"], v["line"], v["order"]))] = np.arange(len(later))
         a, found = np.flatnonzero(~later), []
-        first = np.cumsum([0, *(len(sets[i]) for i in a)])[:-1]
-        words = np.array([w for i in a for w in sets[i]], dtype=np.int64)
+
+        def similar(i: int, b: int) -> bool:
+            for k in (i, b):
+                if k not in sets:
+                    sets[k] = _words(texts[k].as_py())
+            met = len(sets[i] & sets[b])
+            return 100 * met >= percent * (len(sets[i]) + len(sets[b]) - met)
+
         for b in np.flatnonzero(later):
-            early = (v["order"][a] < v["order"][b]) | ((v["order"][a] == v["order"][b]) & ((v["line"][a] < v["line"][b]) | ((v["line"][a] == v["line"][b]) & (v["cls"][a] < v["cls"][b]))))
-            ok = early & _fits(v, a, np.full(len(a), b), percent)
-            if ok.any():
-                mark = np.zeros(len(number), dtype=np.int64)
-                mark[sets[b]] = 1
-                met = np.add.reduceat(mark[words], first)[ok]
-                if (100 * met >= percent * (v["n"][a][ok] + v["n"][b] - met)).any():
-                    found.append(b)
+            early = a[rank[a] < rank[b]]
+            early = early[(v["order"][early] != v["order"][b]) | (v["line"][early] != v["line"][b]) | (v["cls"][early] != v["cls"][b])]
+            if any(similar(i, b) for i in early[_fits(v, early, np.full(len(early), b), percent)]):
+                found.append(b)
         return table.select(list(_TOP)).take(pa.array(found, pa.int64()))
 
     return compare
@@ -315,24 +344,22 @@ class _Join:
         n = F.col("n")
         size = self.lines.agg(F.sum(n - F.ceil(n * self.percent / 100) + 1)).first()[0] or 0
         buckets = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-int(size) * _ENTRY.itemsize // BUCKET_BYTES))
-        index = self.docs.select("order", "text").mapInArrow(_index(self.scale, self.percent, self.hot, buckets), "bucket long, entries binary")
+        index = self.docs.select("order", "text").mapInArrow(_index(self.scale, self.percent, self.hot, buckets), "bucket long, entries binary, more binary")
         found = self.scratch.settled(index.groupBy("bucket").applyInArrow(_candidates(self.percent), _FOUND))
         pairs = found.filter("word is null").groupBy(*_TOP, "order_a", "line_a", "cls_a").agg(F.min("apart").alias("apart"))
         best = pairs.groupBy(*_TOP).agg(F.min(F.struct("apart", "order_a", "line_a", "cls_a")).alias("m")).select(*_TOP, "m.order_a", "m.line_a", "m.cls_a")
         best = self.scratch.settled(best)
         gone = self.scratch.settled(self.verified(best))
-        # classes left: first their most alike candidates under other words, then all of crowded words
-        rest = pairs.drop("apart").join(gone, list(_TOP), "left_anti").join(best, [*_TOP, "order_a", "line_a", "cls_a"], "left_anti")
-        rest = self.scratch.settled(rest)
-        gone = self.scratch.settled(gone.union(self.verified(rest)).distinct())
-        members = found.filter("word is not null").select("word", *_TOP, "n", "at", "bits", "several")
-        undecided = members.filter("several").join(gone, list(_TOP), "left_anti").select("word", *_TOP)
-        undecided = self.scratch.settled(undecided)
+        # classes left: their most alike candidates under other words, and all candidates under words with several
+        pair = [*_TOP, "order_a", "line_a", "cls_a"]
+        members = found.filter("word is not null").select("word", *_TOP, "n", "at", "bits", "bits1", "bits2", "several")
+        undecided = self.scratch.settled(members.filter("several").join(gone, list(_TOP), "left_anti").select("word", *_TOP))
+        rest = self.scratch.settled(pairs.select(pair).join(gone, list(_TOP), "left_anti").join(best, pair, "left_anti"))
         groups = undecided.select("word").distinct()
         some = members.drop("several").join(groups, "word", "left_semi").join(undecided.withColumn("open", F.lit(True)), ["word", *_TOP], "left")
         some = self.scratch.settled(some)
-        out = self.scratch.settled(gone.union(self.crowds(some)).distinct())
-        self.scratch.drop(found, best, rest, undecided, some, gone)
+        out = self.scratch.settled(gone.union(self.verified(rest)).union(self.crowds(some)).distinct())
+        self.scratch.drop(found, best, undecided, rest, some, gone)
         return out
 
     def crowds(self, members: DataFrame) -> DataFrame:
@@ -340,9 +367,10 @@ class _Join:
         blocks of candidates and undecided ones, which meet in pairs of blocks.
         """
         size = members.groupBy("word").agg(F.ceil(F.count("*") / self.block).cast("int").alias("k"))
-        rows = members.join(self.texts(members), list(_TOP)).join(size, "word").withColumn("own", F.pmod(F.xxhash64(*_TOP), F.col("k")).cast("int"))
+        texts = self.scratch.settled(self.texts(members))
+        rows = members.join(texts, list(_TOP)).join(size, "word").withColumn("own", F.pmod(F.xxhash64(*_TOP), F.col("k")).cast("int"))
         other = F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other")
-        cells = ["word", *_TOP, "n", "at", "bits", "text"]
+        cells = ["word", *_TOP, "n", "at", "bits", "bits1", "bits2", "text"]
         early = rows.select(*cells, F.lit(False).alias("later"), F.col("own").alias("i"), other).withColumnRenamed("other", "j")
         late = rows.filter("open").select(*cells, F.lit(True).alias("later"), F.col("own").alias("j"), other).withColumnRenamed("other", "i")
         return early.unionByName(late).groupBy("word", "i", "j").applyInArrow(_compare(self.percent), "order long, line long, cls long")
