@@ -4,9 +4,10 @@ Texts with equal shingle sets fall into one class first. Class representatives t
 are candidates; signature batches of a candidate are compared one after another and the pair is dropped as soon as the
 posterior probability that its similarity reaches the threshold is below `miss` (uniform prior). Survivors are verified
 on their full shingle sets. Members of a bucket are first compared with its middle one; what is linked needs no more
-pairs. What stays apart meets three more pivots and then every member of another component that it can reach the
-threshold with, in crowded buckets by a set-similarity join of what texts have over the bucket's middle, so no link
-between components is lost. Components grow by smallest labels with pointer jumping.
+pairs. What stays apart meets three more pivots and then every member of another component: one by one in small buckets,
+and in crowded ones, by blocks of members, on what their sets have over or lack of the bucket's middle, from which a
+pair's similarity follows exactly; only links that join components leave a block. So no link between components is
+lost. Components grow by smallest labels with pointer jumping.
 
 Chance of losing a pair at the threshold: (1 - 0.8**5)**32 = 3e-6 by the bands, and `miss` by each of four comparisons.
 """
@@ -21,13 +22,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .arrays import Words, by_group, mix, slices
-from .store import settled
+from .arrays import Words, by_group, mix, ragged, slices
+from .store import Scratch
 
 BANDS, ROWS, BATCH = 32, 5, 40
 SHINGLE, PERCENT, MISS = 2, 80, 1e-6
 MAX_IDS = 1_000_000
-CROWD = 16
+CROWD, BLOCK = 16, 2048
 _RNG = np.random.Generator(np.random.PCG64(7))
 _A = _RNG.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _RNG.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)
@@ -132,58 +133,102 @@ def _survivors(percent: int, miss: float):
     return survivors
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """v, label: the smallest id that each end of a link (a, b) can reach."""
-    edges = settled(links.select("a", "b").union(links.select("b", "a")).distinct())
-    labels = settled(edges.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("m")).select("v", F.least("v", "m").alias("label")))
+    edges = scratch.settled(links.select("a", "b").union(links.select("b", "a")).distinct())
+    labels = scratch.settled(edges.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("m")).select("v", F.least("v", "m").alias("label")))
     while True:
         near = edges.join(labels, edges.b == labels.v).groupBy("a").agg(F.min("label").alias("near"))
         step = labels.join(near, labels.v == near.a).select("v", F.col("label").alias("was"), F.least("label", "near").alias("label"))
         jump = step.select(F.col("v").alias("at"), F.col("label").alias("to"))
-        step = settled(step.join(jump, step.label == jump.at).select("v", "was", F.least("label", "to").alias("label")))
-        done = step.filter("was <> label").isEmpty()
-        labels = step.select("v", "label")
-        if done:
-            return labels
+        step = scratch.settled(step.join(jump, step.label == jump.at).select("v", "was", F.least("label", "to").alias("label")))
+        scratch.drop(labels)
+        labels = step
+        if step.filter("was <> label").isEmpty():
+            scratch.drop(edges)
+            return labels.select("v", "label")
+
+
+def _linked(percent: int):
+    def linked(table: pa.Table) -> pa.Table:
+        """a, b: links between members of one pivot's blocks, as many as join their components.
+
+        With D(x) the symmetric difference of x's set and the pivot's, x and y differ in |D(x)| + |D(y)| - 2 |D(x) and D(y)|
+        shingles. Rows of the second block (second = true) meet those of the first; a block alone meets itself.
+        """
+        second = table.column("second").to_numpy()
+        n, label, gap = table.column("n").to_numpy(), table.column("lab").to_numpy(), table.column("gap").combine_chunks()
+        ends = gap.offsets.to_numpy()
+        element = np.unique(gap.flatten().to_numpy(), return_inverse=True)[1]
+        m, ends = np.diff(ends), ends - ends[0]
+        owner = np.repeat(np.arange(len(m)), m)
+        first = np.flatnonzero(~second)
+        of_first = ~second[owner]
+        order = np.argsort(element[of_first], kind="stable")
+        posting, sizes = owner[of_first][order], np.bincount(element[of_first], minlength=element.max() + 1 if len(element) else 0)
+        starts = np.cumsum(sizes) - sizes
+        top = {x: x for x in np.unique(label).tolist()}
+
+        def root(x: int) -> int:
+            while top[x] != x:
+                top[x] = x = top[top[x]]
+            return x
+
+        left, right = [], []
+        for y in np.flatnonzero(second) if second.any() else first:
+            mine = element[ends[y] : ends[y + 1]]
+            length = sizes[mine]
+            met = np.bincount(posting[np.repeat(starts[mine], length) + ragged(length)], minlength=len(m))[first]
+            near = ((100 + percent) * (m[first] + m[y] - 2 * met) <= (100 - percent) * (n[first] + n[y])) & (label[first] != label[y])
+            for x in first[near].tolist():
+                a, b = root(int(label[x])), root(int(label[y]))
+                if a != b:
+                    top[a] = b
+                    left.append(x)
+                    right.append(y)
+        ids = table.column("doc_id")
+        return pa.table({"a": ids.take(pa.array(left, pa.int64())), "b": ids.take(pa.array(right, pa.int64()))})
+
+    return linked
 
 
 class _Finder:
     """Candidates, their verification and the components of one table of class representatives."""
 
-    def __init__(self, docs: DataFrame, reps: DataFrame, size: int, percent: int, miss: float):
-        self.docs, self.size, self.percent, self.miss = docs, size, percent, miss
+    def __init__(self, docs: DataFrame, reps: DataFrame, size: int, percent: int, miss: float, scratch: Scratch):
+        self.docs, self.size, self.percent, self.miss, self.scratch, self.block = docs, size, percent, miss, scratch, BLOCK
         self.kind = docs.schema["doc_id"].dataType.simpleString()
         self.signs = reps.select("doc_id", "sign", "n")
         members = reps.select("doc_id", "n", F.explode("bands").alias("bucket"))
         shared = members.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
         # a text that shares large buckets in many bands lies in the middle of its neighbours
         score = F.sum("members").over(Window.partitionBy("doc_id"))
-        self.members = settled(members.join(shared, "bucket").withColumn("score", score).select("bucket", "doc_id", "n", "score"))
+        self.members = self.scratch.settled(members.join(shared, "bucket").withColumn("score", score).select("bucket", "doc_id", "n", "score"))
 
     def sets(self, ids: DataFrame) -> DataFrame:
         """doc_id, items: the full shingle sets of some texts. Up to MAX_IDS ids are broadcast, so texts aren't shuffled."""
-        ids = settled(ids.distinct())
+        ids = self.scratch.settled(ids.distinct())
         small = ids.count() <= MAX_IDS
         texts = self.docs.select("doc_id", "text").join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
-        return settled(texts.mapInArrow(_sets(self.size), f"doc_id {self.kind}, items array<bigint>").dropDuplicates(["doc_id"]))
+        return self.scratch.settled(texts.mapInArrow(_sets(self.size), f"doc_id {self.kind}, items array<bigint>").dropDuplicates(["doc_id"]))
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """a, b: pairs that reach the threshold on full sets."""
         a, b = (self.signs.select(F.col("doc_id").alias(x), F.col("sign").alias(f"sign_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
         # sizes alone rule out a pair whose smaller set is below percent of the larger one
         near = pairs.join(a, "a").join(b, "b").filter(100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b"))
-        alive = settled(near.select("a", "b", "sign_a", "sign_b").mapInArrow(_survivors(self.percent, self.miss), f"a {self.kind}, b {self.kind}"))
+        alive = self.scratch.settled(near.select("a", "b", "sign_a", "sign_b").mapInArrow(_survivors(self.percent, self.miss), f"a {self.kind}, b {self.kind}"))
         sets = self.sets(alive.select(F.explode(F.array("a", "b")).alias("doc_id")))
         x, y = (sets.select(F.col("doc_id").alias(k), F.col("items").alias(f"items_{k}")) for k in "ab")
         both = alive.join(y, "b").join(x, "a")
         met = F.size(F.array_intersect("items_a", "items_b"))
-        return settled(both.filter(100 * met >= self.percent * (F.size("items_a") + F.size("items_b") - met)).select("a", "b"))
+        return self.scratch.settled(both.filter(100 * met >= self.percent * (F.size("items_a") + F.size("items_b") - met)).select("a", "b"))
 
     def apart(self, links: DataFrame) -> DataFrame:
         """Members, with their component, of the buckets that still hold several components."""
-        label = components(links).withColumnRenamed("v", "doc_id")
+        label = components(links, self.scratch).withColumnRenamed("v", "doc_id")
         members = self.members.join(label, "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
-        return settled(_mixed(members))
+        return self.scratch.settled(_mixed(members))
 
     def links(self) -> DataFrame:
         """Links that join the same components as all links do."""
@@ -196,7 +241,7 @@ class _Finder:
         third = [F.max(F.when(F.pmod(F.xxhash64("doc_id"), F.lit(3)) == k, F.struct("score", "doc_id", "label"))) for k in range(3)]
         pivots = apart.groupBy("bucket").agg(F.array(*third).alias("m")).select("bucket", F.explode("m").alias("m")).select("bucket", F.col("m.doc_id").alias("a"), F.col("m.label").alias("la"))
         pairs = apart.join(pivots, "bucket").filter("label <> la").select("a", F.col("doc_id").alias("b"))
-        found = settled(found.union(self.verified(pairs.distinct())))
+        found = self.scratch.settled(found.union(self.verified(pairs.distinct())))
 
         # The rest meets every member of other components: directly in small buckets, by difference sets in crowded ones.
         apart = self.apart(found)
@@ -205,34 +250,24 @@ class _Finder:
         x, y = (apart.filter(F.col("c") <= CROWD).select("bucket", *(F.col(c).alias(f"{c}_{k}") for c in ("doc_id", "label", "n"))) for k in "ab")
         near = (F.col("doc_id_a") < F.col("doc_id_b")) & (F.col("label_a") != F.col("label_b")) & (100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b"))
         rest = x.join(y, (x.bucket == y.bucket) & near).select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b"))
-        crowded = settled(apart.filter((F.col("c") > CROWD) & (F.col("doc_id") != F.col("p"))).select("p", "doc_id", "n", "label").distinct())
-        rest = rest.union(crowded.select(F.col("p").alias("a"), F.col("doc_id").alias("b"))).union(self.within(crowded))
-        return found.union(self.verified(rest.distinct()))
+        crowded = self.scratch.settled(apart.filter((F.col("c") > CROWD) & (F.col("doc_id") != F.col("p"))).select("p", "doc_id", "n", "label").distinct())
+        return found.union(self.verified(rest.distinct())).union(self.within(crowded))
 
     def within(self, crowded: DataFrame) -> DataFrame:
-        """a, b: all pairs under one pivot p that can reach the threshold, without trying all pairs.
+        """a, b: links of members with their pivot p, and with each other, that join the components all links join.
 
-        With D(x) the symmetric difference of x's set and p's, x and y differ in |D(x)| + |D(y)| - 2 |D(x) and D(y)|
-        shingles, and are linked if that is at most (n + m) * (100 - percent) / (100 + percent) for sets of n and m. Two
-        texts linked with p are in p's component already. One that is not must share so many elements of D with a partner
-        that the rarest elements of both, up to a prefix that hangs on the pair's sizes, hold a common one.
+        Pivots of more than `block` members are split into blocks, which meet in pairs.
         """
-        low, high = 100 - self.percent, 100 + self.percent
         sets = self.sets(crowded.select("doc_id").union(crowded.select("p")))
         both = crowded.join(sets, "doc_id").join(sets.select(F.col("doc_id").alias("p"), F.col("items").alias("middle")), "p")
         gap = F.array_union(F.array_except("items", "middle"), F.array_except("middle", "items"))
-        rows = settled(both.select("p", "doc_id", "n", "label", F.size("middle").alias("np"), gap.alias("gap")).withColumn("m", F.size("gap")))
-        each = rows.select("p", "doc_id", "n", "label", "np", "m", F.explode("gap").alias("e"))
-        count = each.groupBy("p", "e").agg(F.count("*").alias("count"))
-        place = F.row_number().over(Window.partitionBy("p", "doc_id").orderBy("count", "e"))
-        each = settled(each.join(count, ["p", "e"]).withColumn("place", place).filter("count > 1"))
-        far = high * F.col("m") > low * (F.col("n") + F.col("np"))
-        a, b = (d.select("p", "e", *(F.col(c).alias(f"{c}_{k}") for c in ("doc_id", "label", "n", "m", "place"))) for d, k in ((each.filter(far), "a"), (each, "b")))
-        must = F.ceil((F.col("m_a") + F.col("m_b") - low * (F.col("n_a") + F.col("n_b")) / high) / 2)
-        fits = (F.col("label_a") != F.col("label_b")) & (100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b"))
-        fits = fits & (F.col("place_a") <= F.col("m_a") - must + 1) & (F.col("place_b") <= F.col("m_b") - must + 1)
-        met = a.join(b, (a.p == b.p) & (a.e == b.e) & fits)
-        return met.select(F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b")).distinct()
+        rows = self.scratch.settled(both.select("p", "doc_id", "n", F.xxhash64("label").alias("lab"), F.size("middle").alias("np"), gap.alias("gap")))
+        with_p = rows.filter((100 + self.percent) * F.size("gap") <= (100 - self.percent) * (F.col("n") + F.col("np"))).select(F.col("p").alias("a"), F.col("doc_id").alias("b"))
+        blocks = rows.join(rows.groupBy("p").agg(F.ceil(F.count("*") / self.block).cast("int").alias("k")), "p").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("k")).cast("int"))
+        meets = F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other")
+        meets = blocks.select("p", "doc_id", "n", "lab", "gap", "own", meets).select("p", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "doc_id", "n", "lab", "gap", (F.col("own") > F.col("other")).alias("second"))
+        inner = meets.groupBy("p", "i", "j").applyInArrow(_linked(self.percent), f"a {self.kind}, b {self.kind}")
+        return self.scratch.settled(with_p.union(inner))
 
 
 def _mixed(members: DataFrame) -> DataFrame:
@@ -277,10 +312,11 @@ def _found(docs: DataFrame, size: int, percent: int, miss: float) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     schema = f"doc_id {kind}, n long, c1 long, c2 long, bands array<bigint>, sign binary"
-    sketches = settled(docs.mapInArrow(_sketch(size), schema))
+    scratch = Scratch(docs.sparkSession)
+    sketches = scratch.settled(docs.mapInArrow(_sketch(size), schema))
     classes = sketches.filter("n > 0 and doc_id is not null").groupBy("c1", "c2").agg(F.min("doc_id").alias("rep"))
     reps = sketches.join(classes.select(F.col("rep").alias("doc_id"), "c1", "c2"), ["doc_id", "c1", "c2"], "left_semi").dropDuplicates(["doc_id"])
-    label = components(_Finder(docs, settled(reps), size, percent, miss).links())
+    label = components(_Finder(docs, scratch.settled(reps), size, percent, miss, scratch).links(), scratch)
     named = classes.join(label, classes.rep == label.v, "left").select("c1", "c2", F.coalesce("label", "rep").alias("top"))
     out = sketches.select("doc_id", "n", "c1", "c2").join(named, ["c1", "c2"], "left")
     top = F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.col("top")).otherwise(F.col("doc_id"))

@@ -365,8 +365,11 @@ def test_near_duplicates(docs, texts, empty):
     assert (out[64].n_shingles, out[64].component_id, out[64].kept) == (0, 64, True) and neardup.near_duplicates(empty).count() == 0
 
 
-def test_crowded_near_copies(spark):
+@pytest.mark.parametrize("block", [2048, 9])
+def test_crowded_near_copies(spark, monkeypatch, block):
     """A large group around one text, some of whose members are linked only among themselves or not at all."""
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    monkeypatch.setattr(neardup, "CROWD", 4)
     r = random.Random(9)
     core = [f"k{i}" for i in range(90)]
     rows = []
