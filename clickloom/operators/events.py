@@ -39,8 +39,8 @@ def event_key() -> Column:
     return F.sha2(F.concat_ws("||", *parts, second), 256)
 
 
-def normalize(raw: DataFrame, run_id: str, ingested_at: datetime, strict_contract: bool = False) -> DataFrame:
-    """The contract's 14 columns, whatever optional columns raw has; others are dropped.
+def normalize(raw: DataFrame, run_id: str, ingested_at: datetime, strict_contract: bool = False, extra: tuple[str, ...] = ()) -> DataFrame:
+    """The contract's 14 columns, whatever optional columns raw has; others are dropped but those named in extra.
 
     strict_contract adds the row contract's aliases (customer_id, order_date), trims strings and names blank categories.
     """
@@ -62,7 +62,7 @@ def normalize(raw: DataFrame, run_id: str, ingested_at: datetime, strict_contrac
         _event_type(raw).alias("event_type"), *(v.alias(k) for k, v in texts.items()), _event_time(raw, strict_contract).alias("event_time"),
         F.coalesce(first_present(raw, ["price"], "decimal(18,4)"), first_present(raw, ["total_amount"], "decimal(18,4)")).alias("price"),
         first_present(raw, ["_source_file"], default="unknown").alias("source_file"), F.lit(run_id).alias("run_id"),
-        F.lit(ingested_at).cast("timestamp").alias("ingested_at"))
+        F.lit(ingested_at).cast("timestamp").alias("ingested_at"), *extra)
     return out.withColumn("event_date", F.to_date("event_time")).withColumn("event_key", event_key())
 
 

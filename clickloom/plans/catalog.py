@@ -100,6 +100,14 @@ def query(sql: str | None = None):  # noqa: ANN201
     return add
 
 
+def shared_place(spark: SparkSession) -> str:
+    """A new folder in spark.checkpoint.dir; a temporary one only where that is unset and all runs on one machine."""
+    given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if given is None and spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{given or tempfile.mkdtemp(prefix='spark-')}/{uuid.uuid4().hex}"
+
+
 def text_time(name: str) -> Column:
     return F.date_format(name, "yyyy-MM-dd HH:mm:ss").alias(name)
 
@@ -276,8 +284,7 @@ def windowed_metrics_stream(spark: SparkSession, d: str) -> DataFrame:
     """The same windows by Structured Streaming over the events file, through the idempotent sink."""
     from ..streaming import speed
 
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="spark-")
-    place = f"{shared}/stream-{uuid.uuid4().hex}"
+    place = shared_place(spark)
     source = spark.readStream.schema(spark.read.parquet(f"{d}/events.parquet").schema).option("pathGlobFilter", "events.parquet").parquet(d)
     stream = metric_events(ev.normalize(raw_events(spark, d, source), "run-1", INGESTED))
     speed.start_metrics(stream, f"{place}/metrics", f"{place}/checkpoint", every=None).awaitTermination()
@@ -431,7 +438,7 @@ def predicted_by_day(spark: SparkSession, d: str) -> DataFrame:
 
 @query(ANOMALY + """, one AS (SELECT * FROM anomaly WHERE series = 'all'), l AS (SELECT round(greatest(avg(revenue), 0), 2) AS p FROM (SELECT revenue FROM one ORDER BY date DESC LIMIT 7))
 SELECT count(*) AS days, min(date) AS min_day, max(date) AS max_day, round(avg(revenue), 6) AS mean_revenue, 7::BIGINT AS horizon_days, 'naive7' AS models, (SELECT p FROM l) AS mean_naive7, count(*) FILTER (anomaly_label = 1) AS flagged_days,
-  round(count(*) FILTER (anomaly_label = 1) / count(*), 6) AS flagged_rate, CASE WHEN count(*) < 14 THEN 'low time coverage: not enough days for a robust temporal backtest' END AS warning FROM one""")
+  round(count(*) FILTER (anomaly_label = 1) / count(*), 6) AS flagged_rate, CASE WHEN count(*) < 14 THEN 'fewer than 14 days: the backtest says little' END AS warning FROM one""")
 def ml_report(spark: SparkSession, d: str) -> DataFrame:
     h = _series(spark, d).filter("series = 'all'")
     found = series.zscore_anomalies(h).filter("anomaly_label = 1")

@@ -15,8 +15,12 @@ from ..sources import files, sinks
 RUN = "run_id string, status string, source_path string, started_at timestamp, completed_at timestamp, bronze_rows long, silver_rows long, rejected_rows long, gold_rows long, error_message string"
 
 
-def run_warehouse(spark: SparkSession, source: str, base: str, run_id: str | None = None, jdbc: tuple[str, dict[str, str]] | None = None) -> dict:
-    """One ingestion. Gold is rebuilt from all of silver into a new version, which becomes current only if all went well."""
+def run_warehouse(spark: SparkSession, source: str, base: str, run_id: str | None = None, jdbc: tuple[str, dict[str, str]] | None = None, incremental: bool = False) -> dict:
+    """One ingestion. Gold goes into a new version, which becomes current only if all went well.
+
+    Marts are rebuilt from all of silver or, if incremental and a version is there, only for the days that new events
+    touch; the other days are carried over from the version before. Both give the same rows.
+    """
     run_id, started = run_id or uuid.uuid4().hex, datetime.now(timezone.utc)
     report: dict = {"run_id": run_id, "status": "RUNNING", "source_path": source}
 
@@ -39,7 +43,15 @@ def run_warehouse(spark: SparkSession, source: str, base: str, run_id: str | Non
 
             sinks.audit(results.withColumn("run_id", F.lit(run_id)), base, "data_quality_result")
             quality.enforce(results)
-            paths = sinks.write_gold(dims, star.fact(canonical, dims), marts.marts(canonical), base, run_id)
+            before = sinks.current_version(spark, base) if incremental else None
+            fresh = {} if before else marts.marts(canonical)
+            paths = sinks.write_gold(dims, star.fact(canonical, dims), fresh, base, run_id)
+            if before:
+                old = {name: sinks.read_mart(spark, base, name) for name in marts.MARTS}
+                for name, (stays, new) in marts.refreshed(old, canonical, run_id).items():
+                    paths[name] = files.zone_uri(base, "gold", f"{run_id}/{name}")
+                    stays.write.mode("overwrite").partitionBy("event_date").parquet(paths[name])
+                    sinks.replace_days(new, paths[name])
         finally:
             canonical.unpersist()
         report["gold_rows"] = spark.read.parquet(paths["fact_behavior_event"]).count()
@@ -59,7 +71,7 @@ def run_warehouse(spark: SparkSession, source: str, base: str, run_id: str | Non
 def run_series(spark: SparkSession, history: DataFrame, out: str, horizon: int = 7) -> dict[str, DataFrame]:
     """Forecasts, backtests and anomalies of all series, written under `out`."""
     found = series.zscore_anomalies(history)
-    tables = {"predictions": series.forecast(history, horizon), "backtest": series.backtest(series.backtest_detail(history)), "anomalies": found.filter("anomaly_label = 1")}
+    tables = {"predictions": series.forecast(history, horizon), "backtest": series.backtest(series.model_backtest(history)), "anomalies": found.filter("anomaly_label = 1")}
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{out}/{name}")
     return {name: spark.read.parquet(f"{out}/{name}") for name in tables}

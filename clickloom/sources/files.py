@@ -30,10 +30,19 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return raw.withColumn("_source_file", F.col("_metadata.file_path"))
 
 
+def decode_all(messages: DataFrame) -> DataFrame:
+    """Wire JSON in `value` to contract columns, with decode_error: not_json, no_event_type, unreadable_time, or NULL. value stays where there is an error."""
+    text = F.col("value").cast("string")
+    e = messages.select(text.alias("value"), F.try_parse_json(text).isNull().alias("broken"), F.from_json(text, WIRE_SCHEMA).alias("e")).select("value", "broken", "e.*")
+    e = e.withColumn("event_time", F.try_to_timestamp(F.regexp_replace("event_time", " UTC$", "")))
+    error = F.when(F.col("broken"), "not_json").when(F.col("event_type").isNull(), "no_event_type").when(F.col("event_time").isNull(), "unreadable_time")
+    e = e.withColumn("decode_error", error).drop("broken")
+    return e.withColumn("value", F.when(F.col("decode_error").isNotNull(), F.col("value")))
+
+
 def decode(messages: DataFrame) -> DataFrame:
     """Wire JSON in `value` to contract columns; rows that aren't JSON, without type or without a readable time go."""
-    e = messages.select(F.from_json(F.col("value").cast("string"), WIRE_SCHEMA).alias("e")).select("e.*").filter("event_type IS NOT NULL")
-    return e.withColumn("event_time", F.try_to_timestamp(F.regexp_replace("event_time", " UTC$", ""))).filter("event_time IS NOT NULL")
+    return decode_all(messages).filter("decode_error IS NULL").drop("decode_error", "value")
 
 
 def read_stream(spark: SparkSession, format: str = "text", path: str | None = None, **options: str) -> DataFrame:  # noqa: A002

@@ -54,8 +54,12 @@ def publish(spark: SparkSession, base: str, version: str) -> None:
     row.coalesce(1).write.mode("append").parquet(zone_uri(base, "gold", "_published"))
 
 
-def current_version(spark: SparkSession, base: str) -> str:
-    return spark.read.parquet(zone_uri(base, "gold", "_published")).agg(F.max_by("version", "published_at")).first()[0]
+def current_version(spark: SparkSession, base: str) -> str | None:
+    """The version published last; None before the first."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(zone_uri(base, "gold", "_published"))
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return None
+    return spark.read.parquet(str(path)).agg(F.max_by("version", "published_at")).first()[0]
 
 
 def read_mart(spark: SparkSession, base: str, name: str, date_from: str | None = None, date_to: str | None = None) -> DataFrame:

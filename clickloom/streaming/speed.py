@@ -10,37 +10,118 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import events as ev
 from ..operators import prices as pr
-from ..operators.serving import windowed_metrics, with_revenue
-from ..sources.files import decode
+from ..operators.serving import SERIES_LENGTH, latest_kpi, windowed_metrics, with_revenue
+from ..sources.files import decode, decode_all
 
 
-def write_metrics(path: str):  # noqa: ANN201
-    """A foreachBatch writer: each micro-batch replaces its own folder, so a batch delivered again changes nothing."""
+def write_metrics(path: str, served: str | None = None, compact_every: int = 100):  # noqa: ANN201
+    """A foreachBatch writer: each micro-batch replaces its own folder, so a batch delivered again changes nothing.
+
+    served: where the latest KPI of each type and the newest points of the revenue series are kept as tables of their own.
+    Every `compact_every` batches the folders are merged into one.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        if served:
+            serve(spark, spark.read.schema(batch.schema).parquet(f"{path}/batch_id={batch_id}"), served, batch_id)
+        if batch_id and batch_id % compact_every == 0:
+            compact_metrics(spark, path, batch_id)
 
     return write
 
 
-def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """The last emitted row of each (window_start, event_type)."""
-    rows = spark.read.parquet(path)
+def serve(spark: SparkSession, metrics: DataFrame, served: str, batch_id: int) -> None:
+    """Merges a batch's metrics into the KPI and series tables; both are bounded, and the batch before is what they start from."""
+    now = with_revenue(metrics)
+    rows = {"kpi": now, "revenue_series": now.filter("event_type = 'purchase'").select(F.col("window_start").alias("t"), "revenue")}
+    for name, df in rows.items():
+        old = _versions(spark, f"{served}/{name}", batch_id)
+        if old:
+            df = df.withColumn("new", F.lit(1)).unionByName(spark.read.parquet(f"{served}/{name}/batch_id={old[-1]}").withColumn("new", F.lit(0)), allowMissingColumns=True)
+            key = ["event_type", "window_start"] if name == "kpi" else ["t"]
+            rest = [c for c in df.columns if c not in (*key, "new")]
+            df = df.groupBy(*key).agg(F.max_by(F.struct(*rest), "new").alias("m")).select(*key, "m.*")
+        df = latest_kpi(df) if name == "kpi" else df.orderBy(F.desc("t")).limit(SERIES_LENGTH)
+        df.coalesce(1).write.mode("overwrite").parquet(f"{served}/{name}/batch_id={batch_id}")
+        for gone in old[:-1]:
+            _delete(spark, f"{served}/{name}/batch_id={gone}")
+
+
+def read_served(spark: SparkSession, served: str, name: str) -> DataFrame:
+    """The table `kpi` or `revenue_series` after the last batch."""
+    return spark.read.parquet(f"{served}/{name}/batch_id={_versions(spark, f'{served}/{name}')[-1]}")
+
+
+def compact_metrics(spark: SparkSession, path: str, upto: int) -> None:
+    """The last row of each (window_start, event_type) of batches up to `upto`, in the folder of that batch; older folders go.
+
+    A crash between the steps leaves rows twice, of which readers take one.
+    """
+    rows = _last(spark.read.parquet(path).filter(F.col("batch_id") <= upto))
+    rows.write.mode("overwrite").parquet(f"{path}/_merged")  # readers skip names that begin with _
+    spark.read.schema(rows.schema).parquet(f"{path}/_merged").write.mode("overwrite").parquet(f"{path}/batch_id={upto}")
+    for old in _versions(spark, path, upto):
+        _delete(spark, f"{path}/batch_id={old}")
+    _delete(spark, f"{path}/_merged")
+
+
+def _versions(spark: SparkSession, path: str, below: int | None = None) -> list[int]:
+    """The batches that have a folder, in order; those before `below` if it is given."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [x.getPath().getName() for x in fs.listStatus(folder)] if fs.exists(folder) else []
+    found = sorted(int(x.split("=")[1]) for x in names if x.startswith("batch_id="))
+    return [x for x in found if below is None or x < below]
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _last(rows: DataFrame) -> DataFrame:
     fields = [c for c in rows.columns if c not in ("window_start", "event_type", "batch_id")]
     last = rows.groupBy("window_start", "event_type").agg(F.max_by(F.struct(*fields), "batch_id").alias("m"))
-    return with_revenue(last.select("window_start", "event_type", "m.*"))
+    return last.select("window_start", "event_type", "m.*")
+
 
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """The last emitted row of each (window_start, event_type)."""
+    return with_revenue(_last(spark.read.parquet(path)))
 
-def start_metrics(events: DataFrame, path: str, checkpoint: str, window: str = "1 minute", watermark: str = "2 minutes", every: str | None = "10 seconds") -> StreamingQuery:
-    """Windowed metrics in update mode; every: the trigger's interval, None for all that is there and then stop."""
+
+def start_metrics(events: DataFrame, path: str, checkpoint: str, window: str = "1 minute", watermark: str = "2 minutes", every: str | None = "10 seconds", served: str | None = None) -> StreamingQuery:
+    """Windowed metrics in update mode; every: the trigger's interval, None for all that is there and then stop; served: see write_metrics."""
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    out = windowed_metrics(events, window, watermark).writeStream.outputMode("update").foreachBatch(write_metrics(path))
+    out = windowed_metrics(events, window, watermark).writeStream.outputMode("update").foreachBatch(write_metrics(path, served))
     return out.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def contract_events(messages: DataFrame, run_id: str, ingested_at: datetime) -> DataFrame:
-    """Messages through the batch contract, with the reason where they break it."""
-    return ev.normalize(decode(messages), run_id, ingested_at).withColumn("rejection_reason", ev.rejection_reason())
+    """Messages through the batch contract, with the reason where they break it; unreadable ones keep their text in raw_message."""
+    rows = decode_all(messages)
+    kept = ev.normalize(rows, run_id, ingested_at, extra=("value", "decode_error"))
+    key = F.when(F.col("decode_error").isNotNull(), F.sha2("value", 256)).otherwise(F.col("event_key"))
+    kept = kept.withColumn("event_key", key).withColumn("rejection_reason", F.coalesce("decode_error", ev.rejection_reason()))
+    return kept.withColumnRenamed("value", "raw_message").drop("decode_error")
+
+
+def start_index(messages: DataFrame, path: str, checkpoint: str, every: str | None = "10 seconds") -> StreamingQuery:
+    """Documents of the raw-event index (id, document), each micro-batch in a folder of its own; a batch delivered again replaces it."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        ev.index_documents(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return decode(messages).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def publish(events: DataFrame, path: str | None = None, format: str = "json", **options: str) -> None:  # noqa: A002
+    """Events as wire messages (key, value) to a sink of any format; for kafka give its options and no path."""
+    writer = ev.to_wire(events).write.format(format).options(**options).mode("append")
+    writer.save(path) if path else writer.save()
 
 
 def start_raw(messages: DataFrame, path: str, dead: str, checkpoint: str, run_id: str, ingested_at: datetime, watermark: str = "2 minutes", every: str | None = "10 seconds") -> StreamingQuery:
@@ -48,7 +129,7 @@ def start_raw(messages: DataFrame, path: str, dead: str, checkpoint: str, run_id
     rows = contract_events(messages, run_id, ingested_at).withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(["event_key"])
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.filter("rejection_reason IS NULL").drop("rejection_reason").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch.filter("rejection_reason IS NULL").drop("rejection_reason", "raw_message").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
         ev.dead_letters(batch.filter("rejection_reason IS NOT NULL"), "events").write.mode("overwrite").parquet(f"{dead}/batch_id={batch_id}")
 
     trigger = {"processingTime": every} if every else {"availableNow": True}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -184,3 +185,47 @@ def test_no_python_in_core_plans(spark, events):
     for m in marts.marts(events).values():
         plan = m._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_incremental_marts_equal_a_rebuild(spark, source, tmp_path):
+    """A second run that adds events to an old day, moves a session's start back a day and leaves a day of one session empty."""
+    more = tmp_path / "more.csv"
+    head = Path(source).read_text().split("\n")[0]
+    row = {c: "" for c in head.split(",")}
+    late = [row | {"event_time": "2019-10-01 23:50:00 UTC", "event_type": "view", "product_id": "1002", "user_id": "505", "user_session": "s5", "price": "150.00"},
+            row | {"event_time": "2019-10-03 01:00:00 UTC", "event_type": "purchase", "product_id": "1003", "user_id": "503", "user_session": "s9", "price": "90.00"}]
+    more.write_text("\n".join([head, *(",".join(x.values()) for x in late)]) + "\n")
+    bases = [str(tmp_path / k) for k in ("inc", "full")]
+    for base, incremental in zip(bases, (True, False), strict=True):
+        for k, path in enumerate((str(source), str(more))):
+            warehouse.run_warehouse(spark, path, base, f"run-{k}", incremental=incremental)
+    for name in marts.MARTS:
+        a, b = (sorted(map(str, sinks.read_mart(spark, base, name).collect())) for base in bases)
+        assert a == b and a
+    days = {r.session_id: str(r.event_date) for r in sinks.read_mart(spark, bases[0], "session_daily").collect()}
+    assert days["s5"] == "2019-10-01" and days["s9"] == "2019-10-03"
+
+
+def test_unreadable_messages_and_served_tables(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1.txt").write_text("\n".join([_wire("10:00:01", "view", "a"), "not json", '{"event_time": "2019-10-01 10:00:00"}', _wire("nonsense", "view", "a"), _wire("10:00:09", "purchase", "a", -1.0)]))
+    stream = lambda: files.read_stream(spark, "text", str(tmp_path / "in"))
+    speed.start_raw(stream(), str(tmp_path / "good"), str(tmp_path / "dead"), str(tmp_path / "cp"), "r", AT, every=None).awaitTermination()
+    dead = spark.read.parquet(str(tmp_path / "dead")).collect()
+    assert sorted(r.error for r in dead) == ["negative_price", "no_event_type", "not_json", "unreadable_time"]
+    assert json.loads(next(r.raw_payload for r in dead if r.error == "not_json"))["raw_message"] == "not json"
+    out, served = str(tmp_path / "metrics"), str(tmp_path / "served")
+    write = speed.write_metrics(out, served, compact_every=2)
+    for k, (minute, n) in enumerate([("10:00", 1), ("10:05", 2), ("10:05", 3), ("10:02", 9)]):
+        write(spark.sql(f"SELECT TIMESTAMP'2019-10-01 {minute}:00' AS window_start, TIMESTAMP'2019-10-01 {minute}:59' AS window_end, 'purchase' AS event_type, {n}L AS event_count, 1L AS unique_users, {n}D AS amount"), k)
+    assert [r.event_count for r in speed.read_served(spark, served, "kpi").collect()] == [3]
+    assert [r.revenue for r in speed.read_served(spark, served, "revenue_series").collect()] == [3.0, 9.0, 1.0]
+    assert sorted(r.event_count for r in speed.read_metrics(spark, out).collect()) == [1, 3, 9]
+    assert sorted(p.name for p in Path(out).iterdir() if p.name.startswith("batch")) == ["batch_id=2", "batch_id=3"]
+
+
+def test_every_model_is_backtested(spark):
+    h = spark.sql("SELECT 'all' AS series, date_add(DATE'2019-10-01', i) AS date, 10.0D + i AS revenue, CAST(i AS BIGINT) AS purchase_events, 1.0D AS avg_purchase_value FROM (SELECT explode(sequence(0, 19)) AS i)")
+    b = {r.model: r for r in series.backtest(series.model_backtest(h, holdout=5)).collect()}
+    assert set(b) == set(series.FORECASTERS) and round(b["naive7"].mae, 6) == 5.666667 and round(b["seasonal_naive"].mae, 6) == 6.333333  # of 5, 7 and 7
+    assert series.model_backtest(h.limit(4)).count() == 0
