@@ -1,11 +1,13 @@
 """Operator 3: quality rules with risk-controlled cutoffs.
 
-A rule rejects texts whose share of signs, repeated words, repeated lines or capitals reaches a cutoff. Cutoffs are chosen
-for each stratum from labelled texts, which nothing else is fitted on. From loose to strict, a cutoff is certified while
-an exact binomial test refutes that its rejection rate of good texts exceeds `alpha` / rules at level `delta` / (strata *
-rules): fixed-sequence testing within a rule, Bonferroni over rules and strata. So with probability 1 - delta no stratum
-loses more than `alpha` of its good texts. Of the certified cutoffs the one with the best balance of bad against good
-rejected labels is used; a rule that gains nothing, or can't be certified with the labels there are, rejects nothing.
+Four rules measure a text: its shares of signs, repeated words, repeated lines and capitals. How much each counts is fitted
+(logistic regression over all strata) on a fourth of the labelled texts, at most `SAMPLE` of them; the level of a text is
+the chance of a bad label that they give, in BINS steps. The other labelled texts are the holdout that selects the cutoffs
+of the level, one a stratum. From strict to loose in rejecting, a cutoff is certified while an exact binomial test refutes
+that the rejection rate of good texts exceeds `alpha` at level `delta` / strata: fixed-sequence testing inside a stratum,
+Bonferroni over strata. So with probability 1 - delta no stratum loses more than `alpha` of its good texts. Of the
+certified cutoffs the one with the best balance of bad against good rejected labels is used; a stratum that gains nothing,
+or whose labels are too few to certify anything (217 good ones at the defaults and four strata), rejects by the base only.
 """
 
 from __future__ import annotations
@@ -15,13 +17,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import KEEP, Words, by_group, mix, raw, slices
 from .store import settled
+from .toxicity import logistic
 
-ALPHA, DELTA, BINS, GOOD_WEIGHT, MAX_STRATA = 0.02, 0.05, 200, 10, 1000
+ALPHA, DELTA, BINS, GOOD_WEIGHT, SAMPLE = 0.02, 0.05, 200, 10, 10_000
 RULES = ("symbols", "repeats", "dup_lines", "capitals")
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _STEP = np.uint64(0x9FB21C651E98DF25)
@@ -109,7 +112,7 @@ def binomial_tail(k: int, n: int, p: float) -> float:
 
 
 def certify(good: np.ndarray, bad: np.ndarray, alpha: float, delta: float) -> int | None:
-    """The cutoff bin for one rule of a stratum from its labelled counts by bin; None: reject nothing."""
+    """The cutoff for a stratum from its labelled counts by level; None: reject nothing."""
     n, best, gain = int(good.sum()), None, 0
     lost, caught = np.cumsum(good[::-1])[::-1], np.cumsum(bad[::-1])[::-1]
     for cut in range(len(good) - 1, 0, -1):
@@ -121,33 +124,52 @@ def certify(good: np.ndarray, bad: np.ndarray, alpha: float, delta: float) -> in
     return best
 
 
-def cutoffs(measured: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> dict[str, list[int | None]]:
-    """For each stratum the cutoff bin of each rule. Strata beyond the MAX_STRATA largest keep all that pass the base."""
-    known = labels.filter("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    rows = measured.filter("not base_failed").select("doc_id", "stratum", "bins").join(known, "doc_id")
-    cells = rows.select("stratum", (F.col("quality") > 0).cast("long").alias("good"), F.posexplode("bins").alias("rule", "bin"))
-    table = cells.groupBy("stratum", "rule", "bin").agg(F.sum("good").alias("good"), F.sum(1 - F.col("good")).alias("bad"))
-    lists = table.groupBy("stratum").agg(F.sum("good").alias("n"), F.collect_list(F.struct("rule", "bin", "good", "bad")).alias("cells"))
-    found = lists.orderBy(F.desc("n"), "stratum").limit(MAX_STRATA).collect()  # at most MAX_STRATA rows of RULES * BINS cells
-    out = {}
-    for r in found:
-        counts = np.zeros((2, len(RULES), BINS + 1), dtype=np.int64)
-        for c in r.cells:
-            counts[0, c["rule"], c["bin"]], counts[1, c["rule"], c["bin"]] = c["good"], c["bad"]
-        out[r.stratum] = [certify(counts[0, i], counts[1, i], alpha / len(RULES), delta / (len(RULES) * len(found))) for i in range(len(RULES))]
-    return out
+def is_holdout() -> Column:
+    """Whether a labelled text selects cutoffs; the others fit the weights of the rules."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4 != 0
 
 
-def judged(docs: DataFrame, labels: DataFrame, stratum: str = "lang", **levels) -> DataFrame:  # noqa: ANN003
-    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept for each row.
+def _known(labels: DataFrame) -> DataFrame:
+    return labels.filter("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+
+
+def weights(measured: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarray:
+    """Of each rule and the constant, from at most `sample` labelled texts; zero without labels of both kinds."""
+    rows = measured.filter("not base_failed").join(_known(labels).filter(~is_holdout()), "doc_id")
+    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", *COUNTS).limit(sample).select("bins", (F.col("quality") <= 0).cast("int").alias("bad")).collect()
+    y = np.array([r.bad for r in rows], dtype=float)
+    if len(set(y.tolist())) < 2:
+        return np.zeros(len(RULES) + 1)
+    return logistic(np.log1p(np.array([r.bins for r in rows], dtype=float)), y)
+
+
+def with_levels(measured: DataFrame, w: np.ndarray) -> DataFrame:
+    score = sum((float(c) * F.log1p(F.col("bins")[i]) for i, c in enumerate(w[:-1])), F.lit(float(w[-1])))
+    return measured.withColumn("level", F.floor(BINS / (1 + F.exp(-score))).cast("int"))
+
+
+def cutoffs(leveled: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> dict[str, int]:
+    """The certified cutoff level of each stratum that has one."""
+    rows = leveled.filter("not base_failed").select("doc_id", "stratum", "level").join(_known(labels).filter(is_holdout()), "doc_id")
+    good = (F.col("quality") > 0).cast("long")
+    cells = rows.groupBy("stratum", "level").agg(F.sum(good).alias("good"), F.sum(1 - good).alias("bad")).collect()  # BINS rows a stratum at most
+    counts: dict[str, np.ndarray] = {}
+    for r in cells:
+        counts.setdefault(r.stratum, np.zeros((2, BINS + 1), dtype=np.int64))[:, r.level] = r.good, r.bad
+    cuts = {s: certify(c[0], c[1], alpha, delta / len(counts)) for s, c in counts.items()}
+    return {s: c for s, c in cuts.items() if c is not None}
+
+
+def judged(docs: DataFrame, labels: DataFrame, stratum: str = "lang", **limits) -> DataFrame:  # noqa: ANN003
+    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, level for each row.
 
     Null and empty texts have no words and fail the base rules. A null stratum is a stratum of its own. Without labels
-    only the base rules reject. Texts are read once and not shuffled; labels meet the counts.
+    only the base rules reject. Rows of a repeated id are judged each, and each meets the id's label. Texts are read once
+    and not shuffled; labels meet the counts.
     """
-    spark, found = docs.sparkSession, settled(measures(docs, stratum))
-    cuts = cutoffs(found, labels, **levels)
-    rows = [(s, [BINS + 1 if c is None else c for c in cs]) for s, cs in cuts.items()]
-    limits = F.broadcast(spark.createDataFrame(rows, "of string, limits array<int>"))  # a row a stratum, MAX_STRATA at most
-    rejected = F.exists(F.arrays_zip("bins", "limits"), lambda x: x["bins"] >= x["limits"])
-    kept = ~F.col("base_failed") & ~F.coalesce(rejected, F.lit(False))
-    return found.join(limits, found.stratum == F.col("of"), "left").select("doc_id", *COUNTS, "base_failed", kept.alias("kept"))
+    found = settled(measures(docs, stratum))
+    leveled = with_levels(found, weights(found, labels))
+    cuts = cutoffs(leveled, labels, **limits)
+    limit = F.broadcast(docs.sparkSession.createDataFrame(list(cuts.items()), "of string, cut int"))  # a row a stratum
+    kept = ~F.col("base_failed") & F.coalesce(F.col("level") < F.col("cut"), F.lit(True))
+    return leveled.join(limit, leveled.stratum == F.col("of"), "left").select("doc_id", *COUNTS, "base_failed", kept.alias("kept"), "level")
