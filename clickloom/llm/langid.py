@@ -19,7 +19,6 @@ from .arrays import Words, slices
 from .toxicity import is_training
 
 SAMPLE, SLOTS, SWITCH, SMOOTH = 1_500, 1 << 16, 8.0, 0.3
-MAX_LANGUAGES = 200
 _LETTER = re.compile(r"[^\W\d_]")
 
 # Letters only: signs and digits of ASCII separate words.
@@ -159,10 +158,10 @@ def _add(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
 def fit(docs: DataFrame, sample: int = SAMPLE, folds: int = 5) -> Model | None:
     """From at most `sample` training rows of each language, those with the smallest hashes; None without any.
 
-    Up to MAX_LANGUAGES languages are learned, the ones with most rows.
+    Every language is learned: the model has a row a distinct value of lang.
     """
     known = docs.select("doc_id", "text", "lang").filter(is_training(folds)).filter("lang is not null and text is not null")
-    sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    sizes = known.groupBy("lang").count().collect()  # a row a language
     if not sizes:
         return None
     langs = sorted(r.lang for r in sizes)

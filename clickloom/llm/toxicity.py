@@ -9,6 +9,7 @@ doesn't count. The sum of a text's weights, plain and for each hundred words, go
 from __future__ import annotations
 
 import math
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
@@ -37,8 +38,10 @@ _FOLD = str.maketrans(_LOOKALIKES | dict.fromkeys(_SIGNS, " ") | dict.fromkeys(_
 
 
 def fold(text: str | None) -> str:
-    """The folded text with a space before and after it."""
-    return f" {(text or '').lower().translate(_FOLD)} "
+    """The folded text with a space before and after it; compatibility forms (wide, ringed, styled letters) are plain ones."""
+    text = text or ""
+    plain = text if text.isascii() else unicodedata.normalize("NFKC", text)
+    return f" {plain.lower().translate(_FOLD)} "
 
 
 def _terms(text: str | None) -> set[str]:
@@ -150,7 +153,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int = 5
     finally:
         rows.unpersist()
     y = seen["toxic"].to_numpy(dtype=float)
-    if not len(y):
+    if len(set(y.tolist())) < 2:  # no rows, or all of one kind
         return matcher, np.array([0.0, 0.0, -5.0])
     return matcher, logistic(seen[["x1", "x2"]].to_numpy(), y)
 
