@@ -12,8 +12,11 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .store import Scratch
+
 WINDOW, PERCENT = 13, 5
 MAX_BROADCAST = 2_000_000
+MAX_HIT_WORDS = 4_000_000  # of all passages with hits that are broadcast
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -63,7 +66,10 @@ def scan(docs: DataFrame, bench: DataFrame, window: int = WINDOW, percent: int =
     an empty benchmark give no hits; repeated rows are judged each.
     """
     docs = docs.select(F.struct("*").alias("given"), "text", F.xxhash64("doc_id", "text").alias("row"))
-    joined = docs.join(_hits(docs.select("row", "text"), bench, window), "row", "left")
+    scratch = Scratch(docs.sparkSession)
+    hits = scratch.settled(_hits(docs.select("row", "text"), bench, window))
+    found = hits.agg(F.sum(F.aggregate("hits", F.lit(0), lambda n, h: n + F.size(h["passage"]) + 8))).first()[0] or 0
+    joined = docs.join(F.broadcast(hits) if found <= MAX_HIT_WORDS else hits, "row", "left")  # few hits: texts aren't shuffled
     words = words_of("text")
     true = F.filter("hits", lambda h: F.slice("words", h["at"], h["size"]) == h["passage"])
     out = joined.withColumn("words", words).withColumn("hits", F.coalesce(true, F.array().cast(joined.schema["hits"].dataType)))
@@ -89,11 +95,12 @@ def clean_documents(docs: DataFrame, bench: DataFrame, window: int = WINDOW, per
 
 def clean_spans(docs: DataFrame, bench: DataFrame, window: int = WINDOW) -> DataFrame:
     """docs with the hit words of each text left out; a text that had hits becomes its other words, joined by spaces."""
-    found = scan(docs, bench, window)
-    number = F.sequence(F.lit(1), F.size("decontam.words"))
-    rest = F.filter(F.arrays_zip(F.col("decontam.words").alias("w"), number.alias("i")), lambda x: ~F.array_contains("decontam.hit", x["i"]))
-    text = F.when(F.size("decontam.hit") == 0, F.col("text")).otherwise(F.array_join(F.transform(rest, lambda x: x["w"]), " "))
-    return found.withColumn("text", text).drop("decontam")
+    column = free_name(docs, "decontam")
+    found = scan(docs, bench, window, column=column)
+    words, hit = F.col(f"{column}.words"), F.col(f"{column}.hit")
+    rest = F.array_except(F.sequence(F.lit(1), F.size(words)), hit)
+    text = F.when(F.size(hit) == 0, F.col("text")).otherwise(F.array_join(F.transform(rest, lambda i: F.get(words, i - 1)), " "))
+    return found.withColumn("text", text).drop(column)
 
 
 def digest(found: DataFrame) -> DataFrame:
