@@ -8,7 +8,8 @@ import numpy as np
 import pyarrow as pa
 
 SPACE = 32
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = (1 << 20) - (1 << 14)
+HASHED = 1 << 20  # bytes that are hashed at a time, which bounds the tables of powers
 
 # Bytes 0x09-0x0D and 0x20 separate words; A-Z become a-z in the lowering table.
 KEEP = np.arange(256, dtype=np.uint8)
@@ -116,6 +117,22 @@ class Words:
 
 
 def span_hash(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the words from start to end, in order; a word above HASHED bytes is hashed by its pieces."""
+    out, at = [], 0
+    while at < len(start):
+        to = max(at + 1, int(np.searchsorted(end, start[at] + HASHED, side="right")))
+        first, last = int(start[at]), int(end[to - 1])
+        if last - first > HASHED:
+            cuts = np.arange(0, last - first, HASHED)
+            pieces = np.concatenate([_span_hash(buf[first + c : min(first + c + HASHED, last)], np.array([0]), np.array([min(HASHED, last - first - c)])) for c in cuts.tolist()])
+            out.append(mix(np.bitwise_xor.reduce(pieces * (2 * np.arange(len(pieces), dtype=np.uint64) + np.uint64(1)))[None]))
+        else:
+            out.append(_span_hash(buf[first:last], start[at:to] - first, end[at:to] - first))
+        at = to
+    return np.concatenate(out) if out else np.empty(0, dtype=np.uint64)
+
+
+def _span_hash(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     up, down = powers(len(buf) + 1)
     total = np.zeros(len(buf) + 1, dtype=np.uint64)
     np.cumsum(_BYTE[buf] * up[:-1], out=total[1:])
