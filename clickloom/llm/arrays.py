@@ -9,7 +9,7 @@ import pyarrow as pa
 
 SPACE = 32
 SLICE_BYTES = (1 << 20) - (1 << 14)
-HASHED = 1 << 20  # bytes that are hashed at a time, which bounds the tables of powers
+HASHED = (1 << 19) - 1  # bytes that are hashed at a time, which bounds the tables of powers
 
 # Bytes 0x09-0x0D and 0x20 separate words; A-Z become a-z in the lowering table.
 KEEP = np.arange(256, dtype=np.uint8)

@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_ROWS, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2000
 _LEFT: dict[str, SparkSession] = {}  # folders that results still read
 
 
@@ -24,6 +25,12 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on the session sends its Python workers at most BATCH_ROWS rows at a time, which bounds the memory of whole texts."""
+    if not 0 < int(spark.conf.get(_ROWS)) <= BATCH_ROWS:
+        spark.conf.set(_ROWS, BATCH_ROWS)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
@@ -47,6 +54,7 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark, self.path = spark, f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}"
         self.names: dict[int, str] = {}
+        small_batches(spark)
         _LEFT[self.path] = spark
 
     def settled(self, df: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import slices
+from .store import small_batches
 
 SAMPLE, TERMS, LEAST_TEXTS, LEAST_RATIO = 10_000, 400, 3, 20.0
 PREFIXES = range(3, 10)
@@ -179,5 +180,6 @@ def with_scores(docs: DataFrame, labels: DataFrame, column: str = "tox_score", *
     """
     from pyspark.sql.types import DoubleType, StructType
 
+    small_batches(docs.sparkSession)
     schema = StructType([*docs.schema.fields]).add(column, DoubleType())
     return docs.mapInArrow(_scores(*fit(docs, labels, **options), column), schema)
