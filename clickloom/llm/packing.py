@@ -21,7 +21,7 @@ from .store import settled
 
 CAPACITY = 1024
 END_ID = 2
-MAX_UNITS = 600_000  # of each of two generations of remembered stretches
+MAX_UNITS = 200_000  # of each of two generations of remembered stretches
 _SIGNS = ".,;:!?#$%&*|"
 _WIDE_SPACES = "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
