@@ -16,7 +16,6 @@ def block_count(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> int:
     return max(math.ceil(total / block_bytes), 2 * docs.sparkSession.sparkContext.defaultParallelism)
 
 
-def in_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, text, block. The block hangs on the id and the text, so copies of one id spread as well."""
-    n = block_count(docs, block_bytes)
+def in_blocks(docs: DataFrame, n: int) -> DataFrame:
+    """doc_id, text, block (one of n). The block hangs on the id and the text, so copies of one id spread as well."""
     return docs.select("doc_id", F.col("text").cast("string").alias("text"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).alias("block"))

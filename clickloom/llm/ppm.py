@@ -1,17 +1,19 @@
 """Operator 1: language-model scores by prediction by partial matching over bytes.
 
-A text is read as its words (A-Z lowered) joined by one space and ended by a newline; contexts before its start are
-newlines. Contexts of 5, 4, 3 and 2 bytes form the trie. A context with n occurrences and u distinct followers gives a
+A text is read as its bytes (A-Z lowered, white space as it is) and an end sign that no text holds; contexts before its
+start are newlines. Contexts of 5 to 0 bytes form the trie. A context with n occurrences and u distinct followers gives a
 follower seen c times c / (n + u) and keeps u / (n + u) as escape (method C); after an escape the followers of the
-longer context are excluded from the shorter one, and below order 2 the bytes not excluded are equally likely.
+longer context are excluded from the shorter one, and below order 0 the bytes not excluded are equally likely.
 
 Pretrained scoring, for any corpus size: texts are dealt into blocks; each block names the distinct words and 6-byte
 grams it holds with their training counts, packed for each bucket. A bucket sums the counts of all blocks and turns
-grams into log-probabilities: grams sharing their last two context bytes share a bucket, so all shorter contexts of a
-gram are there too. What a block asked for goes back to it, and the block scores its texts. Only counts and a block's
-own vocabulary move, in proportion to the corpus; no table of the whole model exists in one place.
+grams into log-probabilities: grams sharing their last two context bytes share a bucket, so their contexts of two bytes
+and more are there too. Orders 1 and 0 come from the counts of byte pairs in all training texts, 65,536 at most, which
+every bucket gets. What a block asked for goes back to it, and the block scores its texts. There are as many buckets as
+blocks, so that neither grows with the corpus; only counts and a block's own vocabulary move, and no table of the whole
+model exists in one place.
 
-Words are compared by 63-bit hashes of their bytes. Null texts are empty: one end token, one newline.
+Words are compared by 63-bit hashes of their bytes. Null texts are empty: one end token, one end sign.
 """
 
 from __future__ import annotations
@@ -26,35 +28,35 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import Words, mix, slices
-from .blocks import in_blocks
+from .arrays import KEEP, SPACE, Words, mix, slices
+from .blocks import block_count, in_blocks
 
-ORDER, LEAST = 5, 2
+ORDER, SHARED = 5, 2  # the longest context; that which all grams of a bucket share
 PPM_BLOCK_BYTES = 16 << 20
-END = 10
+LEAD, END = 10, 255
 _TOP = np.uint64(1 << 63)
 END_KEY = -(1 << 63)  # the end token, among the word keys (all negative)
 
 
 def normal(text: str | None) -> bytes:
     """The bytes that are coded for a text, without the leading context."""
-    return b" ".join((text or "").encode().lower().split()) + b"\n"
+    return (text or "").encode().lower() + bytes([END])
 
 
 class Trie:
     """Byte-context trie with counts, for adaptive code lengths and as the plain form of the pretrained model."""
 
-    def __init__(self, order: int = ORDER, least: int = LEAST):
-        self.order, self.least = order, least
+    def __init__(self, order: int = ORDER):
+        self.order = order
         self.followers: dict[bytes, dict[int, int]] = defaultdict(lambda: defaultdict(int))
 
     def add(self, context: bytes, symbol: int) -> None:
-        for k in range(self.least, self.order + 1):
+        for k in range(self.order + 1):
             self.followers[context[len(context) - k :]][symbol] += 1
 
     def log10(self, context: bytes, symbol: int) -> float:
         out, gone = 0.0, set()
-        for k in range(self.order, self.least - 1, -1):
+        for k in range(self.order, -1, -1):
             seen = self.followers.get(context[len(context) - k :])
             if not seen:
                 continue
@@ -69,7 +71,7 @@ class Trie:
 
     def text(self, text: str | None, learn: bool = False) -> float:
         """log10 probability of a text; learn: the trie grows after each byte (adaptive coding)."""
-        out, data = 0.0, bytes([END]) * self.order + normal(text)
+        out, data = 0.0, bytes([LEAD]) * self.order + normal(text)
         for i in range(self.order, len(data)):
             context, symbol = data[i - self.order : i], data[i]
             out += self.log10(context, symbol)
@@ -92,7 +94,7 @@ def adaptive_scores(docs: DataFrame) -> DataFrame:
 
 def _coded(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts, each after its leading context, and their offsets."""
-    lead = bytes([END]) * ORDER
+    lead = bytes([LEAD]) * ORDER
     parts = [lead + normal(t) for t in texts]
     return np.frombuffer(b"".join(parts), dtype=np.uint8), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
 
@@ -109,7 +111,7 @@ def _grams(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 
 def _word_keys(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, Words]:
-    words = Words.of(buf, off, (buf != 32) & (buf != END))
+    words = Words.of(buf, off, (KEEP[buf] != SPACE) & (buf != END))
     return (words.hashes() | _TOP).view(np.int64), words
 
 
@@ -159,14 +161,34 @@ def _totals(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     return k, np.bincount(back, weights=np.concatenate(counts)), back, np.cumsum([len(x) for x in asked])
 
 
-def _answer(table: pa.Table) -> pa.Table:
-    """What each block asked for: a word's count, a gram's log10 probability."""
-    k, c, back, ends = _totals(table)
-    value, gram = c, k >= 0
-    if gram.any():
-        value[gram] = predicted(k[gram], c[gram])
-    values = [x.tobytes() for x in np.split(value[back], ends[:-1])]
-    return pa.table({"block": table.column("block"), "keys": table.column("keys"), "vals": pa.array(values, pa.binary())})
+def _answer(pairs: np.ndarray):
+    def answer(table: pa.Table) -> pa.Table:
+        """What each block asked for: a word's count, a gram's log10 probability."""
+        k, c, back, ends = _totals(table)
+        value, gram = c, k >= 0
+        if gram.any():
+            value[gram] = predicted(k[gram], c[gram], pairs)
+        values = [x.tobytes() for x in np.split(value[back], ends[:-1])]
+        return pa.table({"block": table.column("block"), "keys": table.column("keys"), "vals": pa.array(values, pa.binary())})
+
+    return answer
+
+
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(1 << 16, dtype=np.int64)
+    for whole in batches:
+        for batch in slices(whole, 2 << 20):
+            total += np.bincount(_grams(*_coded(batch.column("text").to_pylist())) & 0xFFFF, minlength=len(total))
+    seen = np.flatnonzero(total)
+    yield pa.record_batch([pa.array(seen), pa.array(total[seen])], ["pair", "n"])
+
+
+def pair_counts(training: DataFrame) -> np.ndarray:
+    """How often each byte (column) was coded after each byte (row) in all training texts; 65,536 numbers at any size."""
+    out = np.zeros(1 << 16)
+    for r in training.select("text").mapInArrow(_pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        out[r.pair] = r.n
+    return out.reshape(256, 256)
 
 
 def _size(table: pa.Table) -> pa.Table:
@@ -174,15 +196,28 @@ def _size(table: pa.Table) -> pa.Table:
     return pa.table({"tokens": [int(c[k < 0].sum())], "kinds": [int((c[k < 0] > 0).sum())]})
 
 
-def predicted(gram: np.ndarray, count: np.ndarray) -> np.ndarray:
+def _under(pairs: np.ndarray) -> np.ndarray:
+    """The probability of each byte (column) once the context of one byte (row) has escaped."""
+    single, seen = pairs.sum(axis=0), pairs > 0
+    kinds = (single > 0).sum()
+    if not kinds:
+        return np.full(pairs.shape, 1 / 256)
+    left = kinds - seen.sum(axis=1, keepdims=True)
+    total = single.sum() - seen @ single[:, None] + left
+    total_safe = np.where(total > 0, total, 1.0)
+    return np.where(single > 0, single / total_safe, np.where(total > 0, left / total_safe, 1.0) / max(256 - kinds, 1))
+
+
+def predicted(gram: np.ndarray, count: np.ndarray, pairs: np.ndarray) -> np.ndarray:
     """log10 probability of each gram's last byte after the bytes before it.
 
-    gram: all distinct grams with the same last two context bytes; count: their training counts, 0 if only asked for.
+    gram: all distinct grams with the same last two context bytes; count: their training counts, 0 if only asked for;
+    pairs: the counts of all byte pairs.
     """
-    # what is left after an escape from order LEAST, as a probability; grown from short to long contexts
-    below: np.ndarray | None = None
-    shorter: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None = None
-    for k in range(LEAST, ORDER + 1):
+    # what is left after an escape, as a probability; grown from short to long contexts
+    below = _under(pairs).ravel()
+    shorter = (np.arange(1 << 16), pairs.ravel(), np.repeat(pairs.sum(axis=1), 256), np.repeat((pairs > 0).sum(axis=1), 256))
+    for k in range(SHARED, ORDER + 1):
         mask = (1 << (8 * (k + 1))) - 1
         g, at = np.unique(gram & mask, return_inverse=True)
         c = np.bincount(at, weights=count, minlength=len(g))
@@ -190,18 +225,15 @@ def predicted(gram: np.ndarray, count: np.ndarray) -> np.ndarray:
         seen = c > 0
         n = np.bincount(node, weights=c, minlength=len(ctx))
         u = np.bincount(node, weights=seen, minlength=len(ctx))
-        if shorter is None:
-            escaped = 1.0 / np.maximum(256 - u[node], 1)
-        else:
-            g0, c0, n0, u0 = shorter
-            up = np.searchsorted(g0, g & (mask >> 8))
-            gone = np.bincount(node, weights=np.where(seen, c0[up], 0.0), minlength=len(ctx))
-            left_u = u0[up] - u[node]
-            total = n0[up] - gone[node] + left_u
-            total_safe = np.where(total > 0, total, 1.0)
-            share = np.where(c0[up] > 0, c0[up] / total_safe, np.where(total > 0, left_u / total_safe, 1.0) * below[up])
-            # a context never seen is passed over without an escape
-            escaped = np.where(n0[up] > 0, share, below[up])
+        g0, c0, n0, u0 = shorter
+        up = np.searchsorted(g0, g & (mask >> 8))
+        gone = np.bincount(node, weights=np.where(seen, c0[up], 0.0), minlength=len(ctx))
+        left_u = u0[up] - u[node]
+        total = n0[up] - gone[node] + left_u
+        total_safe = np.where(total > 0, total, 1.0)
+        share = np.where(c0[up] > 0, c0[up] / total_safe, np.where(total > 0, left_u / total_safe, 1.0) * below[up])
+        # a context never seen is passed over without an escape
+        escaped = np.where(n0[up] > 0, share, below[up])
         below, shorter = escaped, (g, c, n[node], u[node])
     g, c, n, u = shorter
     total = np.where(n > 0, n + u, 1.0)
@@ -243,10 +275,12 @@ def lm_scores(docs: DataFrame, folds: int = 10, block_bytes: int = PPM_BLOCK_BYT
     Repeated rows are scored each; an empty table gives no rows.
     """
     held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % folds == 0
-    blocks = in_blocks(docs, block_bytes).withColumn("held_out", held)
-    buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = block_count(docs, block_bytes)
+    blocks = in_blocks(docs, n).withColumn("held_out", held)
+    buckets = max(n, 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    pairs = pair_counts(docs.filter(~held).select(F.col("text").cast("string").alias("text")))
     asked = blocks.groupBy("block").applyInArrow(_vocabulary(buckets), "block long, bucket long, keys binary, counts binary")
-    answers = asked.groupBy("bucket").applyInArrow(_answer, "block long, keys binary, vals binary")
+    answers = asked.groupBy("bucket").applyInArrow(_answer(pairs), "block long, keys binary, vals binary")
     kind = docs.schema["doc_id"].dataType.simpleString()
     scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         _score, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, logs double, score double")

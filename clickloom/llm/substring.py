@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import KEEP, Words, mix, powers, slices
-from .blocks import BLOCK_BYTES, in_blocks
+from .blocks import BLOCK_BYTES, block_count, in_blocks
 
 WINDOW = 35
 _BASE = 0xA0761D6478BD642F
@@ -130,8 +130,9 @@ def strip_repeats(docs: DataFrame, window: int = WINDOW, block_bytes: int = BLOC
     """
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
-    blocks = in_blocks(docs, block_bytes)
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = block_count(docs, block_bytes)
+    blocks = in_blocks(docs, n)
+    buckets = max(n, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))  # so that none grows with the corpus
     sent = blocks.groupBy("block").applyInArrow(_send(window, buckets), "block long, bucket long, hashes binary")
     repeated = sent.groupBy("bucket").applyInArrow(_repeated, "block long, hashes binary")
     schema = f"doc_id {kind}, n_words long, n_removed long, spans array<bigint>, kept string"
