@@ -1,41 +1,90 @@
 """Operator 9: language of texts, and of the spans of mixed texts.
 
-A word's script, read from its UTF-8 lead bytes, leaves the languages that were seen in that script; byte trigrams of the
-lowered word, with its edges, score each of them (hashed tables of fixed size). Viterbi over the words with a penalty for
+Signs separate words. A word's script, by the ranges of its code points, leaves the languages that were seen in that
+script; byte trigrams of the lowered word, with its edges, score each of them (hashed tables of fixed size). Viterbi over the words with a penalty for
 each switch labels spans; the language of most letters is the text's.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .arrays import Words, slices
+from .arrays import SPACE, Words, raw, slices
 from .toxicity import is_training
 
 SAMPLE, SLOTS, SWITCH, SMOOTH = 1_500, 1 << 16, 8.0, 0.3
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 # Letters only: signs and digits of ASCII separate words.
 _TABLE = np.arange(256, dtype=np.uint8)
 _TABLE[:128] = [c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 else 32 for c in range(128)]
-# Script groups by lead byte of UTF-8: Latin, Greek, Cyrillic, Armenian and Hebrew, Arabic, Indic and Thai, Georgian and
-# Ethiopic, general signs, kana, Han, Hangul, rest
-_SCRIPT = np.zeros(256, dtype=np.uint8)
-for first, last, group in ((0xCD, 0xCF, 1), (0xD0, 0xD3, 2), (0xD4, 0xD7, 3), (0xD8, 0xDF, 4), (0xE0, 0xE0, 5), (0xE1, 0xE1, 6), (0xE2, 0xE2, 7), (0xE3, 0xE3, 8), (0xE4, 0xE9, 9), (0xEA, 0xED, 10), (0xEE, 0xF7, 11)):
-    _SCRIPT[first : last + 1] = group
-SCRIPTS = 12
+# Blocks of Unicode by script. What lies in none of them is "other"; "sign" separates words.
+SCRIPT_RANGES = {
+    "sign": ((0x80, 0xA9), (0xAB, 0xB4), (0xB6, 0xB9), (0xBB, 0xBF), (0xD7, 0xD7), (0xF7, 0xF7), (0x2000, 0x206F), (0x20A0, 0x20CF), (0x2190, 0x2BFF), (0x3000, 0x3004), (0x3008, 0x3020), (0xFF01, 0xFF20), (0x1F000, 0x1FAFF)),
+    "latin": ((0x61, 0x7A), (0xC0, 0xD6), (0xD8, 0xF6), (0xF8, 0x2AF), (0x1D00, 0x1EFF), (0x2C60, 0x2C7F), (0xA720, 0xA7FF), (0xAB30, 0xAB6F), (0xFB00, 0xFB06), (0xFF21, 0xFF5A)),
+    "greek": ((0x370, 0x3FF), (0x1F00, 0x1FFF)),
+    "cyrillic": ((0x400, 0x52F), (0x1C80, 0x1C8F), (0x2DE0, 0x2DFF), (0xA640, 0xA69F)),
+    "armenian": ((0x530, 0x58F),),
+    "hebrew": ((0x590, 0x5FF), (0xFB1D, 0xFB4F)),
+    "arabic": ((0x600, 0x6FF), (0x750, 0x77F), (0x8A0, 0x8FF), (0xFB50, 0xFDFF), (0xFE70, 0xFEFE)),
+    "devanagari": ((0x900, 0x97F), (0xA8E0, 0xA8FF)),
+    "bengali": ((0x980, 0x9FF),),
+    "gurmukhi": ((0xA00, 0xA7F),),
+    "gujarati": ((0xA80, 0xAFF),),
+    "oriya": ((0xB00, 0xB7F),),
+    "tamil": ((0xB80, 0xBFF),),
+    "telugu": ((0xC00, 0xC7F),),
+    "kannada": ((0xC80, 0xCFF),),
+    "malayalam": ((0xD00, 0xD7F),),
+    "sinhala": ((0xD80, 0xDFF),),
+    "thai": ((0xE00, 0xE7F),),
+    "lao": ((0xE80, 0xEFF),),
+    "tibetan": ((0xF00, 0xFFF),),
+    "myanmar": ((0x1000, 0x109F),),
+    "georgian": ((0x10A0, 0x10FF), (0x1C90, 0x1CBF), (0x2D00, 0x2D2F)),
+    "hangul": ((0x1100, 0x11FF), (0x3130, 0x318F), (0xAC00, 0xD7FF)),
+    "ethiopic": ((0x1200, 0x139F), (0x2D80, 0x2DDF)),
+    "khmer": ((0x1780, 0x17FF),),
+    "mongolian": ((0x1800, 0x18AF),),
+    "kana": ((0x3040, 0x30FF), (0x31F0, 0x31FF), (0xFF66, 0xFF9F)),
+    "han": ((0x2E80, 0x2FDF), (0x3005, 0x3007), (0x3021, 0x3029), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF)),
+}
+SCRIPTS = len(SCRIPT_RANGES) + 1  # 0: other; 1: sign; then in the order above
+_RANGES = np.array(sorted((a, b, i + 1) for i, ranges in enumerate(SCRIPT_RANGES.values()) for a, b in ranges), dtype=np.int64)
+_SIGN = 1
+
+
+def scripts(buf: np.ndarray) -> np.ndarray:
+    """The script of each character of UTF-8 bytes, at its first byte; signs at all their bytes."""
+    out = np.zeros(len(buf) + 3, dtype=np.uint8)
+    out[:-3][(buf >= 97) & (buf <= 122)] = 1 + list(SCRIPT_RANGES).index("latin")
+    lead = np.flatnonzero(buf >= 0xC0)
+    if len(lead):
+        padded = np.concatenate([buf, np.zeros(3, np.uint8)])
+        b0, b1, b2, b3 = (padded[lead + k].astype(np.int32) for k in range(4))
+        low = b1 & 63
+        mid = low << 6 | b2 & 63
+        code = np.where(b0 < 0xE0, (b0 & 31) << 6 | low, np.where(b0 < 0xF0, (b0 & 15) << 12 | mid, (b0 & 7) << 18 | mid << 6 | b3 & 63))
+        place = np.maximum(np.searchsorted(_RANGES[:, 0], code, side="right") - 1, 0)
+        found = np.where((code >= _RANGES[place, 0]) & (code <= _RANGES[place, 1]), _RANGES[place, 2], 0)
+        out[lead] = found
+        for k, least in ((1, 0xC0), (2, 0xE0), (3, 0xF0)):
+            out[lead[(found == _SIGN) & (b0 >= least)] + k] = _SIGN
+    return out[:-3]
 
 
 def features(text: pa.StringArray) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
     """Words, slots of the trigrams, where each word's trigrams start among them, and each word's script."""
-    words = Words(text, _TABLE)
-    buf = words.buf
+    data, off = raw(text)
+    buf = _TABLE[data]
+    script = scripts(buf)
+    words = Words.of(buf, off, (buf != SPACE) & (script != _SIGN))
     if not len(words.start):
         return words, np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
     length = words.end - words.start
@@ -47,7 +96,7 @@ def features(text: pa.StringArray) -> tuple[Words, np.ndarray, np.ndarray, np.nd
     after = np.where(pos + 1 < np.repeat(words.end, length), buf[nxt], 32).astype(np.uint64)
     gram = before << np.uint64(16) | here << np.uint64(8) | after
     slot = (gram * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(48)).astype(np.int64) % SLOTS
-    return words, slot, first, np.maximum.reduceat(_SCRIPT[buf[pos]], first).astype(np.int64)
+    return words, slot, first, np.maximum.reduceat(script[pos], first).astype(np.int64)
 
 
 class Model:
@@ -206,9 +255,8 @@ def _predict(model: Model | None, switch: float):
                     turn = np.ones(len(label), dtype=bool)
                     turn[1:] = (label[1:] != label[:-1]) | (words.doc[1:] != words.doc[:-1])
                     parts = np.bincount(words.doc[turn], minlength=rows)
-                    seen = total > 0
                     for i, t in enumerate(text):
-                        if seen[i] and _LETTER.search(t.as_py()):
+                        if _LETTER.search(t.as_py()):
                             lang[i] = model.langs[top[i]]
                         else:
                             share[i] = 0.0

@@ -90,6 +90,15 @@ def test_ppm_and_base(docs, texts, empty):
     assert sum(10 ** trie.log10(b"tan r"[-ppm.ORDER :], s) for s in range(256)) == pytest.approx(1)
 
 
+def test_scores_tell_white_space_apart(spark):
+    """Repeated rows are scored each and alike; white space is coded; a null text is the end sign alone."""
+    rows = [(i, f"tan rilen {i % 7} mosk tan", i) for i in range(60)] + [(1, "tan rilen 1 mosk tan", 0), (70, "tan  rilen", 0), (71, "tan\trilen", 0), (72, "tan rilen", 0), (73, None, None)]
+    out = ppm.lm_scores(spark.createDataFrame(rows, "doc_id long, text string, held_out long")).collect()
+    by = {r.doc_id: r for r in out}
+    assert len(out) == len(rows) and len({(r.score, r.base_score) for r in out if r.doc_id == 1}) == 1
+    assert len({by[i].score for i in (70, 71, 72)}) == 3 and by[72].score > by[70].score and by[73].n_tokens == 1
+
+
 def test_lines(docs, texts, empty, spark):
     found = {r.doc_id: r.lines for r in lines.dedup_lines(docs.withColumn("th", F.lit(1))).collect()}
     gone, seen = defaultdict(list), []
@@ -317,6 +326,22 @@ def test_language(spark, docs, empty):
     assert langid.languages(empty).count() == 0 and langid.languages(docs).count() == docs.count()
 
 
+def test_scripts_and_signs(spark):
+    """Scripts by code point; quotes and dashes part words; a text of letters in no word still gets a language."""
+    names = ["other", *langid.SCRIPT_RANGES]
+    for text, want in [("a\u201cb", ["latin", "sign", "latin"]), ("\u1ebft", ["latin", "latin"]), ("\u0915\u0e01\u05d0\u0561", ["devanagari", "thai", "hebrew", "armenian"]), ("\u4e2d\u3042\U00020000", ["han", "kana", "han"]), ("1\u0301", ["other", "other"])]:
+        got, data = langid.scripts(np.frombuffer(text.encode(), dtype=np.uint8)), text.encode()
+        firsts = [i for i, c in enumerate(data) if c & 0xC0 != 0x80]
+        assert [names[got[i]] for i in firsts] == want
+    words = langid.features(pa.array(["\u201ctavo\u201d\u2014rilen"]))[0]
+    assert [bytes(words.buf[a:b]) for a, b in zip(words.start, words.end, strict=True)] == [b"tavo", b"rilen"]
+    rows = [(i, ["tavo rilen", "\u043f\u0440\u0438 \u0432\u043e\u0434\u0430"][i % 2] + f" {i}", "ab"[i % 2]) for i in range(40)]
+    rows += [(100, "\u201ctavo\u201d \u2013 \u201crilen\u201d", None), (101, "\u00bd \u2014", None), (102, "\u2135", None)]
+    rows += [(103, "\u201ctavo\u201d", None), (103, "\u201ctavo\u201d", None), (103, "\u0432\u043e\u0434\u0430", None)]
+    out = sorted((x.doc_id, x.lang_pred) for x in langid.languages(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect() if x.doc_id >= 100)
+    assert out[:2] == [(100, "a"), (101, "und")] and out[2][1] in "ab" and out[3:] == [(103, "a"), (103, "a"), (103, "b")]
+
+
 def test_viterbi_is_optimal():
     rng = np.random.default_rng(0)
     for _ in range(20):
