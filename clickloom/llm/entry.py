@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, lines, quality, substring, toxicity
+from . import decontam, langid, lines, neardup, quality, substring, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,36 +15,43 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all texts; a null text is one end token."""
     from .ppm import lm_scores
 
     return lm_scores(_table(spark, sf_dir, "documents"))
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of each text, also of null and empty ones; repeated rows are scored each."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity.with_scores(docs, _table(spark, sf_dir, "labels"))
     return scored.select("doc_id", (~toxicity.is_training()).alias("held_out"), F.col("tox_score").alias("score"), (F.col("tox_score") >= 0.5).cast("int").alias("predicted"))
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words, hit words and items of each text; a null text has no words, items without id are left out."""
     docs, bench = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     return decontam.digest(decontam.scan(docs.select("doc_id", "text"), bench))
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and removed words of each text; a null text has none, a repeated row repeats itself."""
     return substring.digest(substring.strip_repeats(_table(spark, sf_dir, "documents")))
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines, removed lines and what is left of each text; a null text has no lines and stays null."""
     found = lines.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.col("lines.n").alias("n_lines"), F.size("lines.gone").cast("long").alias("n_removed"), F.col("lines.text").alias("text"))
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of each text; a null or empty text has no words and fails the base rules."""
     return quality.judged(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of each text; null and empty texts have none, repeated rows are counted each."""
     import public_tokenizers
 
     from .tokcount import token_counts
@@ -53,6 +60,7 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all texts and their places; a null or empty text is its end id alone."""
     import public_tokenizers
 
     from .packing import pack
@@ -61,14 +69,14 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each text; `und` for null texts and those without a letter, repeated rows are judged each."""
     return langid.languages(_table(spark, sf_dir, "documents"))
 
 
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .neardup import near_duplicates
-
-    return near_duplicates(_table(spark, sf_dir, "documents"))
+    """Group of each text; null and empty texts stand alone, rows of one id stay in one group."""
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_lm_scoring, op2_line_dedup, op3_quality_rules, op4_token_counts, op5_toxicity, op6_decontamination, op7_substring_dedup, op8_best_fit_packing, op9_language_id, op10_minhash)}
-ORACLES: dict[str, str] = {"op6_decontamination": decontam.ORACLE, "op7_substring_dedup": substring.ORACLE}
+ORACLES: dict[str, str] = {"op2_line_dedup": lines.ORACLE, "op10_minhash": neardup.ORACLE, "op6_decontamination": decontam.ORACLE, "op7_substring_dedup": substring.ORACLE}

@@ -435,3 +435,35 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT, column: str = "lines",
     none = F.array().cast("array<int>")
     n = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size("parts"))
     return out.select(*(F.col("given")[c].alias(c) for c in names), F.struct(n.cast("long").alias("n"), F.coalesce("gone", none).alias("gone"), text.alias("text")).alias(column))
+
+
+# Classes of equal word sets; those of similarity 0.8 share one of their rarest words, as many as the prefix has.
+ORACLE = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
+  FROM documents WHERE text IS NOT NULL
+), w AS (
+  SELECT doc_id, i, line, list_sort(list_distinct(list_filter(
+    string_split_regex(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> ''))) AS s FROM l
+), c AS (
+  SELECT s, len(s) AS n, row_number() OVER (ORDER BY min((doc_id, i))) AS k FROM w WHERE len(s) > 0 GROUP BY s
+), x AS (
+  SELECT k, n, unnest(s) AS word FROM c
+), r AS (
+  SELECT k, n, word, row_number() OVER (PARTITION BY k ORDER BY df, word) AS place FROM x JOIN (SELECT word, count(*) AS df FROM x GROUP BY word) USING (word)
+), p AS (
+  SELECT k, n, word FROM r WHERE place <= n - (4 * n + 4) // 5 + 1
+), pairs AS (
+  SELECT DISTINCT a.k AS earlier, b.k AS later FROM p a JOIN p b ON a.word = b.word AND a.k < b.k AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)
+), alike AS (
+  SELECT DISTINCT later AS k
+  FROM (SELECT later, a.n + b.n AS total, len(list_intersect(a.s, b.s)) AS shared FROM pairs JOIN c a ON a.k = earlier JOIN c b ON b.k = later)
+  WHERE 100 * shared >= 80 * (total - shared)
+), judged AS (
+  SELECT doc_id, i, line, len(s) > 0 AND (alike.k IS NOT NULL OR row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1) AS gone
+  FROM w LEFT JOIN c USING (s) LEFT JOIN alike ON alike.k = c.k
+), t AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text FROM judged GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed, t.text FROM documents d LEFT JOIN t USING (doc_id)
+"""

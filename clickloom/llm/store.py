@@ -37,6 +37,11 @@ def remove(spark: SparkSession, path: str) -> None:
     _LEFT.pop(path, None)
 
 
+def remove_later(spark: SparkSession, path: str) -> None:
+    """A folder that results still read goes when the driver ends."""
+    _LEFT[path] = spark
+
+
 @atexit.register
 def _remove_all() -> None:
     for path, spark in list(_LEFT.items()):
@@ -55,7 +60,7 @@ class Scratch:
         self.spark, self.path = spark, f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}"
         self.names: dict[int, str] = {}
         small_batches(spark)
-        _LEFT[self.path] = spark
+        remove_later(spark, self.path)
 
     def settled(self, df: DataFrame) -> DataFrame:
         path, before = f"{self.path}/{uuid.uuid4().hex}", self.spark.conf.get(_CLEANUP)
