@@ -47,10 +47,18 @@ ORACLE_SQL = None  # learned scores and packing have no SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table; each one's result is written to the shared folder and read by the next."""
-    folder = f"{store.shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    """All stages over the documents table; each one's result is written to the shared folder, read by the next and then removed.
+
+    The last one, which run()'s rows still read, goes when the driver ends.
+    """
+    folder, before = f"{store.shared_folder(spark)}/pipeline-{uuid.uuid4().hex}", None
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+        path = f"{folder}/{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if before:
+            store.remove(spark, before)
+        before = path
+    store.remove_later(spark, folder)
     return STAGES[-1][1](spark, docs, sf_dir)
