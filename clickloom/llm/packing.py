@@ -1,26 +1,31 @@
-"""Operator 8: documents packed into sequences of at most 1024 tokens by best fit over all pieces.
+"""Operator 8: documents packed into sequences of at most 1024 tokens by hierarchical best fit.
 
-Each input partition tokenises its documents, cuts those that are too long, and numbers its pieces of each length. Best
-fit, longest first, depends on lengths alone, so the driver plans it from the counts of the at most 1024 lengths, exactly
-as if all pieces were in one place: runs of bins filled alike, with the numbers of the pieces that go into them. Each
-piece then finds its sequence and offset by its length and number. No piece is held back and no bin closed early.
+Documents are tokenised where they lie and cut if they are too long; their pieces are dealt to leaves of about LEAF pieces
+by a hash, so that each leaf sees the lengths of the whole. A leaf packs its pieces by best fit, longest first. Bins that
+are nearly full are final; underfull ones go up the tree as items, are dealt to fewer nodes and best-fitted again, round
+by round, until one node holds all that is left or a round finds partners for hardly any. No bin is closed before its
+last round, and no node holds more than about LEAF items.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import ragged, slices
-from .store import settled
+from .store import Scratch
 
 CAPACITY = 1024
 END_ID = 2
+LEAF = 1 << 16  # items of a node
+SPARE = 64  # a bin with less than a 64th of its room left is nearly full
+FEWEST = 100  # the tree ends when a round joins fewer than one bin of this many
 MAX_UNITS = 200_000  # of each of two generations of remembered stretches
 _SIGNS = ".,;:!?#$%&*|"
 _WIDE_SPACES = "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -193,10 +198,10 @@ def _pieces(path: str, end_id: int, capacity: int):
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each piece with its number among the partition's pieces of its length."""
+        """Each piece with a number of its own: that of the partition, then its place there."""
         from pyspark import TaskContext
 
-        node, ids, seen = TaskContext.get().partitionId(), ids_of(path), np.zeros(capacity + 1, dtype=np.int64)
+        ids, at = ids_of(path), TaskContext.get().partitionId() << 36
         for batch in batches:
             for part in slices(batch, 1 << 20):
                 found = []
@@ -205,46 +210,84 @@ def _pieces(path: str, end_id: int, capacity: int):
                     for piece, (start, length) in enumerate(cut(len(data) // 4, capacity)):
                         found.append((row, piece, start, length, zlib.crc32(data[4 * start : 4 * (start + length)])))
                 row, piece, start, length, crc = np.array(found, dtype=np.int64).T
-                order, here = np.argsort(length, kind="stable"), np.bincount(length, minlength=capacity + 1)
-                number = np.empty(len(length), dtype=np.int64)
-                number[order] = ragged(here)
-                number += seen[length]
-                seen += here
-                columns = [part.column("doc_id").take(pa.array(row)), *map(pa.array, (piece, start, length, crc, np.full(len(row), node), number))]
-                yield pa.record_batch(columns, ["doc_id", "piece", "start", "length", "crc", "node", "number"])
+                columns = [part.column("doc_id").take(pa.array(row)), *map(pa.array, (piece, start, crc, np.arange(at, at + len(row)), length))]
+                at += len(row)
+                yield pa.record_batch(columns, ["doc_id", "piece", "start", "ids_crc32", "item", "size"])
 
     return pieces
 
 
-def _dealt(rows: np.ndarray):
-    size, first, each, bins, at = rows.T
-    starts = (size << 48) + first
+def place(sizes: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray]:
+    """Bin and place of each item, by the plan of their sizes; items of a size are dealt in the order given."""
+    order, counts = np.argsort(sizes, kind="stable"), np.bincount(sizes, minlength=capacity + 1)
+    number = np.empty(len(sizes), dtype=np.int64)
+    number[order] = ragged(counts)
+    size, first, each, bins, at = plan({k: int(n) for k, n in enumerate(counts.tolist()) if n}, capacity)[1].T
+    row = np.searchsorted((size << 48) + first, (sizes << 48) + number, side="right") - 1
+    more, inside = np.divmod(number - first[row], each[row])
+    return bins[row] + more, at[row] + inside * sizes
 
-    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            length, number = (batch.column(c).to_numpy() for c in ("length", "number"))
-            row = np.searchsorted(starts, (length << 48) + number, side="right") - 1
-            bin_, place = np.divmod(number - first[row], each[row])
-            columns = [*batch.select(["doc_id", "piece", "start", "length", "crc"]).columns, pa.array(bins[row] + bin_), pa.array(at[row] + place * length)]
-            yield pa.record_batch(columns, ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
-    return dealt
+def fitted(items: DataFrame, level: int, nodes: int, capacity: int) -> DataFrame:
+    """One round of the tree: items (item, size and any other columns), dealt to nodes, with bin, at and fill of the bin.
 
+    Bin numbers are unique among all rounds. A node's items are sorted, so that a node that runs again packs alike.
+    """
 
-def pack(docs: DataFrame, path: str, end_id: int = END_ID, capacity: int = CAPACITY) -> DataFrame:
+    def fit(table: pa.Table) -> pa.Table:
+        table = table.sort_by("item")
+        sizes = table.column("size").to_numpy()
+        bins, at = place(sizes, capacity)
+        fill = np.bincount(bins, weights=sizes).astype(np.int64)[bins]
+        bins = bins + (level << 56) + (table.column("node")[0].as_py() << 32)
+        return pa.table([*table.drop(["node"]).columns, *map(pa.array, (bins, at, fill))], [*(c for c in table.column_names if c != "node"), "bin", "at", "fill"])
+
+    out = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in items.schema)
+    node = F.pmod(F.xxhash64("item", F.lit(level)), F.lit(nodes))
+    return items.withColumn("node", node).groupBy("node").applyInArrow(fit, f"{out}, bin long, at long, fill long")
+
+
+def _merged(scratch: Scratch, leaves: DataFrame, leaf: int, capacity: int) -> DataFrame | None:
+    """For the bins of leaves that go up the tree: their last bin and their place there."""
+
+    def underfull(packed: DataFrame) -> DataFrame:
+        return packed.filter((F.col("at") == 0) & (F.col("fill") <= capacity - capacity // SPARE)).select(F.col("bin").alias("item"), F.col("fill").alias("size"))
+
+    moved, level = None, 0
+    items = underfull(leaves)
+    left = items.count()
+    while left > 1:
+        level += 1
+        nodes = -(-left // leaf)
+        up = scratch.settled(fitted(items, level, nodes, capacity))
+        if moved is None:
+            moved = up.select("item", "bin", "at")
+        else:
+            higher = up.select(F.col("item").alias("bin"), F.col("bin").alias("to"), F.col("at").alias("further"))
+            ends = F.coalesce("to", "bin").alias("bin"), (F.col("at") + F.coalesce("further", F.lit(0))).alias("at")
+            moved = scratch.settled(moved.join(higher, "bin", "left").select("item", *ends))
+        joined = left - up.filter("at = 0").count()
+        if nodes == 1 or joined * FEWEST < left:
+            break
+        items = underfull(up)
+        left = items.count()
+    return moved
+
+
+def pack(docs: DataFrame, path: str, end_id: int = END_ID, capacity: int = CAPACITY, leaf: int = LEAF) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset for each piece.
 
     Null and empty texts are the end id alone. Repeated rows are packed each. An empty table gives no rows.
-    path: a file of the tokenizers library, on every executor.
+    path: a file of the tokenizers library, on every executor. leaf: items of a node, a bound of its memory.
     """
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    scratch, kind = Scratch(docs.sparkSession), docs.schema["doc_id"].dataType.simpleString()
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    pieces = settled(docs.mapInArrow(_pieces(path, end_id, capacity), f"doc_id {kind}, piece long, start long, length long, crc long, node long, number long"))
-    counts = settled(pieces.groupBy("node", "length").agg(F.count("*").alias("n")))
-    total = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # bounded: a row for each length
-    _, rows = plan(total, capacity)
-    before = F.sum("n").over(Window.partitionBy("length").orderBy("node").rowsBetween(Window.unboundedPreceding, -1))
-    base = counts.select("node", "length", F.coalesce(before, F.lit(0)).alias("base"))
-    numbered = pieces.join(base, ["node", "length"]).select("doc_id", "piece", "start", "length", "crc", (F.col("number") + F.col("base")).alias("number"))
-    out = numbered.mapInArrow(_dealt(rows), f"doc_id {kind}, piece long, start long, length long, ids_crc32 long, sequence_id long, offset long")
-    return out.withColumn("piece", F.col("piece").cast("int"))
+    pieces = scratch.settled(docs.mapInArrow(_pieces(path, end_id, capacity), f"doc_id {kind}, piece long, start long, ids_crc32 long, item long, size long"))
+    nodes = max(1, math.ceil(pieces.count() / leaf))
+    packed = scratch.settled(fitted(pieces, 0, nodes, capacity))
+    scratch.drop(pieces)
+    sequence, offset = F.col("bin"), F.col("at")
+    if nodes > 1 and (moved := _merged(scratch, packed, leaf, capacity)) is not None:
+        packed = packed.join(moved.select(F.col("item").alias("bin"), F.col("bin").alias("to"), F.col("at").alias("further")), "bin", "left")
+        sequence, offset = F.coalesce("to", "bin"), F.col("at") + F.coalesce("further", F.lit(0))
+    return packed.select("doc_id", F.col("piece").cast("int").alias("piece"), "start", F.col("size").alias("length"), "ids_crc32", sequence.alias("sequence_id"), offset.alias("offset"))

@@ -295,6 +295,30 @@ def test_packing_of_sorted_lengths(spark):
     assert packing.plan({700: 110_000, 300: 110_000})[0] == 110_000
 
 
+def test_packing_by_tree(spark):
+    """Small nodes, so that bins go up several rounds: gapless, nothing lost or doubled, and few sequences more than the least."""
+    r = random.Random(11)
+    rows = [(i % 900, None if i % 97 == 0 else " ".join(["the"] * min(1500, int(r.lognormvariate(5, 1.2))))) for i in range(1500)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    for leaf, most in ((1 << 16, 1.002), (100, 1.05), (1, 3)):
+        found, by_seq = packing.pack(d, VOCABULARY, leaf=leaf).collect(), defaultdict(list)
+        for x in found:
+            by_seq[x.sequence_id].append((x.offset, x.length))
+        lengths = [len(t.split()) + 1 if t else 1 for _, t in rows]
+        assert Counter(x.length for x in found) == Counter(n for size in lengths for _, n in packing.cut(size))
+        for places in map(sorted, by_seq.values()):
+            ends = np.cumsum([n for _, n in places])
+            assert ends[-1] <= 1024 and [o for o, _ in places] == [0, *ends[:-1].tolist()]
+        assert len(by_seq) <= most * math.ceil(sum(lengths) / 1024) + 1
+
+
+def test_bins_without_partners_stay(spark):
+    """No two pieces fit together: a round that joins none ends the tree, each piece has a sequence of its own."""
+    rows = [(i, " ".join(["the"] * 699)) for i in range(300)]
+    found = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), VOCABULARY, leaf=50).collect()
+    assert len({x.sequence_id for x in found}) == len(found) == 300 and all(x.offset == 0 for x in found)
+
+
 def test_plan_is_best_fit():
     rng = np.random.default_rng(1)
     for top in (40, 300, 1024):
