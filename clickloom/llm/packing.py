@@ -10,11 +10,13 @@ last round, and no node holds more than about LEAF items.
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,106 +28,81 @@ END_ID = 2
 LEAF = 1 << 16  # items of a node
 SPARE = 64  # a bin with less than a 64th of its room left is nearly full
 FEWEST = 100  # the tree ends when a round joins fewer than one bin of this many
-MAX_UNITS = 200_000  # of each of two generations of remembered stretches
-_SIGNS = ".,;:!?#$%&*|"
-_WIDE_SPACES = "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+SLICE = 16 << 20  # bytes of text whose stretches are encoded together
+WORDS = 20_000  # stretches that the library encodes at a time
+_SPACES = "\t\v\f\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"  # white space but blanks and newlines
 
 _TOKENIZERS: dict[str, Ids] = {}
 
 
 class Ids:
-    """A text's token ids as little-endian bytes; stretches between spaces, which pre-tokens never cross, are remembered."""
+    """Token ids of texts. Pre-tokens don't cross a space or newline that stands alone, so texts are parted there and each
+    distinct stretch of a batch is encoded once; texts with other white space or special strings are encoded whole.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        size = self.library.get_vocab_size()
-        self.spaced = np.zeros(size + 1, dtype=bool)
+        self.newline = self.library.encode("\n", add_special_tokens=False).ids[0]
+        self.opens = np.zeros(self.library.get_vocab_size() + 1, dtype=bool)  # ids that begin a stretch
         for word, number in self.library.get_vocab().items():
-            self.spaced[number] = word[0] == "Ġ"
-        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.units: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.heads: dict[str, bytes] = {}
+            self.opens[number] = word[0] == "Ġ"
+        self.opens[self.newline] = True
+        special = [re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()]
+        # three newlines are two pre-tokens, as are two at the start, since a newline is set before each text
+        self.odd = "|".join([r" [ \n]| \z|\A\n\n|\n\n[ \n]|\n\n\z", f"[{_SPACES}]", *special])
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _learn(self, units: list[str]) -> list[bytes]:
-        """Ids of stretches that each follow a space: encoded in one text and parted at the ids that begin with a space."""
-        out = []
-        for at in range(0, len(units), 20_000):
-            part = units[at : at + 20_000]
-            ids = np.array(self.library.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
-            cuts = np.flatnonzero(self.spaced[ids])
-            data, ends = ids.tobytes(), np.append(cuts[1:], len(ids)) * 4
-            out += [data[a:b] for a, b in zip((cuts * 4).tolist(), ends.tolist(), strict=True)]
-        return out
-
-    def _head(self, text: str) -> bytes:
-        ids = self.heads.get(text)
-        if ids is None:
-            if len(self.heads) > MAX_UNITS // 3:
-                self.heads.clear()
-            ids = self.heads[text] = self.whole(text)
-        return ids
-
-    def _composed(self, units: list[str]) -> dict[str, bytes]:
-        """Ids of new stretches. Signs after a letter, and a lone newline between other characters, are pre-tokens of their
-        own, so a stretch is put together from its word, the signs, the newline and what follows.
+    def _stretches(self, units: list[str]) -> pa.BinaryArray | None:
+        """The ids of stretches that each follow a space or begin with a newline (none for an empty one); None if they can't
+        be told apart.
         """
-        parts = []
-        for u in units:
-            left, line, right = u.partition("\n")
-            if line and (not left or not right or left[-1].isspace() or right[0].isspace()):
-                left, line, right = u, "", ""
-            base = left.rstrip(_SIGNS)
-            if not base or not base[-1].isalpha():
-                base = left
-            parts.append((base, left[len(base) :], line + right))
-        words = [b for b in dict.fromkeys(p[0] for p in parts) if b not in self.units and b not in self.old]
-        known = dict(zip(words, self._learn(words), strict=True))
-        out = {}
-        for u, (base, signs, right) in zip(units, parts, strict=True):
-            ids = known.get(base) or self.units.get(base) or self.old[base]
-            if signs:
-                ids += self._head(signs)
-            if right:
-                ids += self._head("\n") + self._head(right[1:])
-            out[u] = ids
-        return out | known
-
-    def texts(self, texts: list[str | None]) -> list[bytes]:
-        """A space followed by another sign than white space starts a pre-token; texts without any other space are split."""
-        split = [None if self._odd(t) else (t or "").split(" ") for t in texts]
-        flat = [u for s in split if s for u in s[1:]]
-        found = list(map(self.units.get, flat))
-        missing = [i for i, v in enumerate(found) if v is None]
-        new = dict.fromkeys(flat[i] for i in missing)
-        for u in new:
-            new[u] = self.old.get(u)
-        new.update(self._composed([u for u, v in new.items() if v is None]))
-        for i in missing:
-            found[i] = new[flat[i]]
-        if len(self.units) + len(new) > MAX_UNITS:
-            self.old, self.units = self.units, {}
-        self.units.update(new)
-        out, at = [], 0
-        for t, s in zip(texts, split, strict=True):
-            if s is None:
-                out.append(self.whole(t))
-            else:
-                out.append((self.whole(s[0]) if s[0] else b"") + b"".join(found[at : at + len(s) - 1]))
-                at += len(s) - 1
-        return out
-
-    def _odd(self, text: str | None) -> bool:
-        if not text:
-            return False
-        if text[-1] == " " or "  " in text or any(s in text for s in self.special) or any(c in text and " " + c in text for c in "\t\n\v\f\r\x1c\x1d\x1e\x1f"):
-            return True
-        return not text.isascii() and any(c in text for c in _WIDE_SPACES)
+        parts, sizes = [], np.zeros(len(units) + 1, dtype=np.int64)
+        for at in range(0, len(units), WORDS):
+            some = units[at : at + WORDS]
+            filled = at + 1 + np.flatnonzero(np.array(list(map(len, some))))
+            some = list(filter(None, some))
+            text = "".join(u if u[0] == "\n" else " " + u for u in some)
+            ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+            starts = np.flatnonzero(self.opens[ids])
+            if len(starts) != len(some):
+                return None
+            parts.append(ids)
+            sizes[filled] = np.diff(np.append(starts, len(ids)))
+        data = np.concatenate(parts) if parts else np.empty(0, dtype="<u4")
+        return pa.Array.from_buffers(pa.binary(), len(units), [None, pa.py_buffer((np.cumsum(sizes) * 4).astype(np.int32)), pa.py_buffer(data)])
+
+    def texts(self, texts: pa.StringArray) -> list[bytes]:
+        """Each text's ids as little-endian 32-bit numbers."""
+        odd = pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False)
+        plain = texts.filter(pa.array(~odd))
+        # a newline before each text and a space before each newline: every stretch follows a space
+        split = pc.split_pattern(pc.replace_substring(pc.binary_join_element_wise("", plain, "\n"), "\n", " \n"), " ")
+        words = split.flatten().dictionary_encode()
+        # signs after a letter are pre-tokens of their own
+        bare = pc.replace_substring_regex(words.dictionary, r"(\p{L})[.,;:!?#$%&*|]+$", r"\1")
+        signs = pc.if_else(pc.equal(bare, words.dictionary), "", pc.replace_substring_regex(words.dictionary, r"(?s)^.*\p{L}", "")).dictionary_encode()
+        bare = bare.dictionary_encode()
+        known = self._stretches(bare.dictionary.to_pylist())
+        after = pa.array([self.whole(x) for x in signs.dictionary.to_pylist()], pa.binary())
+        if known is None:
+            return [self.whole(t) for t in texts.to_pylist()]
+        whole = pc.binary_join_element_wise(known.take(bare.indices), after.take(signs.indices), b"")
+        data, ends = raw_bytes(whole.take(words.indices))
+        rows = ends[np.append(0, np.cumsum(pc.list_value_length(split).to_numpy()))].tolist()
+        found = (data[a + 4 : b] for a, b in zip(rows[:-1], rows[1:], strict=True))  # without the newline set before
+        return [self.whole(t.as_py()) if o else next(found) for t, o in zip(texts, odd.tolist(), strict=True)]
+
+
+def raw_bytes(values: pa.BinaryArray) -> tuple[bytes, np.ndarray]:
+    """All values after each other, and where each begins, with the end."""
+    if not len(values):
+        return b"", np.zeros(1, dtype=np.int32)
+    ends = np.frombuffer(values.buffers()[1], dtype=np.int32)[values.offset : values.offset + len(values) + 1]
+    return (values.buffers()[2].to_pybytes() if values.buffers()[2] is not None else b""), ends
 
 
 def ids_of(path: str) -> Ids:
@@ -197,22 +174,33 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[int, np.ndar
 def _pieces(path: str, end_id: int, capacity: int):
     end = np.array([end_id], dtype="<u4").tobytes()
 
+    def large(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for part in slices(batch, SLICE):
+                held.append(part)
+                size += part.nbytes
+                if size >= SLICE:
+                    yield pa.concat_batches(held)
+                    held, size = [], 0
+        if held:
+            yield pa.concat_batches(held)
+
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each piece with a number of its own: that of the partition, then its place there."""
         from pyspark import TaskContext
 
         ids, at = ids_of(path), TaskContext.get().partitionId() << 36
-        for batch in batches:
-            for part in slices(batch, 1 << 20):
-                found = []
-                for row, data in enumerate(ids.texts(part.column("text").to_pylist())):
-                    data += end
-                    for piece, (start, length) in enumerate(cut(len(data) // 4, capacity)):
-                        found.append((row, piece, start, length, zlib.crc32(data[4 * start : 4 * (start + length)])))
-                row, piece, start, length, crc = np.array(found, dtype=np.int64).T
-                columns = [part.column("doc_id").take(pa.array(row)), *map(pa.array, (piece, start, crc, np.arange(at, at + len(row)), length))]
-                at += len(row)
-                yield pa.record_batch(columns, ["doc_id", "piece", "start", "ids_crc32", "item", "size"])
+        for part in large(batches):
+            found = []
+            for row, data in enumerate(ids.texts(part.column("text"))):
+                data += end
+                for piece, (start, length) in enumerate(cut(len(data) // 4, capacity)):
+                    found.append((row, piece, start, length, zlib.crc32(data[4 * start : 4 * (start + length)])))
+            row, piece, start, length, crc = np.array(found, dtype=np.int64).T
+            columns = [part.column("doc_id").take(pa.array(row)), *map(pa.array, (piece, start, crc, np.arange(at, at + len(row)), length))]
+            at += len(row)
+            yield pa.record_batch(columns, ["doc_id", "piece", "start", "ids_crc32", "item", "size"])
 
     return pieces
 

@@ -295,6 +295,17 @@ def test_packing_of_sorted_lengths(spark):
     assert packing.plan({700: 110_000, 300: 110_000})[0] == 110_000
 
 
+def test_ids_of_packing():
+    """Ids put together from stretches are the library's, whatever white space, signs and special strings meet."""
+    r, ids = random.Random(5), packing.Ids(VOCABULARY)
+    common = ["a", "the", "Word", "don't", "'s", "12", ".", ",", "!?", "é", "日本", "\n", "\n", "\n\n", *" " * 5, "'re"]
+    odd = ["x1", "3.5", "#", "\n\n\n", "  ", "\t", "\r\n", "\u3000", "\xa0", "\x1c", "\x85", "\x00", "\ufeff", "\u0301", "\ufb01", "<|endoftext|>", "\n'", " \n", "\n "]
+    for some in (common, common + odd):
+        for n in (0, 1, 300, 3000):
+            texts = ["".join(r.choice(some) for _ in range(r.randint(0, 14))) for _ in range(n)]
+            assert ids.texts(pa.array(texts, pa.string())) == [ids.whole(t) for t in texts]
+
+
 def test_packing_by_tree(spark):
     """Small nodes, so that bins go up several rounds: gapless, nothing lost or doubled, and few sequences more than the least."""
     r = random.Random(11)
