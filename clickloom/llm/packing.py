@@ -28,8 +28,8 @@ END_ID = 2
 LEAF = 1 << 16  # items of a node
 SPARE = 64  # a bin with less than a 64th of its room left is nearly full
 FEWEST = 100  # the tree ends when a round joins fewer than one bin of this many
-SLICE = 16 << 20  # bytes of text whose stretches are encoded together
-WORDS = 20_000  # stretches that the library encodes at a time
+SLICE = 4 << 20  # bytes of text whose stretches are encoded together
+WORDS = 5_000  # stretches that the library encodes at a time
 _SPACES = "\t\v\f\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"  # white space but blanks and newlines
 
 _TOKENIZERS: dict[str, Ids] = {}
