@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, lines, neardup, quality, substring, suffix, toxicity, trie
+from . import decontam, langid, lines, neardup, quality, search, substring, suffix, toxicity, trie
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,6 +78,11 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of each benchmark item; null texts and items find nothing."""
+    return search.ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the trie of rebuilt conversations; turns without conv_id are left out."""
     return trie.prefix_trie(_table(spark, sf_dir, "conversations"))
@@ -88,5 +93,5 @@ def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.digest(suffix.strip_repeats(_table(spark, sf_dir, "documents")))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_lm_scoring, op2_line_dedup, op3_quality_rules, op4_token_counts, op5_toxicity, op6_decontamination, op7_substring_dedup, op8_best_fit_packing, op9_language_id, op10_minhash, op12_prefix_trie, op13_suffix_dedup)}
-ORACLES: dict[str, str] = {"op2_line_dedup": lines.ORACLE, "op10_minhash": neardup.ORACLE, "op6_decontamination": decontam.ORACLE, "op7_substring_dedup": substring.ORACLE, "op12_prefix_trie": trie.ORACLE, "op13_suffix_dedup": suffix.ORACLE}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_lm_scoring, op2_line_dedup, op3_quality_rules, op4_token_counts, op5_toxicity, op6_decontamination, op7_substring_dedup, op8_best_fit_packing, op9_language_id, op10_minhash, op11_ranked_search, op12_prefix_trie, op13_suffix_dedup)}
+ORACLES: dict[str, str] = {"op2_line_dedup": lines.ORACLE, "op10_minhash": neardup.ORACLE, "op6_decontamination": decontam.ORACLE, "op7_substring_dedup": substring.ORACLE, "op11_ranked_search": search.ORACLE, "op12_prefix_trie": trie.ORACLE, "op13_suffix_dedup": suffix.ORACLE}
