@@ -25,7 +25,7 @@ from .arrays import mix, offsets, powers, slices
 from .store import Scratch
 
 LENGTH, GRAM, PIECE = 400, 128, 1 << 19
-BUCKET_ROWS, MAX_SENT = 1 << 15, 1_000_000
+BUCKET_ROWS = 1 << 15
 _BASES = 0xA0761D6478BD642F, 0xE7037ED1A0B428DB
 _BYTE = np.random.Generator(np.random.PCG64(77)).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = np.uint64(20)  # bits for a place within a piece; pieces and slices are shorter than 2**20 bytes
@@ -275,11 +275,9 @@ def _both(*columns: str) -> tuple[Column, Column]:
 
 
 def _lists(rows: DataFrame, name: str, scratch: Scratch) -> DataFrame:
-    """Structs of all columns but r1 and r2, collected for each text; marked for broadcast if they are few (a text has few of its own)."""
+    """Structs of all columns but r1 and r2, collected for each text."""
     fields = [c for c in rows.columns if c not in ("r1", "r2")]
-    out = scratch.settled(rows.groupBy("r1", "r2").agg(F.collect_set(F.struct(*fields)).alias(name)))
-    few = (out.agg(F.sum(F.size(name) + 2)).first()[0] or 0) <= MAX_SENT
-    return F.broadcast(out) if few else out
+    return scratch.settled(rows.groupBy("r1", "r2").agg(F.collect_set(F.struct(*fields)).alias(name)))
 
 
 def strip_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bucket_rows: int = BUCKET_ROWS, piece: int = PIECE) -> DataFrame:
@@ -296,8 +294,7 @@ def strip_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bucke
     long = docs.filter(F.octet_length("text") >= length).select("r1", "r2", "text")
     found = scratch.settled(long.mapInArrow(_find(length, gram, piece), "r1 long, r2 long, gram long, at long, most int, least int"))
     twice = scratch.settled(found.groupBy("gram").agg(F.count("*").alias("k")).filter("k > 1").select("gram"))
-    few = twice.count() <= MAX_SENT
-    wanted = found.join(F.broadcast(twice) if few else twice, "gram", "left_semi").select("r1", "r2", "at", "most", "least")
+    wanted = found.join(twice, "gram", "left_semi").select("r1", "r2", "at", "most", "least")
     texts = long.join(_lists(wanted, "wanted", scratch), ["r1", "r2"])
     found_at = texts.mapInArrow(_contexts(length), "r1 long, r2 long, at long, most int, least int, key binary")
     c1, c2 = _both("key", "most", "least")
