@@ -5,11 +5,12 @@ equals. Equal windows have their anchors at the same place, so only suffixes tha
 about 2 in length - GRAM bytes. Grams are counted over the corpus by hash; anchors whose gram occurs once lie in no
 repeated window. The others send their context: the bytes that the anchor's windows cover. Equal contexts become one row.
 
-Contexts are range-partitioned by their suffix from the anchor on (and then what stands before it) with Spark's sampled
-splitters, and sorted in each bucket by multikey quicksort, eight bytes at a time; the bytes before the anchor are sorted
-alike. From the common prefixes of neighbours in both orders follows which windows of a gram's group are equal, byte by
-byte. A gram's group that reaches the edge of a bucket is compared across buckets: its windows are counted by 128 bits of
-hashes, which Spark sums before the shuffle. So a gram that a third of all texts hold is split over many buckets.
+Contexts are range-partitioned by the gram that their suffix begins with, with Spark's sampled splitters, and sorted in
+each bucket by multikey quicksort, eight bytes at a time; the bytes before the anchor are sorted alike. From the common
+prefixes of neighbours in both orders follows which windows of a gram's group are equal, byte by byte. A gram with more
+than `bucket_rows` different contexts is partitioned by the whole suffix (and then what stands before it), so that its
+group is split over many buckets. Where such a group reaches the edge of a bucket, its windows are compared across
+buckets: each bucket names every different one once by 128 bits of hashes, and those named twice are repeated.
 """
 
 from __future__ import annotations
@@ -29,7 +30,6 @@ BUCKET_ROWS = 1 << 15
 _BASES = 0xA0761D6478BD642F, 0xE7037ED1A0B428DB
 _BYTE = np.random.Generator(np.random.PCG64(77)).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = np.uint64(20)  # bits for a place within a piece; pieces and slices are shorter than 2**20 bytes
-_KEY = "c1 long, c2 long, most int, least int, key binary"
 
 
 def rolling(buf: np.ndarray, k: int, base: int = _BASES[0]) -> np.ndarray:
@@ -171,9 +171,10 @@ def _spread(keys: list[bytes], start: np.ndarray, size: np.ndarray, width: int,
     return np.where(inside, data[np.where(inside, place, 0)], 0).astype(np.uint8)
 
 
-def repeated_windows(keys: list[bytes], n: np.ndarray, most: np.ndarray, least: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of contexts in the order of their suffixes: which lie in the first or last gram's group; and, for each place
-    0..length-gram before the anchor, whether the window that starts there occurs in two contexts, or in one found n > 1 times.
+def repeated_windows(keys: list[bytes], n: np.ndarray, most: np.ndarray, least: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a bucket's contexts: which lie in the first or last gram's group; and, for each place 0..length-gram before the
+    anchor, whether the window that starts there occurs in two contexts, or in one found n > 1 times, and whether it stands
+    for all windows equal to it.
     """
     size = np.array([len(k) for k in keys])
     right = _spread(keys, np.zeros(len(keys), dtype=np.int64), size - most, length, False)
@@ -185,7 +186,8 @@ def repeated_windows(keys: list[bytes], n: np.ndarray, most: np.ndarray, least:
     out = np.zeros((len(keys), length - gram + 1), dtype=bool)
     column = np.arange(length - gram + 1)
     out[n > 1] = (column <= most[n > 1, None]) & (column >= least[n > 1, None])
-    some = np.flatnonzero(~edge & (np.bincount(group)[group] > 1))  # the others have no other context to be equal with
+    first = (column <= most[:, None]) & (column >= least[:, None])
+    some = np.flatnonzero(np.bincount(group)[group] > 1)  # the others have no other context to be equal with
     if len(some):
         left = _spread([keys[i] for i in some], (size - most)[some], most[some], length - gram, True)
         by_left = multikey_sort(left)
@@ -208,7 +210,8 @@ def repeated_windows(keys: list[bytes], n: np.ndarray, most: np.ndarray, least:
             equal = name[by][1:] == name[by][:-1]
             twice = np.append(False, equal) | np.append(equal, False)
             out[some[who[by[twice]]], o] = True
-    return edge, out
+            first[some[who[by[1:][equal]]], o] = False
+    return edge, out, first
 
 
 def _runs(hit: np.ndarray, length: int) -> list[list[int]]:
@@ -222,30 +225,32 @@ def _runs(hit: np.ndarray, length: int) -> list[list[int]]:
 
 def _bucket(length: int, gram: int):
     def bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """spans (bytes to remove, from the anchor; flat) of each context; the key stays where its group reaches an edge of the bucket."""
+        """spans (bytes to remove, from the anchor; flat) of each context; key and open (places of windows to compare) where a hot group reaches an edge of the bucket."""
         given = [b for b in batches if b.num_rows]
         if not given:
             return
         table = pa.Table.from_batches(given)
         keys, n, most, least = table.column("key").to_pylist(), *(table.column(c).to_numpy().astype(np.int64) for c in ("n", "most", "least"))
-        edge, hit = repeated_windows(keys, n, most, least, length, gram)
+        edge, hit, first = repeated_windows(keys, n, most, least, length, gram)
+        edge &= table.column("hot").to_numpy()
         spans = pa.array(_runs(hit, length), pa.list_(pa.int32()))
         left = pa.array([k if e else None for k, e in zip(keys, edge.tolist(), strict=True)], pa.binary())
-        yield from pa.table([*(table.column(c) for c in ("c1", "c2", "n", "most", "least")), spans, left], ["c1", "c2", "n", "most", "least", "spans", "key"]).to_batches(max_chunksize=1 << 12)
+        open_ = pa.array([np.flatnonzero(f) if e else None for f, e in zip(first, edge.tolist(), strict=True)], pa.list_(pa.int32()))
+        yield from pa.table([*(table.column(c) for c in ("c1", "c2", "most")), spans, left, open_], ["c1", "c2", "most", "spans", "key", "open"]).to_batches(max_chunksize=1 << 12)
 
     return bucket
 
 
 def _edge_windows(length: int):
     def edge_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """c1, c2, n, o, and two hashes of the window that starts o bytes before the anchor."""
+        """c1, c2, o, and two hashes of the window that starts o bytes before the anchor."""
         for batch in batches:
             for i in range(batch.num_rows):
-                key, most, least, n = (batch.column(c)[i].as_py() for c in ("key", "most", "least", "n"))
-                text = np.frombuffer(key[len(key) - most :] + key[: len(key) - most], dtype=np.uint8)
-                places = np.arange(most, least - 1, -1, dtype=np.int32)  # windows from left to right
-                w = [rolling(text, length, b).view(np.int64)[: len(places)] for b in _BASES]
-                yield pa.record_batch([pa.array(np.full(len(places), batch.column(c)[i].as_py()), pa.int64()) for c in ("c1", "c2")] + [pa.array(np.full(len(places), n), pa.int64()), pa.array(places), pa.array(w[0]), pa.array(w[1])], ["c1", "c2", "n", "o", "w1", "w2"])
+                c1, c2, most, key, places = (batch.column(c)[i].as_py() for c in ("c1", "c2", "most", "key", "open"))
+                if places:
+                    text = np.frombuffer(key[len(key) - most :] + key[: len(key) - most], dtype=np.uint8)
+                    w = [rolling(text, length, b).view(np.int64)[most - np.array(places)] for b in _BASES]
+                    yield pa.record_batch([*(pa.array(np.full(len(places), c)) for c in (c1, c2)), pa.array(places, pa.int32()), pa.array(w[0]), pa.array(w[1])], ["c1", "c2", "o", "w1", "w2"])
 
     return edge_windows
 
@@ -301,11 +306,15 @@ def strip_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bucke
     found_at = scratch.settled(found_at.withColumns({"c1": c1, "c2": c2}))
     scratch.drop(found, twice)
     once = scratch.settled(found_at.groupBy("c1", "c2").agg(F.count("*").alias("n"), F.any_value("most").alias("most"), F.any_value("least").alias("least"), F.any_value("key").alias("key")))
+    lead = F.substring("key", 1, gram)
+    hot = once.groupBy(F.xxhash64(lead).alias("g")).agg(F.count("*").alias("k")).filter(F.col("k") > bucket_rows).select("g", F.lit(True).alias("hot"))
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-once.count() // bucket_rows))
-    sorted_ = once.repartitionByRange(buckets, "key").mapInArrow(_bucket(length, gram), "c1 long, c2 long, n long, most int, least int, spans array<int>, key binary")
-    sorted_ = scratch.settled(sorted_)
-    windows = sorted_.filter("key is not null").mapInArrow(_edge_windows(length), "c1 long, c2 long, n long, o int, w1 long, w2 long")
-    across = windows.groupBy("w1", "w2").agg(F.sum("n").alias("k"), F.count("*").alias("m")).filter("m > 1").select("w1", "w2")
+    marked = once.withColumn("g", F.xxhash64(lead)).join(F.broadcast(hot), "g", "left")  # one hot gram for bucket_rows contexts at most
+    marked = marked.withColumn("hot", F.coalesce("hot", F.lit(False))).withColumn("lead", F.when(F.col("hot"), F.col("key")).otherwise(lead))
+    sorted_ = marked.repartitionByRange(buckets, "lead").select("c1", "c2", "n", "most", "least", "key", "hot")
+    sorted_ = scratch.settled(sorted_.mapInArrow(_bucket(length, gram), "c1 long, c2 long, most int, spans array<int>, key binary, open array<int>"))
+    windows = sorted_.filter("key is not null").select("c1", "c2", "most", "key", "open").mapInArrow(_edge_windows(length), "c1 long, c2 long, o int, w1 long, w2 long")
+    across = windows.groupBy("w1", "w2").agg(F.count("*").alias("m")).filter("m > 1").select("w1", "w2")
     across = windows.join(across, ["w1", "w2"], "left_semi").select("c1", "c2", (-F.col("o")).alias("start"), (F.lit(length) - F.col("o")).alias("end"))
     places = F.sequence(F.lit(0), F.size("spans") - 2, F.lit(2))
     inner = sorted_.filter("size(spans) > 0").select("c1", "c2", F.explode(F.transform(places, lambda i: F.struct(F.get("spans", i).alias("start"), F.get("spans", i + 1).alias("end")))).alias("s")).select("c1", "c2", "s.*")
