@@ -62,25 +62,6 @@ def marts(events: DataFrame) -> dict[str, DataFrame]:
     return {name: f(events).select(*MART_COLUMNS[name]) for name, f in MARTS.items()}
 
 
-def refreshed(old: dict[str, DataFrame], events: DataFrame, run_id: str) -> dict[str, tuple[DataFrame, DataFrame]]:
-    """For each mart the rows that stay and the rows of the days to write anew, after events of `run_id` came in.
-
-    events: all canonical events. Days with new events are recomputed from their events alone. A session's day is that of
-    its start, so sessions with new events are recomputed from all of theirs, and the days that they leave and enter are
-    written anew with the other sessions of these days.
-    """
-    new = events.filter(F.col("run_id") == run_id)
-    days = F.broadcast(new.select("event_date").distinct())  # a row a day
-    some = events.join(days, "event_date", "left_semi")
-    out = {name: (old[name].join(days, "event_date", "left_anti"), f(some).select(*MART_COLUMNS[name])) for name, f in MARTS.items() if name != "session_daily"}
-    was, ids = old["session_daily"], new.filter("trim(session_id) <> ''").select("session_id").distinct()
-    fresh = session_daily(events.join(ids, "session_id", "left_semi"))
-    touched = F.broadcast(was.join(ids, "session_id", "left_semi").select("event_date").union(fresh.select("event_date")).distinct())
-    others = was.join(touched, "event_date", "left_semi").join(ids, "session_id", "left_anti")
-    out["session_daily"] = was.join(touched, "event_date", "left_anti"), others.unionByName(fresh)
-    return out
-
-
 def top_products(product: DataFrame) -> DataFrame:
     """Products by revenue over the whole window."""
     d = product.groupBy("product_id", "category_code", "brand").agg(*(F.sum(c).alias(c) for c in ("views", "cart_adds", "purchase_events", "revenue")))

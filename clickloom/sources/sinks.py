@@ -1,13 +1,18 @@
-"""Writing: zones, versioned publishing, audit tables."""
+"""Writing and reading zones: bronze, silver with its index of sessions, gold as folders that commits name; audit tables."""
 
 from __future__ import annotations
 
+import json
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from ..contract import MART_COLUMNS
+from ..operators import star
+from . import key_index
+from .commits import CommitLog, Folder
 from .files import zone_uri
 
 
@@ -24,49 +29,128 @@ def write_bronze(raw: DataFrame, base: str, run_id: str, ingested_at: datetime)
     return _append(marked, zone_uri(base, "bronze", "events"), "_ingest_date", "_run_id")
 
 
-def write_silver(valid: DataFrame, rejected: DataFrame, base: str) -> tuple[int, int]:
-    n = _append(valid, zone_uri(base, "silver", "events"), "event_date", "run_id")
-    return n, _append(rejected, zone_uri(base, "silver", "quarantine"), "run_id")
+SILVER = ["event_date", "run_id", "shard"]
+SHARD_ROWS = 2_000_000
 
 
-def read_silver(spark: SparkSession, base: str) -> DataFrame:
-    return spark.read.parquet(zone_uri(base, "silver", "events"))
+def silver_log(spark: SparkSession, base: str) -> CommitLog:
+    return CommitLog(spark, zone_uri(base, "silver", "_log"))
 
 
-def write_gold(dims: dict[str, DataFrame], fact: DataFrame, marts: dict[str, DataFrame], base: str, version: str) -> dict[str, str]:
-    """All gold tables under a path of their own version, so that days gone from silver are gone from gold too."""
-    paths = {}
-    for name, df in {**dims, "fact_behavior_event": fact, **marts}.items():
-        by = ["date_key"] if name.startswith("fact") else ["event_date"] if name in marts else []
-        paths[name] = zone_uri(base, "gold", f"{version}/{name}")
-        df.write.mode("overwrite").partitionBy(*by).parquet(paths[name])
-    return paths
+def gold_log(spark: SparkSession, base: str) -> CommitLog:
+    return CommitLog(spark, zone_uri(base, "gold", "_log"))
 
 
-def replace_days(mart: DataFrame, path: str) -> None:
-    """Rewrites only the days that mart holds."""
-    mart.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_date").parquet(path)
+def write_silver(valid: DataFrame, rejected: DataFrame, base: str, run_id: str = "", rows: int = 0) -> tuple[int, int]:
+    """Valid events by day, run and shard (of session hashes, about SHARD_ROWS of `rows` each), a filter of each folder's sessions, and rejects.
 
+    The folders count from the commit at the end on: what a broken write left behind is never read.
+    """
+    spark, shards = valid.sparkSession, min(256, rows // SHARD_ROWS + 1)
+    shard = F.concat_ws("-", F.pmod(F.xxhash64(F.coalesce("session_id", F.lit(""))), F.lit(shards)).cast("string"), F.lit(str(shards)))
+    n = _append(valid.withColumn("shard", shard).repartition("event_date", "shard"), zone_uri(base, "silver", "events"), *SILVER)
+    bad = _append(rejected, zone_uri(base, "silver", "quarantine"), "run_id")
+    if not n:
+        silver_log(spark, base).append(runs=[run_id])
+        return n, bad
+    schema = StructType([*valid.drop("event_date", "run_id").schema.fields, StructField("event_date", DateType()), StructField("run_id", StringType()), StructField("shard", StringType())])
+    written = spark.read.schema(schema).option("basePath", zone_uri(base, "silver", "events")).parquet(f"{zone_uri(base, 'silver', 'events')}/event_date=*/run_id={run_id}")
+    index = key_index.filters(written.filter("trim(session_id) <> ''"), "session_id", SILVER)
+    index.write.mode("overwrite").parquet(f"{zone_uri(base, 'silver', '_sessions')}/of={run_id}")
+    found = written.groupBy(*SILVER).agg(F.count("*").alias("n")).collect()  # a row a folder
+    folders = {f"{r.event_date}/{r.run_id}/{r.shard}": r.n for r in found}
+    silver_log(spark, base).append(runs=[run_id], set={"events": folders}, schemas={"events": schema.json()})
+    return n, bad
 
-def publish(spark: SparkSession, base: str, version: str) -> None:
-    """Makes a complete version the current one by one small write; readers see the old version or the new one."""
-    row = spark.createDataFrame([(version, datetime.now())], "version string, published_at timestamp")
-    row.coalesce(1).write.mode("append").parquet(zone_uri(base, "gold", "_published"))
+
+def _silver_path(base: str, key: str) -> str:
+    parts = zip(SILVER, key.split("/"), strict=True)
+    return "/".join([zone_uri(base, "silver", "events"), *(f"{c}={v}" for c, v in parts)])
+
+
+def read_silver(spark: SparkSession, base: str, keys: list[str] | None = None) -> DataFrame:
+    """Committed silver: all of it, or the folders named by keys `day/run/shard`; the others aren't listed."""
+    _, state = silver_log(spark, base).state()
+    have = state["tables"].get("events", {})
+    keys = sorted(have if keys is None else [k for k in keys if k in have])
+    if "events" not in state["schemas"]:
+        raise ValueError(f"no silver events under {base}")
+    schema = StructType.fromJson(json.loads(state["schemas"]["events"]))
+    if not keys:
+        return spark.createDataFrame([], schema).drop("shard")
+    reader = spark.read.schema(schema).option("basePath", zone_uri(base, "silver", "events"))
+    return reader.parquet(*(_silver_path(base, k) for k in keys)).drop("shard")
+
+
+def silver_keys_with_sessions(spark: SparkSession, base: str, sessions: DataFrame) -> list[str]:
+    """The silver folders that hold events of any of the sessions, by the filters of all committed runs; a few others may be among them."""
+    _, state = silver_log(spark, base).state()
+    have = state["tables"].get("events", {})
+    paths = [f"{zone_uri(base, 'silver', '_sessions')}/of={run}" for run in sorted({k.split("/")[1] for k in have})]
+    index = spark.read.parquet(*paths)
+    found = key_index.folders_with(sessions, "session_id", index, SILVER).collect()  # a row a folder
+    return [k for r in found if (k := f"{r.event_date}/{r.run_id}/{r.shard}") in have]
+
+
+def write_parts(df: DataFrame, base: str, table: str, run: str, by: str = "event_date") -> dict[str, str]:
+    """Writes a gold table's partitions to folders of this run; the folder of each value of `by`, below the table's own."""
+    path = f"{zone_uri(base, 'gold', table)}/run={run}"
+    df.write.mode("overwrite").partitionBy(by).parquet(path)
+    names = [n for n in Folder(df.sparkSession, path).names() if n.startswith(f"{by}=")]
+    return {n.removeprefix(f"{by}="): f"run={run}/{n}" for n in names}
 
 
 def current_version(spark: SparkSession, base: str) -> str | None:
-    """The version published last; None before the first."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(zone_uri(base, "gold", "_published"))
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return None
-    return spark.read.parquet(str(path)).agg(F.max_by("version", "published_at")).first()[0]
+    """The run published last; None before the first."""
+    return gold_log(spark, base).state()[1]["notes"].get("version")
+
+
+def read_gold(spark: SparkSession, base: str, table: str, date_from: str | None = None, date_to: str | None = None, at: int | None = None) -> DataFrame:
+    """A gold table as one commit has it: the last, or commit `at`. Days outside the bounds aren't listed."""
+    _, state = gold_log(spark, base).state(at)
+    if table not in state["schemas"]:
+        raise ValueError(f"no gold table {table} under {base}")
+    by, schema = ("date_key" if table.startswith("fact") else "event_date"), StructType.fromJson(json.loads(state["schemas"][table]))
+    day = lambda k: k.replace("-", "")  # noqa: E731  both kinds of keys, as text
+    paths = [p for k, p in sorted(state["tables"].get(table, {}).items()) if (not date_from or day(k) >= day(date_from)) and (not date_to or day(k) <= day(date_to))]
+    kind = schema[by]
+    schema = StructType([*(f for f in schema.fields if f.name != by), StructField("run", StringType()), kind])
+    if not paths:
+        return spark.createDataFrame([], schema).drop("run")
+    root = zone_uri(base, "gold", table)
+    df = spark.read.schema(schema).option("basePath", root).parquet(*(f"{root}/{p}" for p in paths)).drop("run")
+    for bound, keep in ((date_from, F.col(by) >= F.lit(date_from and day(date_from) if by == "date_key" else date_from).cast(kind.dataType)), (date_to, F.col(by) <= F.lit(date_to and day(date_to) if by == "date_key" else date_to).cast(kind.dataType))):
+        df = df.filter(keep) if bound else df
+    return df
 
 
 def read_mart(spark: SparkSession, base: str, name: str, date_from: str | None = None, date_to: str | None = None) -> DataFrame:
     """A published mart in its contract's column order; the date bounds prune partitions."""
-    df = spark.read.parquet(zone_uri(base, "gold", f"{current_version(spark, base)}/{name}")).select(*MART_COLUMNS[name])
-    df = df.filter(F.col("event_date") >= F.lit(date_from).cast("date")) if date_from else df
-    return df.filter(F.col("event_date") <= F.lit(date_to).cast("date")) if date_to else df
+    return read_gold(spark, base, name, date_from, date_to).select(*MART_COLUMNS[name])
+
+
+def read_dimension(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """A dimension, merged from the parts of all days."""
+    if name == "dim_date":
+        days = read_gold(spark, base, "dim_user").select(F.col("event_date").alias("d")).distinct()
+        return star.calendar(days)
+    return star.merged(name, read_gold(spark, base, name))
+
+
+def vacuum(spark: SparkSession, base: str, keep: int = 2) -> list[str]:
+    """Removes gold folders that none of the last `keep` commits names: those of runs that failed or were replaced. Returns their paths."""
+    log = gold_log(spark, base)
+    states = [log.state(n)[1] for n in log.numbers()[-keep:]]
+    gone = []
+    for table in {t for s in states for t in s["tables"]}:
+        used = {p for s in states for p in s["tables"].get(table, {}).values()}
+        root = Folder(spark, zone_uri(base, "gold", table))
+        for run in (n for n in root.names() if n.startswith("run=")):
+            for part in (n for n in Folder(spark, f"{root.path}/{run}").names() if "=" in n):
+                if f"{run}/{part}" not in used:
+                    root.delete(f"{run}/{part}")
+                    gone.append(f"{table}/{run}/{part}")
+    return gone
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str], partitions: int = 8) -> None:
