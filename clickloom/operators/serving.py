@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SERIES_LENGTH = 241
+SERIES_LENGTH, KPI_SECONDS = 241, 3600
 
 
 def windowed_metrics(events: DataFrame, window: str = "1 minute", watermark: str | None = "2 minutes", exact: bool = False) -> DataFrame:
@@ -32,6 +32,13 @@ def latest_kpi(metrics: DataFrame) -> DataFrame:
     return d.select("event_type", "m.*")
 
 
+def unexpired(kpi: DataFrame, ttl: int = KPI_SECONDS) -> DataFrame:
+    """The KPI rows whose window began at most `ttl` seconds before the newest one."""
+    newest = kpi.agg(F.max("window_start").alias("newest"))  # one row
+    live = F.unix_timestamp("window_start") + ttl >= F.unix_timestamp("newest")
+    return kpi.join(F.broadcast(newest), live).drop("newest")
+
+
 def revenue_series(metrics: DataFrame, limit: int = SERIES_LENGTH) -> DataFrame:
     """t, revenue of the newest purchase windows, newest first."""
     return metrics.filter("event_type = 'purchase'").select(F.col("window_start").alias("t"), "revenue").orderBy(F.desc("t")).limit(limit)

@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import events as ev
-from ..operators import prices, series
+from ..operators import prices, series, sketches
 from ..sources import files, sinks
 from ..sources.commits import Folder
 from ..sources.tables import INGESTED, canonical, metric_events, normalized, raw_events, raw_prices
-from ..streaming import speed
+from ..streaming import sessions, speed
 from . import warehouse
 from .catalog import ANOMALY, CANON, EV, FOLDS, METRICS, NAIVE, ORACLES, PRICE, SERIES, _canon, _series, query, rounded, shared_place
 
@@ -226,7 +226,7 @@ def _metric_stream(spark: SparkSession, d: str) -> str:
     return place
 
 
-@query(METRICS + " SELECT event_type, strftime(max(window_start), '%Y-%m-%d %H:%M:%S') AS window_start, max_by(event_count, window_start) AS event_count, round(max_by(revenue, window_start), 4) AS revenue FROM m GROUP BY 1")
+@query(METRICS + " SELECT event_type, strftime(max(window_start), '%Y-%m-%d %H:%M:%S') AS window_start, max_by(event_count, window_start) AS event_count, round(max_by(revenue, window_start), 4) AS revenue FROM m GROUP BY 1 HAVING max(m.window_start) + INTERVAL 1 HOUR >= (SELECT max(window_start) FROM m)")
 def served_kpi(spark: SparkSession, d: str) -> DataFrame:
     """The KPI table that the stream keeps."""
     rows = speed.read_served(spark, f"{_metric_stream(spark, d)}/served", "kpi")
@@ -243,7 +243,7 @@ def served_revenue_series(spark: SparkSession, d: str) -> DataFrame:
 def compacted_metrics(spark: SparkSession, d: str) -> DataFrame:
     """The stream's metrics after its batches' folders were merged."""
     place = _metric_stream(spark, d) + "/metrics"
-    speed.compact_metrics(spark, place, max(speed._versions(spark, place)))
+    speed.compact_metrics(spark, place, max(speed._versions(spark, place)) + 1)  # the stream has ended: no batch comes again
     return rounded(speed.read_metrics(spark, place).select("window_start", "event_type", "event_count", "amount"), 4)
 
 
@@ -306,3 +306,69 @@ def event_view(spark: SparkSession, d: str) -> DataFrame:
     sinks.create_views(spark, {"clickloom_events": normalized(spark, d)})
     return spark.sql("SELECT event_type, count(*) AS events FROM clickloom_events GROUP BY event_type")
 
+
+
+@query(ORACLES["session_daily"])
+def streamed_sessions(spark: SparkSession, d: str) -> DataFrame:
+    """Sessions as the stream's state has them, from all events as messages."""
+    place = shared_place(spark)
+    whole = F.to_json(F.struct("event_time", "event_type", "product_id", "category_code", "brand", "price", "user_id", "user_session"))
+    raw_events(spark, d).select(whole.alias("value")).write.text(f"{place}/in")
+    sessions.start_sessions(files.read_stream(spark, "text", f"{place}/in"), f"{place}/out", f"{place}/cp", "run-1", INGESTED, every=None).awaitTermination()
+    return rounded(sessions.read_sessions(spark, f"{place}/out"))
+
+
+SPANS = EV + """, span AS (
+  SELECT 'day' AS span, strftime(date_trunc('day', event_time), '%Y-%m-%d') AS start, source_user_id FROM norm UNION ALL SELECT 'week', strftime(date_trunc('week', event_time), '%Y-%m-%d'), source_user_id FROM norm
+  UNION ALL SELECT 'all', '', source_user_id FROM norm
+)"""
+
+
+@query(SPANS + " SELECT span, start, count(DISTINCT source_user_id) AS users, true AS within FROM span GROUP BY 1, 2")
+def sketched_users(spark: SparkSession, d: str) -> DataFrame:
+    """Users by day, by week and in all, counted exactly, and whether daily sketches united over the span come within their error."""
+    rows = metric_events(normalized(spark, d))
+    kept = sketches.user_sketches(rows)
+    out = None
+    for span, start in (("day", lambda c: F.date_format(c, "yyyy-MM-dd")), ("week", lambda c: F.date_format(F.date_trunc("week", c), "yyyy-MM-dd")), ("all", lambda c: F.lit(""))):
+        guess = sketches.users_over(kept, start("bucket").alias("start"))
+        exact = rows.groupBy(start("event_time").alias("start")).agg(F.count_distinct("user_id").alias("exact"))
+        one = exact.join(guess, "start").select(F.lit(span).alias("span"), "start", F.col("exact").alias("users"), (F.abs(F.col("users") - F.col("exact")) <= sketches.HLL_ERROR * F.col("exact") + 1).alias("within"))
+        out = one if out is None else out.union(one)
+    return out
+
+
+@query(EV + " SELECT event_type, count(*) AS n, 3 AS quantiles_within FROM norm WHERE price IS NOT NULL GROUP BY 1")
+def sketched_quantiles(spark: SparkSession, d: str) -> DataFrame:
+    """How many of the quartiles of price, from sketches of each day merged, have a rank within the sketches' error."""
+    rows = normalized(spark, d).select("event_type", "event_date", F.col("price").cast("double").alias("price"))
+    found = sketches.quantiles_over(sketches.value_sketches(rows, "price", "event_type", "event_date"), {"q1": 0.25, "q2": 0.5, "q3": 0.75}, "event_type")
+    ranks = rows.filter("price IS NOT NULL").join(found, "event_type").groupBy("event_type", "n").agg(*(F.avg((F.col("price") <= F.col(q)).cast("double")).alias(q) for q in ("q1", "q2", "q3")))
+    good = [(F.abs(F.col(q) - p) <= sketches.KLL_ERROR).cast("int") for q, p in (("q1", 0.25), ("q2", 0.5), ("q3", 0.75))]
+    return ranks.select("event_type", "n", (good[0] + good[1] + good[2]).alias("quantiles_within"))
+
+
+@query(EV + """, q AS (SELECT event_type, quantile_disc(price::DOUBLE, 0.25) AS q1, quantile_disc(price::DOUBLE, 0.75) AS q3 FROM norm WHERE price IS NOT NULL GROUP BY 1)
+  SELECT event_type, count(*) AS above FROM norm JOIN q USING (event_type) WHERE price > q1 + 2 * (q3 - q1) GROUP BY 1""")
+def price_outliers(spark: SparkSession, d: str) -> DataFrame:
+    """Prices above the first quartile by more than twice the distance of the quartiles; the quartiles are exact ones."""
+    rows = normalized(spark, d).select("event_type", F.col("price").cast("double").alias("price")).filter("price IS NOT NULL")
+    q = rows.groupBy("event_type").agg(F.expr("percentile_disc(0.25) WITHIN GROUP (ORDER BY price)").alias("q1"), F.expr("percentile_disc(0.75) WITHIN GROUP (ORDER BY price)").alias("q3"))
+    bounds = q.select("event_type", F.lit(float("-inf")).alias("low"), (F.col("q1") + 2 * (F.col("q3") - F.col("q1"))).alias("high"))
+    return sketches.outside(rows, "price", bounds, "event_type").groupBy("event_type").agg(F.count("*").alias("above"))
+
+
+def _hitters(column: str) -> str:
+    return f"{EV} SELECT {column}, count(*) AS events FROM norm WHERE {column} IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"
+
+
+@query(_hitters("source_product_id"))
+def heavy_products(spark: SparkSession, d: str) -> DataFrame:
+    """The ten most frequent products, named by a bounded summary and counted exactly; ten rows are the feature."""
+    return sketches.heavy_hitters(normalized(spark, d), "source_product_id")
+
+
+@query(_hitters("source_user_id"))
+def heavy_users(spark: SparkSession, d: str) -> DataFrame:
+    """The ten most active users; ten rows are the feature."""
+    return sketches.heavy_hitters(normalized(spark, d), "source_user_id", tracked=1000)
