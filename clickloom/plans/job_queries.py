@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import events as ev
-from ..operators import prices, series, sketches
+from ..operators import learned, prices, series, sketches
 from ..sources import files, sinks
 from ..sources.commits import Folder
 from ..sources.tables import INGESTED, canonical, metric_events, normalized, raw_events, raw_prices
@@ -372,3 +372,26 @@ def heavy_products(spark: SparkSession, d: str) -> DataFrame:
 def heavy_users(spark: SparkSession, d: str) -> DataFrame:
     """The ten most active users; ten rows are the feature."""
     return sketches.heavy_hitters(normalized(spark, d), "source_user_id", tracked=1000)
+
+
+@query()
+def smooth_forecast(spark: SparkSession, d: str) -> DataFrame:
+    """Seven days of each series by smoothed level, trend and season, with intervals."""
+    return rounded(learned.smooth_forecast(_series(spark, d)))
+
+
+@query()
+def smooth_backtest(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(learned.smooth_backtest(_series(spark, d)))
+
+
+@query()
+def pooled_forecast(spark: SparkSession, d: str) -> DataFrame:
+    """Seven days of each series by one regression over all of them."""
+    return rounded(learned.pooled_forecast(_series(spark, d)))
+
+
+@query()
+def isolation_anomalies(spark: SparkSession, d: str) -> DataFrame:
+    """Days that isolation trees set apart soonest."""
+    return rounded(learned.isolation_anomalies(_series(spark, d)))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..operators import events as ev
 from ..operators import marts, quality, series, star
 from ..sources import files, sinks
-from ..sources.commits import Conflict
+from ..sources.commits import Conflict, Folder
 
 RUN = "run_id string, status string, source_path string, started_at timestamp, completed_at timestamp, bronze_rows long, silver_rows long, rejected_rows long, gold_rows long, error_message string"
 TRIES = 5
@@ -130,10 +130,19 @@ def run_series(spark: SparkSession, history: DataFrame, out: str, horizon: int =
     return {name: spark.read.parquet(f"{out}/{name}") for name in tables}
 
 
+def write_report(spark: SparkSession, report: dict, base: str) -> str:
+    """A run's report as a JSON file of its own in the audit zone; its text is returned."""
+    folder = Folder(spark, files.zone_uri(base, "audit", "reports"))
+    text = json.dumps(report, sort_keys=True, default=str)
+    folder.delete(f"{report['run_id']}.json")
+    folder.create(f"{report['run_id']}.json", text)
+    return text
+
+
 def main(args: list[str]) -> None:
-    """spark-submit entry: source and base URI."""
+    """spark-submit entry: source and base URI; prints the run's report and keeps it."""
     spark = SparkSession.builder.appName("warehouse").config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    print(json.dumps(run_warehouse(spark, args[0], args[1])))  # noqa: T201
+    print(write_report(spark, run_warehouse(spark, args[0], args[1]), args[1]))  # noqa: T201
 
 
 if __name__ == "__main__":
