@@ -13,7 +13,7 @@ from ..operators import learned, prices, series, sketches
 from ..sources import files, sinks
 from ..sources.commits import Folder
 from ..sources.tables import INGESTED, canonical, metric_events, normalized, raw_events, raw_prices
-from ..streaming import sessions, speed
+from ..streaming import gate, sessions, speed
 from . import warehouse
 from .catalog import ANOMALY, CANON, EV, FOLDS, METRICS, NAIVE, ORACLES, PRICE, SERIES, _canon, _series, query, rounded, shared_place
 
@@ -395,3 +395,39 @@ def pooled_forecast(spark: SparkSession, d: str) -> DataFrame:
 def isolation_anomalies(spark: SparkSession, d: str) -> DataFrame:
     """Days that isolation trees set apart soonest."""
     return rounded(learned.isolation_anomalies(_series(spark, d)))
+
+
+@query(EV + """, m AS (SELECT *, CASE WHEN event_type = 'error' THEN 'not_json' WHEN event_type = 'signup' THEN 'no_event_type' ELSE rejection_reason END AS reason FROM norm)
+  SELECT 'batch_rejected_share' AS check_name, 'PASSED' AS status, count(*) FILTER (reason IS NOT NULL) AS observed_value FROM m UNION ALL SELECT 'batch_required_fields_complete', 'PASSED', 0 UNION ALL SELECT 'batch_event_key_unique', 'PASSED', 0""")
+def gated_stream(spark: SparkSession, d: str) -> DataFrame:
+    """What the gate saw of the events' messages, of which each is unlike the others, in all micro-batches."""
+    place = shared_place(spark)
+    _messages(spark, d).select(F.expr("CASE WHEN get_json_object(value, '$.event_type') IS NULL THEN concat(value, ' ', monotonically_increasing_id()) ELSE value END").alias("value")).write.text(f"{place}/in")
+    gate.start_gated(files.read_stream(spark, "text", f"{place}/in"), f"{place}/good", f"{place}/dead", f"{place}/cp", place, "run-1", INGESTED, 1.0, every=None).awaitTermination()
+    rows = sinks.latest_audit(spark, place, "data_quality_result", "run_id", "check_name")
+    return rows.groupBy("check_name", "status").agg(F.sum("observed_value").alias("observed_value"))
+
+
+def _variant(spark: SparkSession, d: str) -> DataFrame:
+    """The events with the raw contract's other columns: seconds since 1970, lists of products, an amount and a plain category."""
+    at = F.unix_timestamp(F.substring("event_time", 1, 19)).cast("string")
+    return raw_events(spark, d).select("event_type", at.alias("timestamp"), F.array("product_id", F.lit("0")).alias("product_ids"), F.col("price").alias("total_amount"), "user_id", F.col("user_session").alias("session_id"), F.col("category_code").alias("category"), "brand")
+
+
+VARIANT = "event_key, event_type, source_user_id, source_product_id, session_id, category_code, brand"
+
+
+@query(f"{EV} SELECT {VARIANT}, strftime(event_time, '%Y-%m-%d %H:%M:%S') AS event_time, price::DOUBLE AS price FROM norm WHERE rejection_reason IS NULL")
+def variant_events(spark: SparkSession, d: str) -> DataFrame:
+    """Epoch times, product lists, amounts and categories come to the same events, to the second."""
+    rows = ev.normalize(_variant(spark, d), "run-1", INGESTED).filter(ev.rejection_reason().isNull())
+    return rounded(rows.select(*VARIANT.split(", "), "event_time", F.col("price").cast("double").alias("price")))
+
+
+@query(f"{EV} SELECT {VARIANT}, strftime(event_time, '%Y-%m-%d %H:%M:%S') AS event_time, price::DOUBLE AS price FROM norm WHERE rejection_reason IS NULL")
+def strict_events(spark: SparkSession, d: str) -> DataFrame:
+    """The row contract: other names for user and time, padded strings, blank categories."""
+    pad = lambda c: F.concat(F.lit(" "), c, F.lit("  "))
+    raw = raw_events(spark, d).select("event_type", F.col("event_time").alias("order_date"), pad("product_id").alias("product_id"), "price", pad("user_id").alias("customer_id"), "user_session", F.coalesce("category_code", F.lit("  ")).alias("category_code"), pad("brand").alias("brand"))
+    rows = ev.normalize(raw, "run-1", INGESTED, strict_contract=True).filter(ev.rejection_reason().isNull())
+    return rounded(rows.select(*VARIANT.split(", "), "event_time", F.col("price").cast("double").alias("price")))

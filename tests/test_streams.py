@@ -14,7 +14,7 @@ from clickloom.operators import events as ev
 from clickloom.operators import learned, marts, series, sketches
 from clickloom.plans import warehouse
 from clickloom.sources import files, sinks
-from clickloom.streaming import sessions, speed
+from clickloom.streaming import gate, sessions, speed
 
 AT = datetime(2024, 1, 1)
 
@@ -45,6 +45,25 @@ def test_sessions_of_the_stream_are_those_of_the_batch(spark, tmp_path):
     assert speed.last_batches(spark, out).filter("session_id = 'a'").select("fragment").distinct().count() == 2
 
 
+def test_a_bad_batch_stops_the_stream(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    base, good = str(tmp_path / "b"), str(tmp_path / "good")
+
+    def run(name, lines, share=0.5):
+        (tmp_path / "in" / name).write_text("\n".join(lines))
+        q = gate.start_gated(files.read_stream(spark, "text", str(tmp_path / "in")), good, str(tmp_path / "dead"), str(tmp_path / "cp"), base, "r", AT, share, every=None)
+        q.awaitTermination()
+
+    run("1.txt", [wire(1, "10:00:00", "view", "a"), "not json"])
+    with pytest.raises(Exception, match=r"batch_rejected_share \(2\)"):
+        run("2.txt", [wire(1, "10:01:00", "view", "a"), wire(1, "10:02:00", "search", "a"), "{}"])
+    assert spark.read.parquet(good).count() == 1
+    last = sinks.last_checks(spark, base).collect()
+    assert {r.status for r in last if r.check_name == "batch_rejected_share"} == {"PASSED", "FAILED"}
+    run("3.txt", [wire(1, "10:03:00", "view", "a")], 0.9)  # begins with the batch that failed
+    assert spark.read.parquet(good).count() == 3
+
+
 def test_sketches_unite(spark):
     rows = spark.range(60000).select((F.col("id") % 20000).cast("string").alias("user_id"), F.timestamp_seconds(F.lit(1569888000) + (F.col("id") % 30) * 86400).alias("event_time"), F.when(F.col("id") % 2 == 0, "view").otherwise("cart").alias("event_type"), (F.col("id") * 7919 % 60000).cast("double").alias("price"))
     kept = sketches.user_sketches(rows.union(rows.limit(1).withColumn("user_id", F.lit(None)))).persist()
