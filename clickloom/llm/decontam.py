@@ -1,7 +1,7 @@
 """Operator 6: benchmark passages found in training texts, with DataFrame functions only.
 
 The benchmark's distinct windows of 13 words (shorter items are one window each) form a hash set that is broadcast when
-it has at most MAX_BROADCAST windows and joined by shuffle beyond. Each text's windows are hashed in one array expression
+its words and item ids take at most MAX_BROADCAST bytes and joined by shuffle beyond. Each text's windows are hashed in one array expression
 and looked up; hits are verified word by word on the text. Documents without a hit are never regrouped by window.
 """
 
@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 from .store import Scratch
 
 WINDOW, PERCENT = 13, 5
-MAX_BROADCAST = 2_000_000
-MAX_HIT_WORDS = 4_000_000  # of all passages with hits that are broadcast
+MAX_BROADCAST = 128 << 20  # bytes of windows, or of hits, that are broadcast
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -27,9 +26,14 @@ def words_of(text: str | Column) -> Column:
     return F.array_remove(F.split(low, NOT_WORD), "")
 
 
+def _bytes(strings: str | Column) -> Column:
+    """What an array of strings takes in a row, from above."""
+    return F.aggregate(strings, F.lit(24).cast("long"), lambda n, s: n + 16 + F.octet_length(s))
+
+
 def benchmark_windows(bench: DataFrame, window: int = WINDOW) -> DataFrame:
-    """size, hash, passage, items: each distinct window with the items (as strings) that hold it; null ids have none."""
-    items = bench.select(F.col("item_id").cast("string").alias("item"), words_of("text").alias("words")).filter("size(words) > 0 and item is not null")
+    """size, hash, passage, items: each distinct window with the items (as strings) that hold it; items without id hit as well, unnamed."""
+    items = bench.select(F.col("item_id").cast("string").alias("item"), words_of("text").alias("words")).filter("size(words) > 0")
     items = items.withColumn("size", F.least(F.size("words"), F.lit(window)))
     starts = F.explode(F.sequence(F.lit(1), F.size("words") - F.col("size") + 1))
     cut = items.select("item", "size", "words", starts.alias("at")).select("item", "size", F.slice("words", F.col("at"), F.col("size")).alias("passage"))
@@ -41,10 +45,10 @@ def _window_hashes(size: int) -> Column:
     return F.transform(starts, lambda i: F.xxhash64(F.lit(size), F.slice("words", i, F.lit(size))))
 
 
-def _hits(docs: DataFrame, bench: DataFrame, window: int) -> DataFrame:
+def _hits(docs: DataFrame, bench: DataFrame, window: int, limit: int) -> DataFrame:
     """row, hits: for each text with hash hits, where they start and what must stand there."""
     found = benchmark_windows(bench, window)
-    sizes = found.groupBy("size").count().collect()  # at most `window` rows
+    sizes = found.groupBy("size").agg(F.sum(_bytes("passage") + _bytes("items") + 40)).collect()  # at most `window` rows
     if not sizes:
         return docs.sparkSession.createDataFrame([], "row long, hits array<struct<at:int,size:int,passage:array<string>,items:array<string>>>")
     texts = docs.select("row", words_of("text").alias("words"))
@@ -54,22 +58,22 @@ def _hits(docs: DataFrame, bench: DataFrame, window: int) -> DataFrame:
     windows = each[0]
     for more in each[1:]:
         windows = windows.union(more)
-    small = sum(n for _, n in sizes) <= MAX_BROADCAST
+    small = sum(n for _, n in sizes) <= limit
     hit = windows.join(F.broadcast(found) if small else found, ["size", "hash"])
     return hit.groupBy("row").agg(F.collect_set(F.struct((F.col("at") + 1).alias("at"), "size", "passage", "items")).alias("hits"))
 
 
-def scan(docs: DataFrame, bench: DataFrame, window: int = WINDOW, percent: int = PERCENT, column: str = "decontam") -> DataFrame:
+def scan(docs: DataFrame, bench: DataFrame, window: int = WINDOW, percent: int = PERCENT, column: str = "decontam", limit: int = MAX_BROADCAST) -> DataFrame:
     """docs with a struct column (`decontam`, or another name that docs lacks): words, hit (word numbers, from 1), items (sorted), contaminated.
 
     A text is contaminated if some words are hit and they are at least `percent` of its words. Null and empty texts and
-    an empty benchmark give no hits; repeated rows are judged each.
+    an empty benchmark give no hits; repeated rows are judged each; items without id hit but aren't among `items`.
     """
     docs = docs.select(F.struct("*").alias("given"), "text", F.xxhash64("doc_id", "text").alias("row"))
     scratch = Scratch(docs.sparkSession)
-    hits = scratch.settled(_hits(docs.select("row", "text"), bench, window))
-    found = hits.agg(F.sum(F.aggregate("hits", F.lit(0), lambda n, h: n + F.size(h["passage"]) + 8))).first()[0] or 0
-    joined = docs.join(F.broadcast(hits) if found <= MAX_HIT_WORDS else hits, "row", "left")  # few hits: texts aren't shuffled
+    hits = scratch.settled(_hits(docs.select("row", "text"), bench, window, limit))
+    found = hits.agg(F.sum(F.aggregate("hits", F.lit(40).cast("long"), lambda n, h: n + 40 + _bytes(h["passage"]) + _bytes(h["items"])))).first()[0] or 0
+    joined = docs.join(F.broadcast(hits) if found <= limit else hits, "row", "left")  # few hits: texts aren't shuffled
     words = words_of("text")
     true = F.filter("hits", lambda h: F.slice("words", h["at"], h["size"]) == h["passage"])
     out = joined.withColumn("words", words).withColumn("hits", F.coalesce(true, F.array().cast(joined.schema["hits"].dataType)))
@@ -127,7 +131,7 @@ WITH d AS (
 ), p AS (
   SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS q FROM h) GROUP BY doc_id
 ), m AS (
-  SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS s FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM h) GROUP BY doc_id
+  SELECT doc_id, count(item) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS s FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM h) GROUP BY doc_id
 )
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
   coalesce(s, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated

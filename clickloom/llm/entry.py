@@ -29,7 +29,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words, hit words and items of each text; a null text has no words, items without id are left out."""
+    """Words, hit words and items of each text; a null text has no words, items without id hit but are no items."""
     docs, bench = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     return decontam.digest(decontam.scan(docs.select("doc_id", "text"), bench))
 

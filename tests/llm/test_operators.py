@@ -225,9 +225,9 @@ def test_decontamination(docs, texts, bench, empty):
     pattern = __import__("regex").compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     lower = lambda t: "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")
     items = {}
-    for b in bench.filter("item_id is not null").collect():
+    for b in bench.collect():
         w = pattern.findall(lower(b.text))
-        items[b.item_id] = {tuple(w[k : k + min(13, len(w))]) for k in range(len(w) - min(13, len(w)) + 1)} if w else set()
+        items.setdefault(b.item_id, set()).update({tuple(w[k : k + min(13, len(w))]) for k in range(len(w) - min(13, len(w)) + 1)} if w else set())
     for i, t in texts.items():
         w, hit, held = pattern.findall(lower(t)), set(), set()
         for item, windows in items.items():
@@ -235,7 +235,8 @@ def test_decontamination(docs, texts, bench, empty):
                 for k in range(len(w) - len(win) + 1):
                     if tuple(w[k : k + len(win)]) == win:
                         hit |= set(range(k, k + len(win)))
-                        held.add(str(item))
+                        if item is not None:
+                            held.add(str(item))
         r = out[i]
         assert (r.n_words, r.n_hit, r.n_items, r.contaminated) == (len(w), len(hit), len(held), bool(hit) and 20 * len(hit) >= len(w))
         assert r.items_sha256 == hashlib.sha256(",".join(sorted(held)).encode()).hexdigest()
@@ -245,6 +246,14 @@ def test_decontamination(docs, texts, bench, empty):
     assert spans[58] == "" and spans[2] == texts[2]
     plan = decontam.scan(docs, bench)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+    joined = {r.doc_id: r for r in decontam.digest(decontam.scan(docs, bench, limit=0)).collect()}  # nothing is broadcast
+    assert joined == out
+
+
+def test_items_without_id_hit(spark):
+    passage = " ".join(f"word{i}" for i in range(13))
+    docs, bench = spark.createDataFrame([(1, passage.upper()), (2, "clean")], "doc_id long, text string"), spark.createDataFrame([(None, passage)], "item_id long, text string")
+    assert [tuple(r)[1:4] + (r.contaminated,) for r in decontam.digest(decontam.scan(docs, bench)).orderBy("doc_id").collect()] == [(13, 13, 0, True), (1, 0, 0, False)]
 
 
 def test_substrings(docs, texts, empty):
