@@ -4,8 +4,10 @@ A line is the set of its words (A-Z lowered). Lines with equal sets form a class
 (doc_id, line number). Words are ordered by rarity, read from a table of 2**20 hashed counts (1 MB, whatever the corpus).
 A class is indexed under the rarest words of its prefix, so that two classes of Jaccard similarity `percent` or more
 share an indexed word; where a prefix word is frequent (HOT or more lines), under pairs of words instead, so that no
-group grows with a frequent word. Entries under one word meet under length and position filters and the parity of
-their words' bits (64, or 192 for long lines), which bounds the words that only one of two sets has.
+group grows with a frequent word. Entries under one key stand in order of length and position, and only those meet that
+pass both filters: lines of one template with too many words of their own never do. Of those that meet, the parity of
+their words' bits (64, or 192 for long lines) bounds the words that only one of two sets has. Lines of one template that
+are similar in fact all meet under its key, which takes the square of their number.
 
 A class needs one similar earlier class to go. Each is verified on its words against its most alike candidate first; only
 classes that this leaves undecided meet all their other candidates. All lines of a class that goes, and all but the
@@ -207,6 +209,31 @@ def _fits(v: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, percent: int)
     return ok
 
 
+def _ranges(group: np.ndarray, n: np.ndarray, at: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Entries, and where the partners that they must meet begin and end, for entries in order of group, length and position.
+
+    An entry meets those of its group that follow it, a length at a time. The longer ones must not be too long; of one
+    length, only the first can leave enough words after the shared one, so pairs that can't be similar are never formed.
+    """
+    new = np.append(True, (group[1:] != group[:-1]) | (n[1:] != n[:-1]))
+    start = np.flatnonzero(new)
+    block = np.cumsum(new) - 1
+    place = block << 32 | at
+    i, ahead = np.arange(len(group)), 0
+    while len(i):
+        i = i[block[i] + ahead < len(start)]
+        to = block[i] + ahead
+        long = n[start[to]]
+        need = -(-percent * (n[i] + long) // (100 + percent))  # words that both must have from the shared one on
+        near = (group[start[to]] == group[i]) & (100 * n[i] >= percent * long) & (n[i] - at[i] >= need)  # and so for all that is longer
+        i, to, last = i[near], to[near], (long - need)[near]
+        first, end = np.maximum(start[to], i + 1), np.searchsorted(place, to << 32 | np.maximum(last, 0), side="right")
+        some = (first < end) & (last >= 0)
+        if some.any():
+            yield i[some], first[some], end[some]
+        ahead += 1
+
+
 _FOUND = "word long, order long, line long, cls long, order_a long, line_a long, cls_a long, apart int, n long, at long, bits long, bits1 long, bits2 long, several boolean"
 
 
@@ -228,30 +255,32 @@ def _candidates(percent: int):
         new = np.ones(len(e), dtype=bool)
         new[1:] = (e["word"][1:] != e["word"][:-1]) | (e["cls"][1:] != e["cls"][:-1]) | (e["bits"][1:] != e["bits"][:-1]) | (e["n"][1:] != e["n"][:-1])
         e, more = e[new], more[new]
-        by_length = np.argsort(e["word"].astype(np.uint64) << np.uint64(32) | e["n"], kind="stable")
+        by_length = np.lexsort((e["at"], e["n"], e["word"]))
         e, more = e[by_length], more[by_length]
         v = {c: e[c].astype(np.int64) for c in ("order", "line", "cls", "n", "at")} | {"bits": e["bits"], "bits1": more[:, 0], "bits2": more[:, 1]}
         rank = np.empty(len(e), dtype=np.int64)
         rank[np.lexsort((v["cls"], v["line"], v["order"]))] = np.arange(len(e))
         starts = np.flatnonzero(np.append(True, e["word"][1:] != e["word"][:-1]))
         size = np.diff(np.append(starts, len(e)))
-        end, group = np.repeat(starts + size, size), np.repeat(np.arange(len(size)), size)
+        group = np.repeat(np.arange(len(size)), size)
         count, least, partner, met = np.zeros(len(e), np.int64), np.full(len(e), 1 << 30), np.full(len(e), -1), np.zeros(len(e), bool)
-        alive, k = np.arange(len(e)), 0
-        while len(alive):
-            k += 1
-            alive = alive[alive + k < end[alive]]
-            alive = alive[100 * v["n"][alive] >= percent * v["n"][alive + k]]  # by length: what follows is longer still
-            x = alive[_fits(v, alive, alive + k, percent)]
-            y = x + k
-            apart = _apart(v, x, y)
-            met[x] = met[y] = True
-            for early, late in ((x, y), (y, x)):  # an entry stands once on each side at most
-                now = rank[early] < rank[late]
-                a, b, d = early[now], late[now], apart[now]
-                count[b] += 1
-                better = d < least[b]
-                least[b[better]], partner[b[better]] = d[better], a[better]
+        for alive, first, end in _ranges(group, v["n"], v["at"], percent):
+            while len(alive):
+                some = _fits(v, alive, first, percent)
+                x, y = alive[some], first[some]
+                apart = _apart(v, x, y)
+                met[x] = met[y] = True
+                for early, late in ((x, y), (y, x)):
+                    now = rank[early] < rank[late]
+                    a, b, d = early[now], late[now], apart[now]
+                    np.add.at(count, b, 1)
+                    far = np.argsort(-d, kind="stable")  # of several partners the nearest is set last, and stays
+                    a, b, d = a[far], b[far], d[far]
+                    better = d < least[b]
+                    least[b[better]], partner[b[better]] = d[better], a[better]
+                first = first + 1
+                more = first < end
+                alive, first, end = alive[more], first[more], end[more]
         b = np.flatnonzero(count)
         a = partner[b]
         crowd = np.flatnonzero(met & np.isin(group, group[count > 1]))

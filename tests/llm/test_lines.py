@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import random
+import time
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from clickloom.llm import lines
 
@@ -50,3 +53,28 @@ def test_low_similarity_and_tiny_sets(spark):
     for percent in (50, 60, 100):
         found = lines.dedup_lines(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"), percent=percent, hot=2).collect()
         assert sorted(x.doc_id for x in found if x.lines.gone) == gone([frozenset(x.split()) for x in rows], percent)
+
+
+def test_lines_of_a_template_that_cannot_be_similar_never_meet():
+    """Under the key of a frequent pair: 40,000 lines of five words, of which one is their own."""
+    for many in (10_000, 40_000):
+        n, at, group = np.full(many, 5), np.full(many, 1), np.zeros(many, dtype=np.int64)
+        assert list(lines._ranges(group, n, at, 80)) == []
+    r = np.random.default_rng(2)
+    group, n = np.sort(r.integers(0, 6, 300)), r.integers(1, 12, 300)
+    at = r.integers(0, 4, 300) % n
+    order = np.lexsort((at, n, group))
+    n, at = n[order], at[order]
+    met = {(int(i), int(j)) for x, a, b in lines._ranges(group, n, at, 80) for i, s, e in zip(x, a, b, strict=True) for j in range(s, e)}
+    want = {(i, j) for i in range(300) for j in range(i + 1, 300) if group[i] == group[j] and 100 * n[i] >= 80 * n[j] and 180 * min(n[i] - at[i], n[j] - at[j]) >= 80 * (n[i] + n[j])}
+    assert met == want
+
+
+def test_time_of_template_lines_is_linear(spark):
+    took = []
+    for many in (15_000, 60_000):
+        docs = spark.range(many).select(F.col("id").alias("doc_id"), F.concat(F.lit("user "), F.sha1(F.col("id").cast("string")), F.lit(" liked this post")).alias("text")).repartition(4)
+        began = time.time()
+        assert lines.dedup_lines(docs, hot=1000).agg(F.sum(F.size("lines.gone"))).first()[0] == 0
+        took.append(time.time() - began)
+    assert took[1] < 5 * took[0]
