@@ -265,6 +265,7 @@ def _candidates(percent: int):
         group = np.repeat(np.arange(len(size)), size)
         count, least, partner, met = np.zeros(len(e), np.int64), np.full(len(e), 1 << 30), np.full(len(e), -1), np.zeros(len(e), bool)
         for alive, first, end in _ranges(group, v["n"], v["at"], percent):
+            alone = len(np.unique(first)) == len(first)  # and so after each step, as all go on together
             while len(alive):
                 some = _fits(v, alive, first, percent)
                 x, y = alive[some], first[some]
@@ -273,9 +274,12 @@ def _candidates(percent: int):
                 for early, late in ((x, y), (y, x)):
                     now = rank[early] < rank[late]
                     a, b, d = early[now], late[now], apart[now]
-                    np.add.at(count, b, 1)
-                    far = np.argsort(-d, kind="stable")  # of several partners the nearest is set last, and stays
-                    a, b, d = a[far], b[far], d[far]
+                    if late is x or alone:  # each stands once among them
+                        count[b] += 1
+                    else:
+                        np.add.at(count, b, 1)
+                        far = np.argsort(-d, kind="stable")  # of several partners the nearest is set last, and stays
+                        a, b, d = a[far], b[far], d[far]
                     better = d < least[b]
                     least[b[better]], partner[b[better]] = d[better], a[better]
                 first = first + 1
