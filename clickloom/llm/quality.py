@@ -3,11 +3,13 @@
 Four rules measure a text: its shares of signs, repeated words, repeated lines and capitals. How much each counts is fitted
 (logistic regression over all strata) on a fourth of the labelled texts, at most `SAMPLE` of them; the level of a text is
 the chance of a bad label that they give, in BINS steps. The other labelled texts are the holdout that selects the cutoffs
-of the level, one a stratum. From strict to loose in rejecting, a cutoff is certified while an exact binomial test refutes
-that the rejection rate of good texts exceeds `alpha` at level `delta` / strata: fixed-sequence testing inside a stratum,
-Bonferroni over strata. So with probability 1 - delta no stratum loses more than `alpha` of its good texts. Of the
-certified cutoffs the one with the best balance of bad against good rejected labels is used; a stratum that gains nothing,
-or whose labels are too few to certify anything (217 good ones at the defaults and four strata), rejects by the base only.
+of the level, one a stratum. Strata with too few good holdout labels to certify anything by themselves are pooled and share
+one cutoff; who is pooled hangs on those numbers alone, never on the levels, so the tests stay exact. From strict to loose
+in rejecting, a cutoff is certified while an exact binomial test refutes that the rejection rate of good texts exceeds
+`alpha` at level `delta` / tests: fixed-sequence testing inside a stratum, Bonferroni over strata and pool. So with
+probability 1 - delta no stratum of its own, nor the pooled ones taken together, loses more than `alpha` of its good texts.
+Of the certified cutoffs the one with the best balance of bad against good rejected labels is used; a stratum that gains
+nothing, or has no holdout label, rejects by the base only.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -148,16 +151,30 @@ def with_levels(measured: DataFrame, w: np.ndarray) -> DataFrame:
     return measured.withColumn("level", F.floor(BINS / (1 + F.exp(-score))).cast("int"))
 
 
-def cutoffs(leveled: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> dict[str, int]:
-    """The certified cutoff level of each stratum that has one."""
+def least_good(alpha: float, delta: float) -> int:
+    """Good labels, none of them rejected, that certify a cutoff."""
+    return math.ceil(math.log(delta) / math.log1p(-alpha))
+
+
+def cutoffs(leveled: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
+    """Rows (of, cut): the certified cutoff level of each stratum that has one, its own or that of the pool."""
     rows = leveled.filter("not base_failed").select("doc_id", "stratum", "level").join(_known(labels).filter(is_holdout()), "doc_id")
     good = (F.col("quality") > 0).cast("long")
-    cells = rows.groupBy("stratum", "level").agg(F.sum(good).alias("good"), F.sum(1 - good).alias("bad")).collect()  # BINS rows a stratum at most
-    counts: dict[str, np.ndarray] = {}
-    for r in cells:
-        counts.setdefault(r.stratum, np.zeros((2, BINS + 1), dtype=np.int64))[:, r.level] = r.good, r.bad
-    cuts = {s: certify(c[0], c[1], alpha, delta / len(counts)) for s, c in counts.items()}
-    return {s: c for s, c in cuts.items() if c is not None}
+    cells = settled(rows.groupBy("stratum", "level").agg(F.sum(good).alias("good"), F.sum(1 - good).alias("bad")))  # BINS + 1 rows a stratum at most
+    sizes = cells.groupBy("stratum").agg(F.sum("good").alias("n"))
+    own = F.col("n") >= least_good(alpha, delta / max(1, sizes.count()))
+    tests = sizes.agg(F.count_if(own).alias("own"), F.max((~own).cast("int")).alias("pool")).first()
+    each = delta / max(1, tests.own + (tests.pool or 0))
+    group = sizes.select(F.col("stratum").alias("of"), F.when(own, F.col("stratum")).alias("group"))  # null: the pool
+
+    def cut(batch: pd.DataFrame) -> pd.DataFrame:
+        counts = np.zeros((2, BINS + 1), dtype=np.int64)
+        np.add.at(counts, (slice(None), batch["level"].to_numpy()), batch[["good", "bad"]].to_numpy().T)
+        return pd.DataFrame({"group": batch["group"].iloc[:1], "cut": [certify(*counts, alpha, each)]}).dropna(subset="cut")
+
+    summed = cells.join(group, cells.stratum == group.of).groupBy("group", "level").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+    cuts = settled(summed.groupBy("group").applyInPandas(cut, "group string, cut int"))
+    return group.join(cuts, group.group.eqNullSafe(cuts.group)).select("of", "cut")
 
 
 def judged(docs: DataFrame, labels: DataFrame, stratum: str = "lang", **limits) -> DataFrame:  # noqa: ANN003
@@ -169,7 +186,6 @@ def judged(docs: DataFrame, labels: DataFrame, stratum: str = "lang", **limits)
     """
     found = settled(measures(docs, stratum))
     leveled = with_levels(found, weights(found, labels))
-    cuts = cutoffs(leveled, labels, **limits)
-    limit = F.broadcast(docs.sparkSession.createDataFrame(list(cuts.items()), "of string, cut int"))  # a row a stratum
+    limit = settled(cutoffs(leveled, labels, **limits))
     kept = ~F.col("base_failed") & F.coalesce(F.col("level") < F.col("cut"), F.lit(True))
     return leveled.join(limit, leveled.stratum == F.col("of"), "left").select("doc_id", *COUNTS, "base_failed", kept.alias("kept"), "level")
