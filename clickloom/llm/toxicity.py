@@ -1,28 +1,31 @@
 """Operator 5: toxicity by a weighted lexicon, matched by Aho-Corasick on folded text.
 
 Folding lowers letters, writes look-alike letters of other scripts and digits or signs in place of letters as the letter
-they stand for, and turns other signs into spaces. The lexicon holds words and word beginnings; their weights are log odds
-of document frequencies in labelled texts, kept where the likelihood ratio is clear. A hit inside an exception phrase
-doesn't count. The sum of a text's weights, plain and for each hundred words, goes through a fitted logistic curve.
+they stand for, and turns other signs into spaces. The lexicon holds all words and word beginnings whose document
+frequencies in labelled texts differ clearly by the likelihood ratio; their weights are log odds. A hit inside an exception
+phrase doesn't count: phrases are given, or learned as pairs of a hit's word and a neighbour whose texts are clean by the
+same ratio test against the other texts with that term. The sum of a text's weights, plain and for each hundred words, goes through a fitted logistic curve.
 """
 
 from __future__ import annotations
 
 import math
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import slices
 from .store import small_batches
 
-SAMPLE, TERMS, LEAST_TEXTS, LEAST_RATIO = 10_000, 400, 3, 20.0
+SAMPLE, LEAST_TEXTS, LEAST_RATIO = 10_000, 3, 20.0
 PREFIXES = range(3, 10)
 EXCEPTIONS = ("clown fish", "trash can", "trash bin", "stupid simple", "loser bracket", "pond scum")
 
@@ -47,50 +50,94 @@ def fold(text: str | None) -> str:
 
 def _terms(text: str | None) -> set[str]:
     words = set(fold(text).split())
-    return {f" {w} " for w in words if len(w) <= 24} | {f" {w[:k]}" for w in words for k in PREFIXES if len(w) > k}
+    return {f" {w} " for w in words} | {f" {w[:k]}" for w in words for k in PREFIXES if len(w) > k}
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Labelled texts that hold each term, by label."""
-    seen = {0: Counter(), 1: Counter()}
+def _count(terms: Callable[[str | None], set[str]]):  # noqa: ANN202
+    """Labelled texts that hold each term, by label; the counts are handed on whenever they grow large."""
 
-    def rows() -> pa.RecordBatch:
-        terms = list(seen[0].keys() | seen[1].keys())
-        return pa.record_batch([pa.array(terms, pa.string()), *(pa.array([seen[k][t] for t in terms], pa.int64()) for k in (0, 1))], ["term", "clean", "toxic"])
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = {0: Counter(), 1: Counter()}
 
-    for batch in batches:
-        for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-            seen[toxic].update(_terms(text))
-            if len(seen[0]) > 500_000:
-                yield rows()
-                seen[0].clear()
-                seen[1].clear()
-    yield rows()
+        def rows() -> pa.RecordBatch:
+            found = list(seen[0].keys() | seen[1].keys())
+            return pa.record_batch([pa.array(found, pa.string()), *(pa.array([seen[k][t] for t in found], pa.int64()) for k in (0, 1))], ["term", "clean", "toxic"])
 
+        for batch in batches:
+            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
+                seen[toxic].update(terms(text))
+                if len(seen[0]) + len(seen[1]) > 500_000:
+                    yield rows()
+                    seen[0].clear()
+                    seen[1].clear()
+        yield rows()
 
-def learn_terms(sample: DataFrame, most: int = TERMS) -> dict[str, float]:
-    """The weights of up to `most` terms, none of which begins with another."""
-    size = sample.agg(F.count("*").alias("n"), F.sum("toxic").alias("t")).first()
-    toxic, clean = float(size.t or 0), float(size.n - (size.t or 0))
-    if not toxic or not clean:
-        return {}
-    counts = sample.select("text", "toxic").mapInArrow(_count, "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t"))
-    t, c = F.col("t").cast("double"), F.col("c").cast("double")
+    return count
+
+
+def _counts(sample: DataFrame, terms: Callable[[str | None], set[str]]) -> DataFrame:
+    return sample.select("text", "toxic").mapInArrow(_count(terms), "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").cast("double").alias("c"), F.sum("toxic").cast("double").alias("t"))
+
+
+def _ratio(t: Column, c: Column, toxic: Column, clean: Column) -> Column:
+    """The likelihood ratio of a term in t of `toxic` and c of `clean` texts against one rate in both."""
     share = (t + c) / (toxic + clean)
 
-    def part(n, total, rate):  # noqa: ANN001, ANN202
-        none = F.lit(total) - n
+    def part(n: Column, total: Column, rate: Column) -> Column:
+        none = total - n
         return F.when(n > 0, n * F.log(n / (total * rate))).otherwise(0.0) + F.when(none > 0, none * F.log(none / (total * (1 - rate)))).otherwise(0.0)
 
-    ratio = 2 * (part(t, toxic, share) + part(c, clean, share))
-    clear = counts.filter((F.col("t") >= LEAST_TEXTS) & (share < 1)).filter(t / toxic > 2 * c / clean).withColumn("ratio", ratio).filter(F.col("ratio") >= LEAST_RATIO)
+    return 2 * (part(t, toxic, share) + part(c, clean, share))
+
+
+def learn_terms(sample: DataFrame) -> dict[str, float]:
+    """The weights of all clear terms, none of which begins with another. Clear ones are few: each needs LEAST_TEXTS texts of the sample."""
+    size = sample.agg(F.count("*").alias("n"), F.sum("toxic").alias("t")).first()
+    toxic, clean = float(size.t or 0), float(size.n - (size.t or 0))
+    if not toxic or not clean:
+        return {}
+    t, c = F.col("t"), F.col("c")
+    counts = _counts(sample, _terms).filter((t >= LEAST_TEXTS) & (t + c < toxic + clean) & (t / toxic > 2 * c / clean))
+    clear = counts.withColumn("ratio", _ratio(t, c, F.lit(toxic), F.lit(clean))).filter(F.col("ratio") >= LEAST_RATIO)
     found: dict[str, float] = {}
-    for r in clear.orderBy(F.desc("ratio"), F.length("term"), "term").limit(20 * most).collect():  # bounded: 20 * most rows
-        if len(found) < most and not any(r.term.startswith(x) or x.startswith(r.term) for x in found):
+    begun: set[str] = set()  # beginnings of the terms found
+    for r in clear.orderBy(F.desc("ratio"), F.length("term"), "term").collect():  # bounded by the sample's texts
+        starts = {r.term[:k] for k in range(1, len(r.term) + 1)}
+        if r.term not in begun and not starts & found.keys():
             found[r.term] = math.log((r.t + 0.5) / (toxic + 1)) - math.log((r.c + 0.5) / (clean + 1))
+            begun |= starts
     return found
 
 
+def _phrases(matcher: Matcher) -> Callable[[str | None], set[str]]:
+    """The words with hits, each after its term (TERM tab), and as pairs with the word before and the word behind."""
+
+    def phrases(text: str | None) -> set[str]:
+        words = fold(text).split()
+        starts, at = [], 0
+        for w in words:
+            starts.append(at)
+            at += len(w) + 1
+        found = set()
+        for a, b, _ in matcher.hits(f" {' '.join(words)} "):
+            i = bisect_right(starts, a) - 1
+            term = f" {' '.join(words[i:i + 1])} "[: b - a]
+            found.add(f"{term}\t")
+            found.update(f"{term}\t {words[k]} {words[k + 1]} " for k in (i - 1, i) if 0 <= k < len(words) - 1)
+        return found
+
+    return phrases
+
+
+def learn_exceptions(sample: DataFrame, matcher: Matcher) -> tuple[str, ...]:
+    """Pairs of words around a hit, in at least LEAST_TEXTS texts, that are clean by the ratio test among the texts with the term."""
+    counts = _counts(sample, _phrases(matcher)).select(F.split("term", "\t")[0].alias("of"), F.split("term", "\t")[1].alias("phrase"), "t", "c")
+    terms = counts.filter("phrase = ''").select("of", F.col("t").alias("toxic"), F.col("c").alias("clean"))
+    t, c, toxic, clean = map(F.col, ("t", "c", "toxic", "clean"))
+    both = counts.filter("phrase <> ''").join(terms, "of").filter((toxic > 0) & (clean > 0) & (c >= LEAST_TEXTS) & (t + c < toxic + clean) & (c / clean > 2 * t / toxic))
+    return tuple(sorted(r.phrase for r in both.filter(_ratio(t, c, toxic, clean) >= LEAST_RATIO).select("phrase").distinct().collect()))  # bounded by the sample's texts
+
+
 class Matcher:
     def __init__(self, terms: dict[str, float], exceptions: tuple[str, ...] = EXCEPTIONS):
         self.automaton = ahocorasick.Automaton()
@@ -107,8 +154,11 @@ class Matcher:
         if not len(self.automaton):
             return []
         found = [(end + 1 - n, end + 1, w) for end, (n, w) in self.automaton.iter(folded)]
-        masks = [(a, b) for a, b, w in found if w is None]
-        return [(a, b, w) for a, b, w in found if w is not None and not any(x <= a and b <= y for x, y in masks)]
+        masks = sorted((a, b) for a, b, w in found if w is None)
+        if not masks:
+            return found
+        starts, ends = [a for a, _ in masks], list(accumulate((b for _, b in masks), max))  # ends: the furthest of masks begun so far
+        return [(a, b, w) for a, b, w in found if w is not None and ((k := bisect_right(starts, a)) == 0 or ends[k - 1] < b)]
 
     def features(self, text: str | None) -> tuple[float, float]:
         words = fold(text).split()
@@ -149,7 +199,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int = 5
     ids = known.filter(is_training(folds)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").filter("text is not null").select("text", "toxic").persist()
     try:
-        matcher = Matcher(learn_terms(rows), exceptions)
+        terms = learn_terms(rows)
+        matcher = Matcher(terms, (*exceptions, *learn_exceptions(rows, Matcher(terms, ()))))
         seen = rows.mapInArrow(_features(matcher), "x1 double, x2 double, toxic int").toPandas()  # bounded by `sample`
     finally:
         rows.unpersist()
