@@ -12,14 +12,17 @@ from clickloom.llm import decontam, lines, neardup, packing, store, toxicity
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity score rejects (0.5 or more) go."""
+    """Documents that the toxicity score rejects (0.5 or more) go.
+
+    Null and empty texts score as texts without hits; repeated rows are judged each; the score's column takes a name that docs lack.
+    """
     score = decontam.free_name(docs, "tox_score")
     scored = toxicity.with_scores(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), score)
     return scored.filter(F.col(score) < 0.5).drop(score)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that repeat an earlier one, or nearly so, go; all documents stay."""
+    """Lines that repeat an earlier one, or nearly so, go; all documents stay, those of null or empty text too."""
     column = decontam.free_name(docs, "lines")
     found = lines.dedup_lines(docs, column=column).withColumn("text", F.col(f"{column}.text")).drop(column)
     if "n_chars" in docs.columns:
@@ -33,12 +36,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of whose words 5 % or more lie in benchmark windows go."""
+    """Documents of whose words 5 % or more lie in benchmark windows go; null and empty texts have no words and stay."""
     return decontam.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents, in sequences of at most 1024 tokens."""
+    """The pieces of all documents, in sequences of at most 1024 tokens; null and empty texts and repeated rows give pieces of their own."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
