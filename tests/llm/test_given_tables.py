@@ -17,7 +17,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(entry.ORACLES))
 def test_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "labels"):
+    for t in ("documents", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     found = con.execute(entry.ORACLES[name])
     columns = [c[0] for c in found.description]
