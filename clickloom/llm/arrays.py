@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +25,56 @@ _MULT = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 _POWERS: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
 
+LARGE = 4 << 20  # bytes of a group after which its worker frees memory
+
+
+def free_memory() -> None:
+    """What this worker holds but no longer uses goes back to the system; Arrow and the C library keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+    if trim is not None:
+        trim(0)
+
+
+def lean(work: Callable) -> Callable:
+    """A function of batches for mapInArrow that frees its worker's memory at the end, as workers outlive stages."""
+
+    @functools.wraps(work)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            free_memory()
+
+    return run
+
+
+def lean_bucket(work: Callable) -> Callable:
+    """The same for a function of a group's key and batches, for applyInArrow."""
+
+    @functools.wraps(work)
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(key, batches)
+        finally:
+            free_memory()
+
+    return run
+
+
+def lean_group(work: Callable) -> Callable:
+    """A function of a group's table for applyInArrow that frees its worker's memory after a large group."""
+
+    @functools.wraps(work)
+    def run(table: pa.Table) -> pa.Table:
+        size = table.nbytes
+        out = work(table)
+        if size > LARGE:
+            free_memory()
+        return out
+
+    return run
+
 
 def powers(n: int, base: int = _MULT) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i modulo 2**64 for i < n, grown on demand and kept."""

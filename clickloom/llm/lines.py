@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from .arrays import LOWER, Words, by_group, mix, ragged, raw, slices
+from .arrays import LOWER, Words, by_group, lean, lean_bucket, lean_group, mix, ragged, raw, slices
 from .store import Scratch
 
 PERCENT, HOT, BLOCK, MAX_SENT = 80, 1 << 14, 1 << 12, 1_000_000
@@ -366,7 +366,7 @@ class _Join:
     def __init__(self, docs: DataFrame, percent: int, hot: int = HOT, block: int = BLOCK):
         spark = self.spark = docs.sparkSession
         self.percent, self.hot, self.block, self.docs, self.scratch = percent, hot, block, docs, Scratch(spark)
-        self.found = self.scratch.settled(docs.mapInArrow(_survey, "order long, th long, line long, c1 long, c2 long, n long, segment int, counts binary"))
+        self.found = self.scratch.settled(docs.mapInArrow(lean(_survey), "order long, th long, line long, c1 long, c2 long, n long, segment int, counts binary"))
         self.lines = self.found.filter("segment is null").select("order", "th", "line", "c1", "c2", "n")
         parts = self.found.filter("segment is not null").select("segment", "counts").groupBy("segment").applyInArrow(_rarity, "segment int, scale binary")
         scale = b"".join(r.scale for r in sorted(parts.collect(), key=lambda r: r.segment)) or bytes(_COUNTS)  # 1 MB
@@ -377,8 +377,8 @@ class _Join:
         n = F.col("n")
         size = self.lines.agg(F.sum(n - F.ceil(n * self.percent / 100) + 1)).first()[0] or 0
         buckets = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-int(size) * _ENTRY.itemsize // BUCKET_BYTES))
-        index = self.docs.select("order", "text").mapInArrow(_index(self.scale, self.percent, self.hot, buckets), "bucket long, entries binary, more binary")
-        found = self.scratch.settled(index.groupBy("bucket").applyInArrow(_candidates(self.percent), _FOUND))
+        index = self.docs.select("order", "text").mapInArrow(lean(_index(self.scale, self.percent, self.hot, buckets)), "bucket long, entries binary, more binary")
+        found = self.scratch.settled(index.groupBy("bucket").applyInArrow(lean_bucket(_candidates(self.percent)), _FOUND))
         pairs = found.filter("word is null").groupBy(*_TOP, "order_a", "line_a", "cls_a").agg(F.min("apart").alias("apart"))
         best = pairs.groupBy(*_TOP).agg(F.min(F.struct("apart", "order_a", "line_a", "cls_a")).alias("m")).select(*_TOP, "m.order_a", "m.line_a", "m.cls_a")
         best = self.scratch.settled(best)
@@ -406,7 +406,7 @@ class _Join:
         cells = ["word", *_TOP, "n", "at", "bits", "bits1", "bits2", "text"]
         early = rows.select(*cells, F.lit(False).alias("later"), F.col("own").alias("i"), other).withColumnRenamed("other", "j")
         late = rows.filter("open").select(*cells, F.lit(True).alias("later"), F.col("own").alias("j"), other).withColumnRenamed("other", "i")
-        return early.unionByName(late).groupBy("word", "i", "j").applyInArrow(_compare(self.percent), "order long, line long, cls long")
+        return early.unionByName(late).groupBy("word", "i", "j").applyInArrow(lean_group(_compare(self.percent)), "order long, line long, cls long")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The classes of pairs (order, line, cls, order_a, line_a, cls_a) that are similar enough to their partner."""
@@ -414,7 +414,7 @@ class _Join:
         texts = self.scratch.settled(self.texts(ends))
         other = texts.select(*(F.col(c).alias(f"{c}_a") for c in (*_TOP, "text")))
         both = pairs.join(other, ["order_a", "line_a", "cls_a"]).join(texts, list(_TOP))
-        return both.select(*_TOP, "text_a", "text").mapInArrow(_alike(self.percent), "order long, line long, cls long").distinct()
+        return both.select(*_TOP, "text_a", "text").mapInArrow(lean(_alike(self.percent)), "order long, line long, cls long").distinct()
 
     def texts(self, ends: DataFrame) -> DataFrame:
         """order, line, cls, text of some lines. Up to MAX_SENT line numbers are broadcast, so texts aren't shuffled."""
@@ -422,7 +422,7 @@ class _Join:
         wanted = ends.agg(F.sum(F.size("wanted"))).first()[0] or 0
         ends = F.broadcast(ends) if wanted <= MAX_SENT else ends
         texts = self.docs.join(ends, F.col("order") == F.col("at")).select("order", "text", "wanted")
-        return texts.mapInArrow(_line_texts, "order long, line long, cls long, text string").dropDuplicates(list(_TOP))
+        return texts.mapInArrow(lean(_line_texts), "order long, line long, cls long, text string").dropDuplicates(list(_TOP))
 
     def state(self) -> DataFrame:
         """c1, c2, top, similar of the classes that lose lines."""

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .arrays import Words, by_group, mix, ragged, slices
+from .arrays import Words, by_group, lean, lean_group, mix, ragged, slices
 from .store import Scratch
 
 BANDS, ROWS, BATCH = 32, 5, 40
@@ -210,14 +210,14 @@ class _Finder:
         ids = self.scratch.settled(ids.distinct())
         small = ids.count() <= MAX_IDS
         texts = self.docs.select("doc_id", "text").join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
-        return self.scratch.settled(texts.mapInArrow(_sets(self.size), f"doc_id {self.kind}, items array<bigint>").dropDuplicates(["doc_id"]))
+        return self.scratch.settled(texts.mapInArrow(lean(_sets(self.size)), f"doc_id {self.kind}, items array<bigint>").dropDuplicates(["doc_id"]))
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """a, b: pairs that reach the threshold on full sets."""
         a, b = (self.signs.select(F.col("doc_id").alias(x), F.col("sign").alias(f"sign_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
         # sizes alone rule out a pair whose smaller set is below percent of the larger one
         near = pairs.join(a, "a").join(b, "b").filter(100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b"))
-        alive = self.scratch.settled(near.select("a", "b", "sign_a", "sign_b").mapInArrow(_survivors(self.percent, self.miss), f"a {self.kind}, b {self.kind}"))
+        alive = self.scratch.settled(near.select("a", "b", "sign_a", "sign_b").mapInArrow(lean(_survivors(self.percent, self.miss)), f"a {self.kind}, b {self.kind}"))
         sets = self.sets(alive.select(F.explode(F.array("a", "b")).alias("doc_id")))
         x, y = (sets.select(F.col("doc_id").alias(k), F.col("items").alias(f"items_{k}")) for k in "ab")
         both = alive.join(y, "b").join(x, "a")
@@ -266,7 +266,7 @@ class _Finder:
         blocks = rows.join(rows.groupBy("p").agg(F.ceil(F.count("*") / self.block).cast("int").alias("k")), "p").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("k")).cast("int"))
         meets = F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other")
         meets = blocks.select("p", "doc_id", "n", "lab", "gap", "own", meets).select("p", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "doc_id", "n", "lab", "gap", (F.col("own") > F.col("other")).alias("second"))
-        inner = meets.groupBy("p", "i", "j").applyInArrow(_linked(self.percent), f"a {self.kind}, b {self.kind}")
+        inner = meets.groupBy("p", "i", "j").applyInArrow(lean_group(_linked(self.percent)), f"a {self.kind}, b {self.kind}")
         return self.scratch.settled(with_p.union(inner))
 
 
@@ -313,7 +313,7 @@ def _found(docs: DataFrame, size: int, percent: int, miss: float) -> DataFrame:
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     schema = f"doc_id {kind}, n long, c1 long, c2 long, bands array<bigint>, sign binary"
     scratch = Scratch(docs.sparkSession)
-    sketches = scratch.settled(docs.mapInArrow(_sketch(size), schema))
+    sketches = scratch.settled(docs.mapInArrow(lean(_sketch(size)), schema))
     classes = sketches.filter("n > 0 and doc_id is not null").groupBy("c1", "c2").agg(F.min("doc_id").alias("rep"))
     reps = sketches.join(classes.select(F.col("rep").alias("doc_id"), "c1", "c2"), ["doc_id", "c1", "c2"], "left_semi").dropDuplicates(["doc_id"])
     label = components(_Finder(docs, scratch.settled(reps), size, percent, miss, scratch).links(), scratch)

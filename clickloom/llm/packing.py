@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import ragged, slices
+from .arrays import lean, lean_group, ragged, slices
 from .store import Scratch
 
 CAPACITY = 1024
@@ -232,7 +232,7 @@ def fitted(items: DataFrame, level: int, nodes: int, capacity: int) -> DataFrame
 
     out = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in items.schema)
     node = F.pmod(F.xxhash64("item", F.lit(level)), F.lit(nodes))
-    return items.withColumn("node", node).groupBy("node").applyInArrow(fit, f"{out}, bin long, at long, fill long")
+    return items.withColumn("node", node).groupBy("node").applyInArrow(lean_group(fit), f"{out}, bin long, at long, fill long")
 
 
 def _merged(scratch: Scratch, leaves: DataFrame, leaf: int, capacity: int) -> DataFrame | None:
@@ -270,7 +270,7 @@ def pack(docs: DataFrame, path: str, end_id: int = END_ID, capacity: int = CAPAC
     """
     scratch, kind = Scratch(docs.sparkSession), docs.schema["doc_id"].dataType.simpleString()
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    pieces = scratch.settled(docs.mapInArrow(_pieces(path, end_id, capacity), f"doc_id {kind}, piece long, start long, ids_crc32 long, item long, size long"))
+    pieces = scratch.settled(docs.mapInArrow(lean(_pieces(path, end_id, capacity)), f"doc_id {kind}, piece long, start long, ids_crc32 long, item long, size long"))
     nodes = max(1, math.ceil(pieces.count() / leaf))
     packed = scratch.settled(fitted(pieces, 0, nodes, capacity))
     scratch.drop(pieces)

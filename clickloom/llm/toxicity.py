@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import slices
+from .arrays import lean, slices
 from .store import small_batches
 
 SAMPLE, LEAST_TEXTS, LEAST_RATIO = 10_000, 3, 20.0
@@ -76,7 +76,7 @@ def _count(terms: Callable[[str | None], set[str]]):  # noqa: ANN202
 
 
 def _counts(sample: DataFrame, terms: Callable[[str | None], set[str]]) -> DataFrame:
-    return sample.select("text", "toxic").mapInArrow(_count(terms), "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").cast("double").alias("c"), F.sum("toxic").cast("double").alias("t"))
+    return sample.select("text", "toxic").mapInArrow(lean(_count(terms)), "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").cast("double").alias("c"), F.sum("toxic").cast("double").alias("t"))
 
 
 def _ratio(t: Column, c: Column, toxic: Column, clean: Column) -> Column:
@@ -201,7 +201,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int = 5
     try:
         terms = learn_terms(rows)
         matcher = Matcher(terms, (*exceptions, *learn_exceptions(rows, Matcher(terms, ()))))
-        seen = rows.mapInArrow(_features(matcher), "x1 double, x2 double, toxic int").toPandas()  # bounded by `sample`
+        seen = rows.mapInArrow(lean(_features(matcher)), "x1 double, x2 double, toxic int").toPandas()  # bounded by `sample`
     finally:
         rows.unpersist()
     y = seen["toxic"].to_numpy(dtype=float)
@@ -233,4 +233,4 @@ def with_scores(docs: DataFrame, labels: DataFrame, column: str = "tox_score", *
 
     small_batches(docs.sparkSession)
     schema = StructType([*docs.schema.fields]).add(column, DoubleType())
-    return docs.mapInArrow(_scores(*fit(docs, labels, **options), column), schema)
+    return docs.mapInArrow(lean(_scores(*fit(docs, labels, **options), column)), schema)
