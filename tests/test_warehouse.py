@@ -162,6 +162,16 @@ def test_prices(spark):
     assert [r.rejection_reason for r in bad.collect()] == ["missing_product_id"]
 
 
+def test_landed_folders_do_not_grow_with_sites(spark, tmp_path):
+    rows = spark.range(600).select(F.concat(F.lit("site"), F.col("id") % 300).alias("site"), F.col("id").cast("string").alias("product_id"), F.expr("CASE WHEN id < 590 THEN TIMESTAMP'2019-10-01 10:00:00' + make_dt_interval(CAST(id % 2 AS INT)) END").alias("snapshot_time"))
+    for _ in range(2):
+        sinks.write_snapshots(rows, str(tmp_path))
+    place = tmp_path / "bronze" / "prices"
+    assert sorted(p.name for p in place.iterdir() if p.is_dir()) == ["run_date=2019-10-01", "run_date=2019-10-02", "run_date=__HIVE_DEFAULT_PARTITION__"] and len(list(place.rglob("*.parquet"))) <= 12
+    back = spark.read.parquet(str(place))
+    assert sorted(map(str, back.select(*rows.columns).collect())) == sorted(map(str, rows.union(rows).collect())) and back.filter("site = 'site7' AND run_date = '2019-10-02'").count() == 4
+
+
 def test_series(spark):
     h = spark.sql("SELECT 'all' AS series, date_add(DATE'2019-10-01', i) AS date, 10.0D + i AS revenue, CAST(i AS BIGINT) AS purchase_events, 1.0D AS avg_purchase_value FROM (SELECT explode(sequence(0, 19)) AS i)")
     f = series.naive_forecast(h).collect()
