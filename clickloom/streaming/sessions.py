@@ -2,53 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from datetime import datetime
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState
 
 from ..contract import MART_COLUMNS
 from .speed import contract_events, last_batches
 
 KINDS = ("view", "cart", "purchase")
-_STATE = "fragment string, first long, first_key string, user_id string, last long, n_view long, n_cart long, n_purchase long, products array<string>"
-_ROW = f"session_id string, {_STATE}"
-
-
-def _track(idle_ms: int):
-    def track(key: tuple[str], frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        """A session's totals so far after each micro-batch with rows of it; its state goes once it has been idle long enough."""
-        if state.hasTimedOut:
-            state.remove()
-            return
-        rows = pd.concat(list(frames))
-        rows["us"] = rows["us"].astype("int64")
-        first = rows.sort_values(["us", "event_key"]).iloc[0]
-        new = (first.event_key, int(first.us), first.event_key, first.source_user_id, int(rows.us.max()), *(int((rows.event_type == k).sum()) for k in KINDS), sorted({p for p in rows.source_product_id}))
-        if state.exists:
-            was = state.get
-            head = was[1:4] if (was[1], was[2]) <= (new[1], new[2]) else new[1:4]
-            new = (was[0], *head, max(was[4], new[4]), *(a + b for a, b in zip(was[5:8], new[5:8], strict=True)), sorted({*was[8], *new[8]}))
-        state.update(new)
-        state.setTimeoutTimestamp(max(new[4] // 1000 + idle_ms, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame([(key[0], *new)], columns=[c.split()[0] for c in _ROW.split(", ")])
-
-    return track
 
 
 def session_updates(events: DataFrame, watermark: str = "2 minutes", idle_ms: int = 86_400_000) -> DataFrame:
-    """A stream of canonical events as a stream of session totals; each event counts once within the watermark.
+    """A stream of canonical events as a stream of session totals so far; each event counts once within the watermark.
 
-    The state of a session goes when the watermark has passed `idle_ms` beyond its last event. Should it come back later
-    than that, its new totals are a fragment of their own, which `read_sessions` adds up with the others.
+    Totals are kept for each session and span of `idle_ms`: a fragment, which is given again by each micro-batch with rows
+    of it. Its state goes when the watermark has passed the end of the span. A session that goes on later has further
+    fragments, which `read_sessions` adds up.
     """
     once = events.filter("trim(session_id) <> ''").withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(["event_key"])
-    rows = once.select("session_id", "event_time", F.unix_micros("event_time").alias("us"), "event_key", "event_type", "source_user_id", "source_product_id")
-    return rows.groupBy("session_id").applyInPandasWithState(_track(idle_ms), _ROW, _STATE, "append", "EventTimeTimeout")
+    head = F.min(F.struct(F.unix_micros("event_time").alias("first"), F.col("event_key").alias("first_key"), F.col("source_user_id").alias("user_id"))).alias("head")
+    tallies = [F.count_if(F.col("event_type") == k).alias(f"n_{k}") for k in KINDS]
+    totals = once.groupBy("session_id", F.window("event_time", f"{idle_ms} milliseconds").alias("span")).agg(head, F.max(F.unix_micros("event_time")).alias("last"), *tallies, F.collect_set("source_product_id").alias("products"))
+    return totals.select("session_id", F.col("span.start").cast("string").alias("fragment"), "head.*", "last", *(f"n_{k}" for k in KINDS), "products")
 
 
 def start_sessions(messages: DataFrame, path: str, checkpoint: str, run_id: str, ingested_at: datetime, watermark: str = "2 minutes", idle_ms: int = 86_400_000, every: str | None = "10 seconds") -> StreamingQuery:
@@ -59,7 +36,7 @@ def start_sessions(messages: DataFrame, path: str, checkpoint: str, run_id: str,
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    return session_updates(events, watermark, idle_ms).writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    return session_updates(events, watermark, idle_ms).writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def read_sessions(spark: SparkSession, path: str) -> DataFrame:

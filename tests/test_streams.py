@@ -45,6 +45,11 @@ def test_sessions_of_the_stream_are_those_of_the_batch(spark, tmp_path):
     assert speed.last_batches(spark, out).filter("session_id = 'a'").select("fragment").distinct().count() == 2
 
 
+def test_session_state_is_kept_without_python(spark, tmp_path):
+    events = speed.contract_events(files.read_stream(spark, "text", str(tmp_path)), "r", AT)
+    assert "Pandas" not in sessions.session_updates(events)._jdf.queryExecution().analyzed().toString()
+
+
 def test_a_bad_batch_stops_the_stream(spark, tmp_path):
     (tmp_path / "in").mkdir()
     base, good = str(tmp_path / "b"), str(tmp_path / "good")
