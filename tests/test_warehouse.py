@@ -48,6 +48,14 @@ def test_star_and_gate(spark, events):
         quality.enforce(quality.checks(events.limit(0), {k: d.limit(0) for k, d in dims.items()}))
 
 
+def test_fact_needs_no_shuffle_behind_the_gate(events):
+    dims = star.dimensions(events)
+    assert sorted(map(str, star.fact(events).collect())) == sorted(map(str, star.fact(events, dims).collect()))
+    assert "hashpartitioning" not in star.fact(events.select("*"))._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]
+    lost = star.orphans(events, dims | {"dim_user": dims["dim_user"].filter("source_user_id <> '501'")}).collect()
+    assert {r.dimension: r.orphans for r in lost} == {"dim_user": 3, "dim_product": 0}
+
+
 def test_marts(events):
     f = {str(r.event_date): r for r in marts.funnel_daily(events).collect()}
     a, b = f["2019-10-01"], f["2019-10-02"]
