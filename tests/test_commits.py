@@ -64,6 +64,29 @@ def test_filters_find_every_folder_and_few_more(spark):
     assert key_index.folders_with(probe, "k", index.limit(0), ["f"]).count() == 0
 
 
+def test_keys_meet_filters_of_their_shard_only(spark):
+    rows = spark.range(3000).select(F.concat(F.lit("k"), "id").alias("k")).withColumn("s", key_index.shard_name(F.xxhash64("k"), F.lit(3)))
+    all_in_one = rows.withColumn("s", F.lit("0-3"))
+    for df, want in ((rows, {"0-3", "1-3", "2-3"}), (all_in_one.union(rows.withColumn("s", F.lit("0-1"))), {"0-3", "0-1"})):
+        assert {r.s for r in key_index.folders_with(rows, "k", key_index.filters(df, "k", ["s"]), ["s"], "s").collect()} == want
+    strange = rows.filter("s <> '0-3'")  # in a folder of another shard these aren't looked for
+    assert key_index.folders_with(strange, "k", key_index.filters(all_in_one, "k", ["s"]), ["s"], "s").count() == 0
+
+
+def test_a_day_has_few_files_and_events_of_one_run_are_not_shuffled_again(spark, tmp_path):
+    base = str(tmp_path / "b")
+    days = spark.range(6000).repartition(40).select("id", F.expr("date_add(DATE'2019-10-01', CAST(id % 3 AS INT))").alias("event_date"))
+    sinks.write_parts(days, base, "t", "r")
+    assert len(list(Path(base).rglob("*.parquet"))) <= 6
+    rows = [event(d, f"09:{m:02d}:00", "view", m, m, f"s{m}") for d in (1, 2) for m in range(20)]
+    warehouse.run_warehouse(spark, csv(tmp_path / "1.csv", *rows), base, "run-1")
+    shuffles = lambda: sinks.read_current(spark, base, [*sinks.silver_log(spark, base).state()[1]["tables"]["events"]])._jdf.queryExecution().executedPlan().toString().count("Exchange")
+    assert shuffles() == 0
+    once = gold(spark, base)
+    warehouse.run_warehouse(spark, str(tmp_path / "1.csv"), base, "run-1")  # the run's folders hold every key twice now
+    assert shuffles() > 0 and len(gold(spark, base)["fact"]) == 40 and gold(spark, base) == once
+
+
 def test_days_of_a_failed_run_are_made_up_for(spark, tmp_path, monkeypatch):
     paths = [csv(tmp_path / f"{i}.csv", event(i, "09:00:00", "purchase", i, i, f"s{i}"), event(i, "10:00:00", "view", 1, 1, "all")) for i in (1, 2, 3)]
     bases = [str(tmp_path / n) for n in ("inc", "full")]
