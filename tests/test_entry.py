@@ -36,6 +36,10 @@ def test_matches_sql(spark, duck, name):
     assert rows(df.columns, df.collect()) == rows(columns, cur.fetchall())
 
 
+def test_models_read_the_series_not_the_events(spark):
+    assert not [f for f in catalog._series(spark, SF).inputFiles() if "events.parquet" in f]
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
